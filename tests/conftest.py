@@ -1,0 +1,43 @@
+"""One local session for all tests; every dataset goes under pytest's own folder."""
+
+from __future__ import annotations
+
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+
+from tripflow.session import get_session  # noqa: E402
+
+DATA = Path(os.environ.get("TRIPFLOW_TESTDATA", "/root/testdata"))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = get_session(
+        "tripflow-tests",
+        **{
+            "spark.master": "local[8]",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "6g",
+            "spark.driver.host": "127.0.0.1",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir() -> str:
+    folder = DATA / "sf0.01"
+    if not folder.is_dir():
+        pytest.skip(f"no test tables at {folder}")
+    return str(folder)
