@@ -101,14 +101,15 @@ def _overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "days")
-    write_partitioned(build_silver(trips(spark, sf_dir)), path)
-    return read_partitioned(spark, path)
+    path = scratch_path(spark, "months")
+    write_partitioned(build_silver(trips(spark, sf_dir)), path, "pickup_month")
+    return read_partitioned(spark, path, by="pickup_month")
 
 
 def _partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eleven days out of a gold dataset stored by day."""
     path = scratch_path(spark, "days")
-    write_partitioned(build_silver(trips(spark, sf_dir)), path)
+    write_partitioned(build_gold(build_silver(trips(spark, sf_dir)), YEAR, MONTH, SWAP), path)
     return read_partitioned(spark, path, "1995-07-10", "1995-07-20")
 
 
@@ -410,13 +411,16 @@ def oracle_sql() -> dict[str, str]:
     """
     slower = f"WHERE trip_speed < (SELECT avg(trip_speed) FROM ({speeds}))"
     with_speed = f"SELECT *, {_SPEED} AS trip_speed FROM ({_TRIPS}) WHERE {_POSITIVE}"
-    by_day = f"SELECT *, CAST(tpep_pickup_datetime AS DATE) AS pickup_date FROM ({_SILVER})"
+    by_day = f"SELECT *, CAST(tpep_pickup_datetime AS DATE) AS pickup_date FROM ({_GOLD})"
+    by_month = f"""
+        SELECT *, CAST(date_trunc('month', tpep_pickup_datetime) AS DATE) AS pickup_month FROM ({_SILVER})
+    """
     return {
         "scan_trips": _TRIPS,
         "scan_recursive": _TRIPS,
         "scan_catalog_table": _TRIPS,
         "overwrite_roundtrip": _SILVER,
-        "partitioned_roundtrip": by_day,
+        "partitioned_roundtrip": by_month,
         "partition_range": f"SELECT * FROM ({by_day}) WHERE pickup_date BETWEEN '1995-07-10' AND '1995-07-20'",
         "content_digests": "SELECT doc_id, md5(text) AS md5 FROM documents",
         "incremental_ingest": f"""

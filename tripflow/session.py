@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Report the true size of hot shuffle blocks also above 2000 partitions, where
+    # Spark otherwise averages them and hot keys go unseen.
+    "spark.shuffle.accurateBlockSkewedFactor": "5.0",
 }
 
 

@@ -3,6 +3,9 @@
 Files are opaque here. Listing, spreading and comparing are Spark jobs; small
 helpers inside tasks stream the bytes that Spark's own reader cannot, so no file
 is ever held whole when it is larger than ``BLOCK_BYTES``.
+
+Spark lists no empty files: an empty source is not landed, and a landed file cut
+to nothing counts as missing.
 """
 
 from __future__ import annotations

@@ -9,6 +9,18 @@ from pyspark.sql import types as T
 from tripflow.schemas import PICKUP
 
 DAY = "pickup_date"
+MONTH = "pickup_month"
+
+# Folder columns derived from the pickup time; a month goes by its first day.
+_FOLDERS = {
+    DAY: F.to_date,
+    MONTH: lambda ts: F.trunc(ts, "month"),
+}
+
+# Enough for years of days to seldom share a shuffle partition; adaptive
+# execution merges those that stay small. Above 2000, Spark records only average
+# sizes by default, and a hot folder would no longer stand out to be split.
+SHUFFLE_PARTS = 2000
 
 
 def read_zone(
@@ -55,18 +67,20 @@ def _plain(path: str) -> str:
     return path.rstrip("/")
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = DAY) -> None:
-    """Write one folder per day of pickup, replacing only the days in ``df``.
+def write_partitioned(df: DataFrame, path: str, by: str = DAY, partitions: int = SHUFFLE_PARTS) -> None:
+    """Write one folder per value of ``by``, replacing only the folders in ``df``.
 
-    ``by`` may be any column of ``df``; the default is derived from the pickup
-    time. REBALANCE brings the rows of a day together for few files, and
-    adaptive execution splits days that are too big for one task, so a day with
-    a third of all trips becomes many files instead of one long task.
+    ``pickup_date`` and ``pickup_month`` are derived from the pickup time; any
+    other column must exist. REBALANCE brings the rows of a folder together for
+    few files, and adaptive execution splits what is too big for one task, so a
+    day with a third of all trips becomes many files instead of one long task.
+    Folders beyond ``partitions`` share shuffle partitions and come out in more,
+    smaller files.
     """
-    if by == DAY and DAY not in df.columns:
-        df = df.withColumn(DAY, F.to_date(PICKUP))
+    if by in _FOLDERS and by not in df.columns:
+        df = df.withColumn(by, _FOLDERS[by](F.col(PICKUP)))
     (
-        df.hint("rebalance", by)
+        df.hint("rebalance", partitions, by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)
@@ -79,15 +93,21 @@ def read_partitioned(
     path: str,
     first: str | None = None,
     last: str | None = None,
+    by: str = DAY,
 ) -> DataFrame:
-    """Read a dataset written by day, from ``first`` to ``last`` inclusive.
+    """Read trips stored by day or month, picked up from ``first`` to ``last`` inclusive.
 
-    Dates ('2021-03-01') are compared with the folder names: other days are not
-    listed as input at all.
+    The dates ('2021-03-01') are compared with the folder names, so that other
+    folders are not read, and with the pickup time itself.
     """
+    if by not in _FOLDERS:
+        raise ValueError(f"by must be one of {', '.join(_FOLDERS)}, not {by}")
     df = spark.read.parquet(path)
     if first is not None:
-        df = df.filter(F.col(DAY) >= F.lit(first).cast("date"))
+        start = F.lit(first).cast("date")
+        df = df.filter((F.col(by) >= _FOLDERS[by](start)) & (F.col(PICKUP) >= start.cast("timestamp_ntz")))
     if last is not None:
-        df = df.filter(F.col(DAY) <= F.lit(last).cast("date"))
+        end = F.lit(last).cast("date")
+        after = F.date_add(end, 1).cast("timestamp_ntz")
+        df = df.filter((F.col(by) <= _FOLDERS[by](end)) & (F.col(PICKUP) < after))
     return df

@@ -18,20 +18,20 @@ def ingest_new_files(
     checkpoint: str,
     schema: T.StructType = RAW_TRIPS,
     transform: Callable[[DataFrame], DataFrame] | None = None,
-    max_bytes_per_batch: str | None = None,
+    max_bytes_per_batch: int | None = None,
 ) -> None:
     """Append the rows of new Parquet files below ``source`` to ``target``; then stop.
 
     ``checkpoint`` remembers the files already read, and ``target`` the batches
     already written, so a run that dies half way repeats nothing and loses
     nothing. ``transform`` may be any row-level operator, such as
-    ``build_silver``. ``max_bytes_per_batch`` ('500g') cuts a large backlog into
-    several batches. All three paths must be on storage the executors share.
+    ``build_silver``. ``max_bytes_per_batch`` cuts a large backlog into several
+    batches. All three paths must be on storage the executors share.
     """
     require_distinct(source, target, checkpoint)
     reader = spark.readStream.schema(schema)
     if max_bytes_per_batch is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_batch))
     arriving = reader.parquet(source)
     rows = arriving if transform is None else transform(arriving)
     (
