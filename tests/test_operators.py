@@ -120,6 +120,19 @@ def test_contract(spark):
     ]
 
 
+@pytest.mark.parametrize("wanted", ["tinyint", "smallint", "int", "bigint"])
+def test_integers_fit_as_a_cast_would_have_it(spark, wanted):
+    edges = [v for bits in (8, 16, 32, 64) for v in (2 ** (bits - 1) - 1, -(2 ** (bits - 1)))]
+    edges += [v + 1 for v in edges[:-2:2]] + [v - 1 for v in edges[1:-2:2]] + [None]
+    df = spark.createDataFrame([(v,) for v in edges], "zone bigint")
+    found = check_contract(df, [ColumnRule("zone", wanted, low=0)]).first()
+    cast = F.col("zone").try_cast(wanted)
+    bad, low = df.select(
+        F.count_if(F.col("zone").isNotNull() & cast.isNull()), F.count_if(cast < 0)
+    ).first()
+    assert (found.null_rows, found.uncastable_rows, found.out_of_range_rows) == (1, bad, low)
+
+
 TIMES = st.none() | st.datetimes(datetime(2021, 2, 26), datetime(2021, 4, 3))
 TRIPS = st.lists(
     st.tuples(TIMES, TIMES, st.none() | st.floats(-5, 50), st.sampled_from([161, 237, 5, None])),

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import subprocess
+import sys
 from datetime import date, datetime, timedelta
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -206,6 +209,15 @@ def test_blocks_cover_each_file_once(spark, files):
     assert rows_of(file_blocks(spark, source, 1000)) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("helper", [landing._digest_files, landing._digest_blocks, landing._copier("/x")])
+def test_helpers_run_where_the_package_is_not_installed(helper, tmp_path):
+    code = tmp_path / "helper.pickle"
+    code.write_bytes(cloudpickle.dumps(helper))
+    load = f"from pyspark import cloudpickle; print(cloudpickle.loads(open('{code}', 'rb').read()))"
+    done = subprocess.run([sys.executable, "-c", load], cwd=tmp_path, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
 def test_relative_root_is_refused(spark):
     with pytest.raises(ValueError, match="absolute"):
         file_checksums(spark, "somewhere/else")

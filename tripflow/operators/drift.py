@@ -7,26 +7,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def column_presence(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def column_presence(spark: SparkSession, path: str) -> DataFrame:
     """Per file and column: rows, and rows with a value.
 
-    A file written before a column existed shows no value for it. ``columns``
-    may name columns that no file has. One scan; a task sends one row per file
-    it read.
+    A file written before a column existed shows no value for it. One scan; a
+    task sends one row per file it read.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    found = {name.lower(): name for name in df.columns}
-    wanted = df.columns if columns is None else columns
+    merged = _merged(spark, path)
+    return _presence(merged, merged.columns)
+
+
+def _merged(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def _presence(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column_presence`` for ``columns``, which may name some that no file has."""
+    found = {name.lower() for name in df.columns}
     counts = [
-        (F.count(found[c.lower()]) if c.lower() in found else F.count_if(F.lit(False))).alias(f"values_{i}")
-        for i, c in enumerate(wanted)
+        (F.count(c) if c.lower() in found else F.count_if(F.lit(False))).alias(f"values_{i}")
+        for i, c in enumerate(columns)
     ]
     per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("rows"), *counts
     )
     cells = [
         F.struct(F.lit(c).alias("column"), F.col(f"values_{i}").alias("non_null_rows"))
-        for i, c in enumerate(wanted)
+        for i, c in enumerate(columns)
     ]
     return per_file.select("file", "rows", F.inline(F.array(*cells)))
 
@@ -38,11 +45,11 @@ def schema_drift(spark: SparkSession, path: str, contract: T.StructType) -> Data
     ``type_changed``; with the number of files that hold no value for it. Files
     that disagree on a type Spark cannot merge fail here, naming both types.
     """
-    merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+    merged = _merged(spark, path)
     expected = {f.name.lower(): f for f in contract.fields}
-    actual = {f.name.lower(): f for f in merged.fields}
+    actual = {f.name.lower(): f for f in merged.schema.fields}
     names = [f.name for f in contract.fields]
-    names += [f.name for f in merged.fields if f.name.lower() not in expected]
+    names += [f.name for f in merged.schema.fields if f.name.lower() not in expected]
     labels = []
     for name in names:
         old, new = expected.get(name.lower()), actual.get(name.lower())
@@ -68,7 +75,7 @@ def schema_drift(spark: SparkSession, path: str, contract: T.StructType) -> Data
         ]
     )
     return (
-        column_presence(spark, path, names)
+        _presence(merged, names)
         .groupBy("column")
         .agg(
             F.count(F.lit(1)).alias("files"),

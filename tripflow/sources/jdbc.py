@@ -55,6 +55,8 @@ def read_jdbc(
 ) -> DataFrame:
     """Scan a table in parallel; its schema comes from the database.
 
+    ``read_jdbc(…).createOrReplaceTempView(name)`` makes it a table for SQL.
+
     Either ``predicates``, one task each, which must cover the table without
     overlap (``time_slices`` makes such a list), or ``partition_column`` with
     bounds that only shape the split: rows outside them are still read. One of

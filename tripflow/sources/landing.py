@@ -13,13 +13,18 @@ from __future__ import annotations
 import hashlib
 import posixpath
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Send the helpers below to tasks as code: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Largest piece a task holds at once through Spark's binary reader.
 BLOCK_BYTES = 128 * 1024 * 1024
 _READ_BYTES = 8 * 1024 * 1024
