@@ -103,14 +103,16 @@ def _overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "months")
     write_partitioned(build_silver(trips(spark, sf_dir)), path, "pickup_month")
-    return read_partitioned(spark, path, by="pickup_month")
+    found = read_partitioned(spark, path, by="pickup_month")
+    return found.withColumn("pickup_month", F.col("pickup_month").cast("string"))
 
 
 def _partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eleven days out of a gold dataset stored by day."""
     path = scratch_path(spark, "days")
     write_partitioned(build_gold(build_silver(trips(spark, sf_dir)), YEAR, MONTH, SWAP), path)
-    return read_partitioned(spark, path, "1995-07-10", "1995-07-20")
+    found = read_partitioned(spark, path, "1995-07-10", "1995-07-20")
+    return found.withColumn("pickup_date", F.col("pickup_date").cast("string"))
 
 
 def _verify_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,9 +413,9 @@ def oracle_sql() -> dict[str, str]:
     """
     slower = f"WHERE trip_speed < (SELECT avg(trip_speed) FROM ({speeds}))"
     with_speed = f"SELECT *, {_SPEED} AS trip_speed FROM ({_TRIPS}) WHERE {_POSITIVE}"
-    by_day = f"SELECT *, CAST(tpep_pickup_datetime AS DATE) AS pickup_date FROM ({_GOLD})"
+    by_day = f"SELECT *, CAST(CAST(tpep_pickup_datetime AS DATE) AS VARCHAR) AS pickup_date FROM ({_GOLD})"
     by_month = f"""
-        SELECT *, CAST(date_trunc('month', tpep_pickup_datetime) AS DATE) AS pickup_month FROM ({_SILVER})
+        SELECT *, strftime(tpep_pickup_datetime, '%Y-%m-01') AS pickup_month FROM ({_SILVER})
     """
     return {
         "scan_trips": _TRIPS,

@@ -145,6 +145,14 @@ def test_register_and_drift(spark, tmp_path, caplog):
     assert [r.a for r in table.collect()] == [4]
 
 
+def test_a_table_follows_its_dataset(spark, tmp_path):
+    for i in (1, 2):
+        spark.range(i).write.parquet(str(tmp_path / f"zone{i}"))
+        name = register_zone(spark, str(tmp_path / f"zone{i}"), "zones_db", "moving")
+        assert read_table(spark, name).count() == i
+    assert spark.read.parquet(str(tmp_path / "zone1")).count() == 1
+
+
 def test_registered_days_are_partitions(spark, tmp_path):
     path = str(tmp_path / "days")
     write_partitioned(trips(spark, [1, 2]), path)

@@ -6,6 +6,8 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.sources.zones import same_spelling
+
 log = logging.getLogger(__name__)
 
 
@@ -25,7 +27,8 @@ def register_zone(
 
     The schema is merged from all files. On a later call new columns and changed
     types are applied; columns that no file has any more stay in the table and
-    are only logged. Rows are never moved: the table points at ``path``.
+    are only logged. Rows are never moved: the table points at ``path``, also
+    when it pointed elsewhere before.
     """
     name = f"`{database}`.`{prefix}{table}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -43,8 +46,9 @@ def register_zone(
     changed = [f.name for key, f in after.items() if key in before and before[key].dataType != f.dataType]
     if gone:
         log.warning("%s: no file has column(s) %s any more", name, ", ".join(gone))
-    if changed:
-        log.info("%s: new type for %s", name, ", ".join(changed))
+    moved = same_spelling(_location(spark, name)) != same_spelling(path)
+    if changed or moved:
+        log.info("%s: at %s, new type for %s", name, path, ", ".join(changed) or "no column")
         spark.sql(f"DROP TABLE {name}")
         _create(spark, name, path)
         added = [before[column.lower()] for column in gone]
@@ -60,6 +64,11 @@ def _create(spark: SparkSession, name: str, path: str) -> None:
     _refresh(spark, name)
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    return details.filter("col_name = 'Location'").first().data_type
+
+
 def _refresh(spark: SparkSession, name: str) -> None:
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)

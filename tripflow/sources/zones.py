@@ -52,15 +52,15 @@ def write_zone(df: DataFrame, path: str) -> None:
 
 def require_distinct(*paths: str) -> None:
     """Raise unless no path equals or contains another."""
-    stems = [_plain(p) for p in paths]
+    stems = [same_spelling(p) for p in paths]
     for i, one in enumerate(stems):
         for other in stems[i + 1 :]:
             if one == other or one.startswith(other + "/") or other.startswith(one + "/"):
                 raise ValueError(f"paths overlap: {one} and {other}")
 
 
-def _plain(path: str) -> str:
-    """One spelling per path: 'file:///a/', 'file:/a' and '/a' are the same."""
+def same_spelling(path: str) -> str:
+    """One spelling per local path: 'file:///a/', 'file:/a' and '/a' are the same."""
     scheme, colon, rest = path.partition(":")
     if colon and scheme == "file":
         path = "/" + rest.lstrip("/")
