@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from contextlib import contextmanager
+from datetime import datetime, timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tripflow.functions import duration_hours, epoch_floor, iso_week, iso_year, month_bounds
+from tripflow.functions import duration_hours, elapsed_seconds, epoch_floor, iso_week, iso_year, month_bounds
 from tripflow.operators import (
     average_speed,
     drop_bad_durations,
@@ -155,6 +158,20 @@ def test_weeks_of_two_years(spark):
     assert split == [(2020, 10, 4, 2, 1), (2021, 9, 4, 2, 1), (2022, 9, 4, 1, 1)]
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.datetimes(), st.datetimes()), min_size=1, max_size=40))
+def test_elapsed_and_epoch_equal_exact_arithmetic(spark, pairs):
+    """Against Python's own clock arithmetic, over years 1 to 9999."""
+    start = datetime(1970, 1, 1)
+    second, micro = timedelta(seconds=1), timedelta(microseconds=1)
+    with session(spark, "America/New_York"):
+        times = spark.createDataFrame(pairs, "p timestamp_ntz, d timestamp_ntz")
+        p, d = F.col("p"), F.col("d")
+        found = times.select(epoch_floor(p), epoch_floor(d), elapsed_seconds(p, d)).collect()
+    expected = [((p - start) // second, (d - start) // second, ((d - p) // micro) / 1e6) for p, d in pairs]
+    assert [tuple(r) for r in found] == expected
+
+
 @pytest.mark.parametrize(
     ("text", "seconds"),
     [
@@ -167,24 +184,53 @@ def test_weeks_of_two_years(spark):
         ("9999-12-31 23:59:59.999999", 253402300799),
     ],
 )
-def test_epoch_floor(spark, text, seconds):
-    ts = F.lit(text).cast("timestamp_ntz")
-    assert spark.range(1).select(epoch_floor(ts)).first()[0] == seconds
-
-
-@pytest.fixture
-def new_york(spark):
-    before = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    yield
-    spark.conf.set("spark.sql.session.timeZone", before)
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kathmandu"])
+def test_epoch_floor(spark, text, seconds, zone):
+    with session(spark, timeZone=zone):
+        ts = F.lit(text).cast("timestamp_ntz")
+        assert spark.range(1).select(epoch_floor(ts)).first()[0] == seconds
+        stored = spark.createDataFrame([(text,)], "t string").select(F.col("t").cast("timestamp_ntz"))
+        assert stored.select(epoch_floor(F.col("t"))).first()[0] == seconds
+
+
+@contextmanager
+def session(spark, timeZone, timestampType="TIMESTAMP_LTZ"):
+    chosen = {"spark.sql.session.timeZone": timeZone, "spark.sql.timestampType": timestampType}
+    before = {key: spark.conf.get(key) for key in chosen}
+    for key, value in chosen.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@pytest.fixture(params=["TIMESTAMP_LTZ", "TIMESTAMP_NTZ"])
+def new_york(spark, request):
+    with session(spark, "America/New_York", request.param):
+        yield
+
+
+# wall-clock hours around the missing hour of spring and the repeated one of autumn
+SHIFTS = [
+    ("2021-03-14 02:30:00", "2021-03-14 03:30:00", 1.0),
+    ("2021-03-14 01:30:00", "2021-03-14 03:30:00", 2.0),
+    ("2021-03-14 01:30:00", "2021-03-14 02:30:00", 1.0),
+    ("2021-11-07 00:30:00", "2021-11-07 01:30:00", 1.0),
+    ("2021-11-07 00:30:00", "2021-11-07 02:30:00", 2.0),
+    ("1890-05-01 00:00:00", "2021-05-01 00:00:00", (datetime(2021, 5, 1) - datetime(1890, 5, 1)).days * 24.0),
+]
 
 
 def test_daylight_saving_does_not_matter(spark, gold, new_york):
-    times = spark.sql(
-        "SELECT timestamp_ntz'2021-03-14 02:30:00' AS p, timestamp_ntz'2021-03-14 03:30:00' AS d"
+    times = spark.createDataFrame(SHIFTS, "p string, d string, hours double").select(
+        F.col("p").cast("timestamp_ntz").alias("p"), F.col("d").cast("timestamp_ntz").alias("d"), "hours"
     )
-    assert times.select(duration_hours(F.col("p"), F.col("d"))).first()[0] == 1.0
+    p, d = F.col("p"), F.col("d")
+    for row in times.select(duration_hours(p, d), elapsed_seconds(p, d) / 3600, "hours").collect():
+        assert row[0] == row[1] == row[2]
+    assert [tuple(r) for r in slow_zone_report_sql(spark, gold).collect()] == REPORT_ROWS
     assert [tuple(r) for r in slow_zone_report(gold).collect()] == REPORT_ROWS
     assert {r.trip_duration for r in gold.filter("PULocationID = 236").collect()} == {2.0}
 

@@ -196,8 +196,9 @@ def _brute_report(trips, k):
 def test_report_equals_brute_force(spark, trips, k):
     expected = _brute_report(trips, k)
     if expected is not None:
-        report = slow_zone_report(spark.createDataFrame(trips, RAW_TRIPS), k)
-        assert [tuple(r) for r in report.collect()] == expected
+        raw = spark.createDataFrame(trips, RAW_TRIPS)
+        assert [tuple(r) for r in slow_zone_report(raw, k).collect()] == expected
+        assert [tuple(r) for r in slow_zone_report(build_silver(raw), k).collect()] == expected
 
 
 def test_drift(spark, tmp_path):

@@ -52,12 +52,13 @@ _REPORT_SQL = """
 WITH moving AS (
     SELECT CAST(weekofyear(tpep_pickup_datetime) AS BIGINT) AS week,
            PULocationID,
-           try_divide(
-               trip_distance,
-               CAST(CAST(CAST(tpep_dropoff_datetime - tpep_pickup_datetime AS INTERVAL SECOND)
-                    AS DECIMAL(18, 6)) AS DOUBLE) / 3600
-           ) AS mph
-    FROM {trips}
+           try_divide(trip_distance, (ends - starts) / 1e6D / 3600) AS mph
+    FROM (
+        SELECT *,
+               unix_micros(to_timestamp_ltz(tpep_pickup_datetime, 'yyyy-MM-dd HH:mm:ss')) AS starts,
+               unix_micros(to_timestamp_ltz(tpep_dropoff_datetime, 'yyyy-MM-dd HH:mm:ss')) AS ends
+        FROM {trips}
+    )
     WHERE tpep_dropoff_datetime > tpep_pickup_datetime
 ),
 threshold AS (
