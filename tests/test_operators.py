@@ -223,3 +223,11 @@ def test_drift(spark, tmp_path):
     )
     lacking = column_presence(spark, path).filter("column = 'c' AND non_null_rows = 0")
     assert [r.rows for r in lacking.collect()] == [2]
+
+
+def test_types_that_cannot_be_merged_are_reported(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    spark.sql("SELECT 1 AS a").write.parquet(path)
+    spark.sql("SELECT 'x' AS a").write.mode("append").parquet(path)
+    with pytest.raises(Exception, match="(?s)INT.*STRING|STRING.*INT"):
+        schema_drift(spark, path, T.StructType([T.StructField("a", T.IntegerType())]))

@@ -162,6 +162,10 @@ def test_registered_days_are_partitions(spark, tmp_path):
     register_zone(spark, path, "zones_db", "by_day")
     assert read_table(spark, name).count() == 3
     assert spark.sql(f"SHOW PARTITIONS {name}").count() == 3
+    write_partitioned(trips(spark, [4]), path, replace_all=True)
+    register_zone(spark, path, "zones_db", "by_day")
+    assert [r.pickup_date for r in read_table(spark, name).collect()] == [date(2021, 3, 4)]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 1
 
 
 def test_a_managed_table_is_left_alone(spark, tmp_path):
@@ -380,6 +384,14 @@ def test_batch(spark, tmp_path, by_day):
         assert read_table(spark, f"batch_db.t{by_day}_bronze").count() == 3
     assert slow_zone_report(read_zone(spark, plan.gold)).collect() == []
 
+    # a day that is gone from the raw files goes from every later dataset
+    bronze_only = config(tmp_path, database="batch_db", table_prefix=f"t{by_day}_", silver_by_day=by_day)
+    write_zone(trips(spark, [2], zone=161), plan.bronze)
+    run_pipeline(spark, bronze_only)
+    for zone in ("silver", "gold"):
+        days = {r.tpep_pickup_datetime.day for r in read_table(spark, f"batch_db.t{by_day}_{zone}").collect()}
+        assert days == {2}
+
 
 def test_a_damaged_landing_stops_the_batch(spark, tmp_path, monkeypatch):
     source = str(tmp_path / "source")

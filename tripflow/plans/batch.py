@@ -57,7 +57,7 @@ def run_pipeline(spark: SparkSession, config: BatchConfig) -> None:
 
     silver = build_silver(read_zone(spark, config.bronze))
     if config.silver_by_day:
-        write_partitioned(silver, config.silver)
+        write_partitioned(silver, config.silver, replace_all=True)
     else:
         write_zone(silver, config.silver)
 

@@ -71,5 +71,6 @@ def _location(spark: SparkSession, name: str) -> str:
 
 def _refresh(spark: SparkSession, name: str) -> None:
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
-        spark.catalog.recoverPartitions(name)
+        # Folders that are gone leave the table, new ones enter it.
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)

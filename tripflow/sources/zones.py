@@ -67,9 +67,16 @@ def same_spelling(path: str) -> str:
     return path.rstrip("/")
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = DAY, partitions: int = SHUFFLE_PARTS) -> None:
+def write_partitioned(
+    df: DataFrame,
+    path: str,
+    by: str = DAY,
+    partitions: int = SHUFFLE_PARTS,
+    replace_all: bool = False,
+) -> None:
     """Write one folder per value of ``by``, replacing only the folders in ``df``.
 
+    With ``replace_all`` folders that ``df`` has no rows for go as well.
     ``pickup_date`` and ``pickup_month`` are derived from the pickup time; any
     other column must exist. REBALANCE brings the rows of a folder together for
     few files, and adaptive execution splits what is too big for one task, so a
@@ -82,7 +89,7 @@ def write_partitioned(df: DataFrame, path: str, by: str = DAY, partitions: int =
     (
         df.hint("rebalance", partitions, by)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(by)
         .parquet(path)
     )
