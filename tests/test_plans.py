@@ -67,7 +67,9 @@ def test_month_reaches_the_scan(spark, silver_path):
 @pytest.mark.parametrize("by", ["pickup_date", "pickup_month"])
 def test_dates_prune_folders(spark, silver_path, tmp_path, by):
     path = str(tmp_path / "folders")
-    summer = read_zone(spark, silver_path).filter("year(tpep_pickup_datetime) = 1995 AND quarter(tpep_pickup_datetime) = 3")
+    summer = read_zone(spark, silver_path).filter(
+        "year(tpep_pickup_datetime) = 1995 AND quarter(tpep_pickup_datetime) = 3"
+    )
     write_partitioned(summer, path, by)
     found = read_partitioned(spark, path, "1995-07-03", "1995-07-09", by)
     plan = plan_of(found)

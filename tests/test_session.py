@@ -1,0 +1,17 @@
+"""The session's settings, also where a session exists already."""
+
+from __future__ import annotations
+
+from tripflow import get_session
+from tripflow.session import SETTINGS
+
+
+def test_settings_apply(spark):
+    for key, value in SETTINGS.items():
+        assert spark.conf.get(key) == value
+
+
+def test_an_existing_session_is_reused(spark):
+    again = get_session("other", **{"spark.sql.shuffle.partitions": "8"})
+    assert again.sparkContext.applicationId == spark.sparkContext.applicationId
+    assert again.conf.get("spark.sql.session.timeZone") == "UTC"
