@@ -58,6 +58,15 @@ from tripflow.sources.samples import event_trips, order_trips, second_trips, tab
 from tripflow.sources.scratch import scratch_path
 from tripflow.streaming import ingest_new_files
 
+# The text operators and their pipeline come as one optional part.
+try:
+    import corpus_pipeline
+    from tripflow.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tripflow.llm", "tripflow.llm.queries"):
+        raise
+    corpus_pipeline = text_queries = None
+
 # The month and the pair of mislabelled zones for the given tables.
 YEAR, MONTH = 1995, 7
 SWAP = {3: 7, 7: 3}
@@ -212,6 +221,22 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, sf_dir)."""
+    return trip_queries() | (
+        text_queries.queries() | {"pipeline": corpus_pipeline.run} if text_queries else {}
+    )
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL per query. Left out: file digests, which depend on where files lie."""
+    found = trip_oracle_sql()
+    if text_queries:
+        found |= text_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def trip_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # scans, sources and sinks
         "scan_trips": trips,
@@ -405,8 +430,7 @@ def _rejected(month: bool) -> str:
     """
 
 
-def oracle_sql() -> dict[str, str]:
-    """SQL per query. Left out: file digests, which depend on where files lie."""
+def trip_oracle_sql() -> dict[str, str]:
     speeds = f"SELECT * FROM ({_WEEK_SPEED.format(source=f'({_TRIPS})')})"
     by_week = f"""
         SELECT week, "PULocationID", count(*) AS trip_count FROM ({speeds}) {{slow}}

@@ -13,8 +13,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-QUERIES = registry.queries()
-ORACLE = registry.oracle_sql()
+QUERIES = registry.trip_queries()
+ORACLE = registry.trip_oracle_sql()
 
 
 @pytest.fixture(scope="module")
