@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import exact, mixing, urls
+import public_tokenizers
+
+from tripflow.llm import bpe, exact, mixing, toxicity, urls
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +26,24 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode_digests(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_exact_dedup": _exact_dedup,
         "op4_source_mixing": _mixing,
+        "op6_byte_bpe": _byte_bpe,
+        "op8_toxicity": _toxicity,
         "op10_url_filter": _url_filter,
     }
 
