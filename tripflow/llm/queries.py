@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tripflow.llm import bpe, exact, mixing, toxicity, urls
+from tripflow.llm import bpe, exact, html_text, mixing, neardup, toxicity, urls
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,14 @@ def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, similar=80)
+
+
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,6 +52,8 @@ def queries() -> dict[str, Query]:
         "op4_source_mixing": _mixing,
         "op6_byte_bpe": _byte_bpe,
         "op8_toxicity": _toxicity,
+        "op2_html_text": _html_text,
+        "op9_near_duplicates": _near_duplicates,
         "op10_url_filter": _url_filter,
     }
 
