@@ -7,9 +7,10 @@ result of byte-level BPE per document of the mix.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import exact, mixing
+from tripflow.llm import bpe, exact, mixing, neardup, toxicity
 from tripflow.llm.common import stored, table
 
 # The classifier, the shingle hashes and the tokenizer are beyond SQL: the stages
@@ -17,17 +18,38 @@ from tripflow.llm.common import stored, table
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one document stays."""
     return exact.drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: five words, 80 %."""
+    return neardup.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
     return mixing.mix(docs)
 
 
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of each document of the mix, and the text they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode_decode_digests(docs, path, public_tokenizers.PATTERN)
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
     ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", byte_bpe),
 ]
 
 
