@@ -5,9 +5,9 @@ tree of the forest is one order of the sets, sorted by a rotation of the
 signature, so sets that share a long prefix stand next to each other. A region
 of a tree is what shares a prefix; its depth adapts to how crowded it is.
 
-1. In every tree, neighbours in the sorted order are candidates. Of these, each
-   set's most alike ones are confirmed and joined to components: large groups of
-   copies become one component by a few links per member.
+1. In every tree, neighbours in the sorted order are candidates. A few of each
+   set, drawn over all trees, are confirmed and joined to components: large groups
+   of copies become one component by a few links per member.
 2. Then all pairs within a region whose components still differ are candidates,
    if a sketch of 128 bits and their sizes leave a similarity of 80 % possible;
    they are confirmed, too. So pairs inside a group are never listed, and no
@@ -40,10 +40,12 @@ DEPTHS = (3, 5, 8)
 CROWDED = 4096
 VALUES = TREES * DEPTHS[0]
 # A sketch keeps two bits of each of 64 values. At a similarity of 0.8 some 54
-# agree, with a deviation of 2.9; fewer than this many do once in 10 million.
-AGREE = 38
+# agree, with a deviation of 2.9; fewer than this many do in 2 of 100,000 cases.
+AGREE = 42
 # Neighbours looked at in each direction, and kept per set.
-AHEAD, KEPT = 2, 2
+AHEAD, KEPT = 2, 4
+# Shingles that a task remembers while it confirms pairs.
+REMEMBERED = 4_000_000
 
 _ODD = (np.random.default_rng(20).integers(1 << 62, size=VALUES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _XOR = np.random.default_rng(21).integers(1 << 63, size=VALUES, dtype=np.uint64)
@@ -166,10 +168,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             agree = _agreeing(s0[left], s0[right]) + _agreeing(s1[left], s1[right])
             good = (region[left] == region[right]) & (agree >= AGREE)
-            found.append((rep[left][good], rep[right][good], agree[good].astype(np.int64)))
+            found.append((rep[left][good], rep[right][good]))
         held = [column[-AHEAD:] for column in here]
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["a", "b", "agree"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["a", "b"])
 
 
 def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -187,7 +189,11 @@ def _agreement(left: str, right: str) -> Column:
 
 
 def _neighbour_pairs(sets: DataFrame) -> DataFrame:
-    """Per set the ``KEPT`` neighbours that agree most, over all trees, as pairs ``a < b``."""
+    """Per set ``KEPT`` of its neighbours over all trees, drawn by a hash, as pairs ``a < b``.
+
+    Drawn, and not the most alike: those would tie a large group together in many
+    small knots and leave the pairs between the knots to the second step.
+    """
     from pyspark.sql import Window
 
     entries = _entries(sets)
@@ -197,13 +203,13 @@ def _neighbour_pairs(sets: DataFrame) -> DataFrame:
     sorted_rows = entries.repartitionByRange(partitions, "region", "on", "rep").sortWithinPartitions("region", "on", "rep")
     found = (
         sorted_rows.select("region", "rep", "s0", "s1")
-        .mapInArrow(_neighbours, "a bigint, b bigint, agree bigint")
+        .mapInArrow(_neighbours, "a bigint, b bigint")
         .filter("a <> b")
     )
     # A set has at most 2 * AHEAD neighbours per tree, so these groups are small.
-    either = found.union(found.select("b", "a", "agree")).distinct()
-    best = Window.partitionBy("a").orderBy(F.desc("agree"), F.xxhash64("a", "b"), "b")
-    ranked = either.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= KEPT)
+    either = found.union(found.select("b", "a")).distinct()
+    drawn = Window.partitionBy("a").orderBy(F.xxhash64("a", "b"), "b")
+    ranked = either.withColumn("place", F.row_number().over(drawn)).filter(F.col("place") <= KEPT)
     return ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -257,11 +263,27 @@ def _confirmed(k: int, similar: int):
 
         unpack = zstandard.ZstdDecompressor().decompress
         hashes = _WordHashes()
+        # The sets met so far, by document: members of a group come again and again.
+        known: dict[int, np.ndarray] = {}
+        held = 0
+
+        def set_of(doc_id: int, text: pa.Scalar) -> np.ndarray:
+            nonlocal held
+            if doc_id not in known:
+                if held > REMEMBERED:
+                    known.clear()
+                    held = 0
+                known[doc_id] = shingles(unpack(text.as_py()).split(), k, hashes)
+                held += len(known[doc_id])
+            return known[doc_id]
+
         for batch in batches:
             good = []
-            for one, other in zip(batch.column("text_a"), batch.column("text_b")):
-                x, y = (shingles(unpack(t.as_py()).split(), k, hashes) for t in (one, other))
-                common = len(np.intersect1d(x, y, assume_unique=True))
+            ids = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())
+            for (a, b), one, other in zip(ids, batch.column("text_a"), batch.column("text_b")):
+                x, y = sorted((set_of(a, one), set_of(b, other)), key=len)
+                at = np.searchsorted(y, x)
+                common = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
                 good.append(100 * common >= similar * (len(x) + len(y) - common))
             kept = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
             yield kept
