@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tripflow.llm import bpe, exact, html_text, mixing, neardup, toxicity, urls
+from tripflow.llm import bpe, exact, html_text, lm, mixing, neardup, repair, toxicity, urls, winnow
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,22 @@ def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.write_and_index(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+    )
+
+
+def _pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def _html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -48,11 +64,14 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_pseudo_likelihood": _pseudo_likelihood,
+        "op2_html_text": _html_text,
         "op3_exact_dedup": _exact_dedup,
         "op4_source_mixing": _mixing,
+        "op5_fingerprints": _fingerprints,
         "op6_byte_bpe": _byte_bpe,
+        "op7_token_shards": _token_shards,
         "op8_toxicity": _toxicity,
-        "op2_html_text": _html_text,
         "op9_near_duplicates": _near_duplicates,
         "op10_url_filter": _url_filter,
     }
