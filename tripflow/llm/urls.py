@@ -99,9 +99,13 @@ def rule_index(spark: SparkSession, places: DataFrame, rules: tuple[Rule, ...])
         [(r.name, r.regex, list(r.tokens) or [""], r.verdict, r.stated) for r in rules],
         "rule string, regex string, tokens array<string>, verdict string, stated boolean",
     )
-    asked = listed.select(F.explode("tokens").alias("token")).distinct()
+    # One row per token of the rules, which the driver holds anyway. URLs do not move for it.
+    asked = spark.createDataFrame([(t,) for t in sorted({t for r in rules for t in r.tokens} | {""})], "token string")
     counts = (
-        places.select(F.explode("tokens").alias("token")).join(asked, "token", "left_semi").groupBy("token").count()
+        places.select(F.explode("tokens").alias("token"))
+        .join(F.broadcast(asked), "token", "left_semi")
+        .groupBy("token")
+        .count()
     )
     return (
         listed.select("*", F.explode("tokens").alias("token"))
