@@ -142,19 +142,20 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     if not ids.filter("count > 1").isEmpty():
         rows = rows.dropDuplicates(["doc_id", "key"])
     order = stored(_next_documents(ids), "winnow-next")
-    # Both uses of this read the same columns, so that they share one shuffle.
+    # Both uses of this have the same columns under the same names: only so they share one shuffle.
     marked = with_selected(rows, "text", "selected").select(
         "doc_id", "key", "text", hashes_of("selected").alias("hashes")
     )
     # What each document hands to the one it follows: the piece it needs, and the hashes.
-    owner = marked.select(F.col("doc_id").alias("own_id"), F.col("key").alias("own_key"), "text", "hashes")
     taker = order.select(
         F.col("doc_id").alias("to_id"), F.col("key").alias("to_key"), F.col("cut").alias("to_cut"), "next_id", "next_key"
     )
-    handed = owner.join(
-        taker, F.col("own_id").eqNullSafe(F.col("next_id")) & (F.col("own_key") == F.col("next_key"))
-    ).select("to_id", "to_key", F.expr("substring(text, 1, to_cut)").alias("piece"), F.col("hashes").alias("next_hashes"))
-    both = marked.join(handed, F.col("doc_id").eqNullSafe(F.col("to_id")) & (F.col("key") == F.col("to_key")))
+    handed = (
+        marked.alias("owner")
+        .join(taker, F.col("owner.doc_id").eqNullSafe(F.col("next_id")) & (F.col("owner.key") == F.col("next_key")))
+        .select("to_id", "to_key", F.expr("substring(text, 1, to_cut)").alias("piece"), F.col("hashes").alias("next_hashes"))
+    )
+    both = marked.join(handed, marked["doc_id"].eqNullSafe(F.col("to_id")) & (marked["key"] == F.col("to_key")))
     edited = both.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
