@@ -8,10 +8,12 @@ of a tree is what shares a prefix; its depth adapts to how crowded it is.
 1. In every tree, neighbours in the sorted order are candidates. A few of each
    set, drawn over all trees, are confirmed and joined to components: large groups
    of copies become one component by a few links per member.
-2. Then all pairs within a region whose components still differ are candidates,
-   if a sketch of 128 bits and their sizes leave a similarity of 80 % possible;
-   they are confirmed, too. So pairs inside a group are never listed, and no
-   number of partners is capped.
+2. Then all pairs whose components still differ are candidates if a sketch of
+   128 bits and their sizes leave a similarity of 80 % possible, and if either
+   candidates of step 1 connect them or they share a region. They are confirmed,
+   too. So pairs inside a component are never listed, and no number of partners
+   is capped. Within a reach a parity sketch rules out most of what is almost
+   similar enough; it never rules out a link, see ``parity``.
 
 A pair of similarity J is missed only if it shares no region in any tree: at 0.8
 and the usual depth with probability (1 - 0.8**3)**24 < 4e-8, in regions of the
@@ -42,8 +44,11 @@ VALUES = TREES * DEPTHS[0]
 # A sketch keeps two bits of each of 64 values. At a similarity of 0.8 some 54
 # agree, with a deviation of 2.9; fewer than this many do in 2 of 100,000 cases.
 AGREE = 42
-# Neighbours looked at in each direction, and kept per set.
-AHEAD, KEPT = 2, 4
+# Neighbours looked at in each direction; and kept per set: drawn ones, and the
+# most alike.
+AHEAD, DRAWN, ALIKE = 2, 8, 4
+# Bits of the parity sketch, in 64s.
+PARITY = 16
 # Shingles that a task remembers while it confirms pairs.
 REMEMBERED = 4_000_000
 
@@ -101,15 +106,26 @@ def sketch(values: np.ndarray) -> tuple[int, int]:
     return tuple(halves.view(np.int64).tolist())
 
 
+def parity(own: np.ndarray) -> np.ndarray:
+    """Per bit, whether an odd number of shingles falls on it.
+
+    Of two sets, each shingle that only one of them has flips one bit, so the
+    bits that differ are never more than the shingles that differ: where they are
+    more than a link allows, there is no link.
+    """
+    counts = np.bincount((own >> np.uint64(20)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sets(k: int):
     import hashlib
 
-    names = ["doc_id", "n_shingles", "set_key", "signature", "s0", "s1"]
+    names = ["doc_id", "n_shingles", "set_key", "signature", "s0", "s1", "odd"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            n, keys, signatures, s0, s1 = [], [], [], [], []
+            n, keys, signatures, s0, s1, odd = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 own = shingles(words_of(text), k, hashes)
                 values = signature(own)
@@ -119,6 +135,7 @@ def _sets(k: int):
                 signatures.append(values.view(np.int32))
                 s0.append(a)
                 s1.append(b)
+                odd.append(parity(own))
             columns = [
                 batch.column("doc_id"),
                 pa.array(n, pa.int64()),
@@ -126,6 +143,7 @@ def _sets(k: int):
                 pa.array(signatures, pa.list_(pa.int32())),
                 pa.array(s0, pa.int64()),
                 pa.array(s1, pa.int64()),
+                pa.array(odd, pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -168,10 +186,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             agree = _agreeing(s0[left], s0[right]) + _agreeing(s1[left], s1[right])
             good = (region[left] == region[right]) & (agree >= AGREE)
-            found.append((rep[left][good], rep[right][good]))
+            found.append((rep[left][good], rep[right][good], agree[good]))
         held = [column[-AHEAD:] for column in here]
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["a", "b", "agree"])
 
 
 def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -189,10 +207,11 @@ def _agreement(left: str, right: str) -> Column:
 
 
 def _neighbour_pairs(sets: DataFrame) -> DataFrame:
-    """Per set ``KEPT`` of its neighbours over all trees, drawn by a hash, as pairs ``a < b``.
+    """Some neighbours of each set over all trees, as pairs ``a < b``.
 
-    Drawn, and not the most alike: those would tie a large group together in many
-    small knots and leave the pairs between the knots to the second step.
+    Mainly drawn by a hash: the most alike ones alone would tie a large group
+    together in many small knots and leave the pairs between the knots to the
+    second step.
     """
     from pyspark.sql import Window
 
@@ -203,13 +222,18 @@ def _neighbour_pairs(sets: DataFrame) -> DataFrame:
     sorted_rows = entries.repartitionByRange(partitions, "region", "on", "rep").sortWithinPartitions("region", "on", "rep")
     found = (
         sorted_rows.select("region", "rep", "s0", "s1")
-        .mapInArrow(_neighbours, "a bigint, b bigint")
+        .mapInArrow(_neighbours, "a bigint, b bigint, agree bigint")
         .filter("a <> b")
     )
     # A set has at most 2 * AHEAD neighbours per tree, so these groups are small.
-    either = found.union(found.select("b", "a")).distinct()
-    drawn = Window.partitionBy("a").orderBy(F.xxhash64("a", "b"), "b")
-    ranked = either.withColumn("place", F.row_number().over(drawn)).filter(F.col("place") <= KEPT)
+    either = found.union(found.select("b", "a", "agree")).distinct()
+    own = Window.partitionBy("a")
+    ranked = either.select(
+        "a",
+        "b",
+        F.row_number().over(own.orderBy(F.xxhash64("a", "b"), "b")).alias("draw"),
+        F.row_number().over(own.orderBy(F.desc("agree"), "b")).alias("place"),
+    ).filter((F.col("draw") <= DRAWN) | (F.col("place") <= ALIKE))
     return ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -218,7 +242,7 @@ def _regions(sets: DataFrame) -> DataFrame:
     rows = sets.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
     prefixes = [f"p{d}" for d in DEPTHS]
     rows = rows.select(
-        "rep", "n_shingles", "s0", "s1", "component", *[_prefix(F.col("tree"), d).alias(p) for d, p in zip(DEPTHS, prefixes)]
+        "rep", "n_shingles", "s0", "s1", "component", "reach", *[_prefix(F.col("tree"), d).alias(p) for d, p in zip(DEPTHS, prefixes)]
     )
     region = F.col(prefixes[0])
     for i, (shallow, deep) in enumerate(zip(prefixes, prefixes[1:])):
@@ -231,22 +255,45 @@ def _regions(sets: DataFrame) -> DataFrame:
         region = F.when(F.col(f"crowded{i}").isNotNull(), F.col(deep)).otherwise(region) if i == 0 else F.when(
             F.col(f"crowded{i}").isNotNull() & F.col("crowded0").isNotNull(), F.col(deep)
         ).otherwise(region)
-    return rows.select(region.alias("region"), "rep", "n_shingles", "s0", "s1", "component")
+    return rows.select(region.alias("region"), "rep", "n_shingles", "s0", "s1", "component", "reach")
+
+
+def _possible_pairs(sets: DataFrame, similar: int) -> DataFrame:
+    """Pairs ``a < b`` of different components that may be similar enough.
+
+    ``reach`` names what candidates of the first step connect, confirmed or not:
+    all pairs within it are looked at once, instead of once per tree. Pairs of
+    different reaches are looked at in every region they share.
+    """
+    bits = [F.get("odd", F.lit(i)).alias(f"o{i}") for i in range(PARITY)]
+    one_by_one = sets.select("reach", "rep", "n_shingles", "s0", "s1", "component", *bits)
+    differ = sum((F.bit_count(F.col(f"x.o{i}").bitwiseXOR(F.col(f"y.o{i}"))) for i in range(PARITY)), F.lit(0))
+    both = F.col("x.n_shingles") + F.col("y.n_shingles")
+    within = _matching(
+        one_by_one,
+        similar,
+        F.col("x.reach") == F.col("y.reach"),
+        differ * (100 + similar) <= both * (100 - similar),
+    )
+    across = _matching(
+        _regions(sets), similar, (F.col("x.region") == F.col("y.region")) & (F.col("x.reach") != F.col("y.reach"))
+    )
+    return within.union(across).distinct()
 
 
-def _region_pairs(sets: DataFrame, similar: int) -> DataFrame:
-    """Pairs ``a < b`` of one region and different components that may be similar enough."""
-    rows = _regions(sets)
+def _matching(rows: DataFrame, similar: int, together: Column, may_link: Column | None = None) -> DataFrame:
     x, y = rows.alias("x"), rows.alias("y")
     smaller, larger = (f("x.n_shingles", "y.n_shingles") for f in (F.least, F.greatest))
     may = (
-        (F.col("x.region") == F.col("y.region"))
+        together
         & (F.col("x.rep") < F.col("y.rep"))
         & (F.col("x.component") != F.col("y.component"))
         & (smaller * 100 >= larger * similar)
         & (_agreement("x", "y") >= AGREE)
     )
-    return x.join(y, may).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    if may_link is not None:
+        may = may & may_link
+    return x.join(y, may).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
 
 def _packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -322,7 +369,7 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, similar: int = SIM
     neither read nor returned.
     """
     source = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    schema = "doc_id bigint, n_shingles bigint, set_key binary, signature array<int>, s0 bigint, s1 bigint"
+    schema = "doc_id bigint, n_shingles bigint, set_key binary, signature array<int>, s0 bigint, s1 bigint, odd array<bigint>"
     all_sets = stored(source.mapInArrow(_sets(words), schema), "neardup-sets")
     # Equal sets are one from here on, named by their smallest document.
     classes = stored(
@@ -332,22 +379,27 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, similar: int = SIM
     named = classes.filter("rep IS NOT NULL").withColumnRenamed("set_key", "rep_key")
     sets = stored(
         all_sets.join(named, (F.col("doc_id") == F.col("rep")) & (F.col("set_key") == F.col("rep_key")), "inner")
-        .select("rep", "n_shingles", "signature", "s0", "s1"),
+        .select("rep", "n_shingles", "signature", "s0", "s1", "odd"),
         "neardup-reps",
     )
     pack = F.pandas_udf(_packed, "binary", F.PandasUDFType.SCALAR_ITER)
     texts = source.filter("doc_id IS NOT NULL").select("doc_id", pack("text").alias("packed"))
 
-    links = stored(confirm(_neighbour_pairs(sets), texts, words, similar), "neardup-links")
-    first = components(links)
-    labelled = sets.join(first, F.col("rep") == F.col("node"), "left").withColumn(
-        "component", F.coalesce("component", "rep")
+    near = stored(_neighbour_pairs(sets), "neardup-neighbours")
+    links = stored(confirm(near, texts, words, similar), "neardup-links")
+    reached, first = components(near), components(links)
+    labelled = stored(
+        sets.join(first.withColumnRenamed("node", "linked"), F.col("rep") == F.col("linked"), "left")
+        .join(reached.toDF("near", "reach"), F.col("rep") == F.col("near"), "left")
+        .select(
+            *sets.columns, F.coalesce("component", "rep").alias("component"), F.coalesce("reach", "rep").alias("reach")
+        ),
+        "neardup-labelled",
     )
-    labelled = stored(labelled.drop("node"), "neardup-labelled")
-    pairs = stored(_region_pairs(labelled, similar), "neardup-pairs")
+    pairs = stored(_possible_pairs(labelled, similar), "neardup-pairs")
     more = stored(confirm(pairs, texts, words, similar), "neardup-links")
     found = components(links.union(more))
-    for used in (sets, links, first, labelled, pairs, more):
+    for used in (sets, near, links, reached, first, labelled, pairs, more):
         drop_stored(used)
 
     joined = (
