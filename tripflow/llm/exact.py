@@ -51,7 +51,8 @@ def _summaries(capacity: int):
             if len(counters) > capacity:
                 cut = sorted(counters.values(), reverse=True)[capacity]
                 counters = {d: n - cut for d, n in counters.items() if n > cut}
-        yield pd.DataFrame({"digest": list(counters), "n": list(counters.values())})
+        if counters:
+            yield pd.DataFrame({"digest": list(counters), "n": list(counters.values())})
 
     return summarise
 

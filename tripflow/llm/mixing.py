@@ -45,8 +45,8 @@ def source_targets(
     Sources by code point, null last, take ``weights`` in turn and share the sum
     of all sizes. A target stops at ``MOST`` times its source; the excess is
     shared by weight among the rest until none is above. That is one level for
-    all: sources in order of size per weight are capped as long as the level
-    that the rest would get is above them.
+    all: with sources in order of size per weight, the largest that the rest would
+    get once those before are capped.
 
     ``expected`` is the number of copies of each document in units of 2**-24.
     """
@@ -70,8 +70,8 @@ def source_targets(
         (F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
         / F.sum("weight").over(rest),
     )
-    free = F.col("level") * F.col("weight") <= F.col("cap")
-    settled = levels.withColumn("level", F.min(F.when(free, F.col("level"))).over(everything))
+    # Rises as long as the next source is capped and falls from then on.
+    settled = levels.withColumn("level", F.max("level").over(everything))
     target = F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight"))
     return settled.withColumn("target", target).select(
         "source",
@@ -206,7 +206,7 @@ WITH d AS (
                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
     FROM s
 ), t AS (
-    SELECT *, least(cap::DOUBLE, weight * min(CASE WHEN level * weight <= cap THEN level END) OVER ()) AS target
+    SELECT *, least(cap::DOUBLE, weight * max(level) OVER ()) AS target
     FROM l
 ), p AS (
     SELECT source, source_size, target, ceil(documents / {CELL_ROWS}.0)::BIGINT AS cells,

@@ -202,7 +202,8 @@ def score_column(model: DataFrame):
     The model has at most one row per coordinate, 2**20 in all.
     """
     rows = stored(model, "toxicity-model").toPandas()
-    bias = float(rows.loc[rows["coordinate"] < 0, "weight"].sum())
+    # Without any example there is not even a bias: see ``fit``.
+    bias = float(rows.loc[rows["coordinate"] < 0, "weight"].sum()) if len(rows) else -35.0
     rows = rows[rows["coordinate"] >= 0]
     sent = model.sparkSession.sparkContext.broadcast((rows["coordinate"].to_numpy(), rows["weight"].to_numpy(), bias))
 
