@@ -65,9 +65,16 @@ def test_mapping_with_a_repeated_key_is_refused(spark, zones):
         remap_keys(zones, ZONE, mapping)
 
 
-def test_long_inline_mapping_is_refused(zones):
-    with pytest.raises(ValueError, match="as a DataFrame"):
-        remap_keys(zones, ZONE, {i: i + 1 for i in range(100)})
+@pytest.mark.parametrize("keys", [3, 64, 65, 5000])
+def test_mappings_of_any_length_keep_the_type(spark, keys):
+    df = spark.createDataFrame([(i,) for i in (0, 1, 2, 64, 4999, 6000, None)], "zone smallint")
+    mapping = {i: i + 1 for i in range(keys)}
+    pairs = spark.createDataFrame(list(mapping.items()), "old int, new int")
+    one, other = remap_keys(df, "zone", mapping), remap_keys(df, "zone", pairs)
+    assert one.schema == other.schema == df.schema
+    expected = sorted((mapping.get(r.zone, r.zone) for r in df.collect()), key=repr)
+    for found in (one, other):
+        assert sorted((r.zone for r in found.collect()), key=repr) == expected
 
 
 def test_top_k_breaks_ties_by_order(spark):

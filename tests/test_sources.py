@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import os
 import subprocess
 import sys
 from datetime import date, datetime, timedelta
@@ -291,6 +292,18 @@ def test_only_new_files_are_ingested(spark, tmp_path):
     assert rows_of(read_zone(spark, target)) == rows_of(trips(spark, range(1, 16)))
 
 
+def test_old_files_that_arrive_late_are_ingested(spark, tmp_path):
+    incoming, target, checkpoint = (str(tmp_path / n) for n in ("incoming", "target", "checkpoint"))
+    for number, age_days in enumerate((0, 30, 0)):
+        known = set((tmp_path / "incoming").glob("*.parquet")) if number else set()
+        trips(spark, range(10 * number + 1, 10 * number + 11)).coalesce(1).write.mode("append").parquet(incoming)
+        for path in set((tmp_path / "incoming").glob("*.parquet")) - known:
+            then = path.stat().st_mtime - age_days * 86400
+            os.utime(path, (then, then))
+        ingest_new_files(spark, incoming, target, checkpoint)
+        assert read_zone(spark, target).count() == 10 * (number + 1)
+
+
 def test_ingest_with_cleaning(spark, tmp_path):
     incoming, target, checkpoint = (str(tmp_path / n) for n in ("incoming", "target", "checkpoint"))
     bad = spark.createDataFrame([(datetime(2021, 3, 1), None, 1.0, 5)], RAW_TRIPS)

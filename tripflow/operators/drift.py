@@ -25,7 +25,7 @@ def _presence(df: DataFrame, columns: list[str]) -> DataFrame:
     """``column_presence`` for ``columns``, which may name some that no file has."""
     found = {name.lower() for name in df.columns}
     counts = [
-        (F.count(c) if c.lower() in found else F.count_if(F.lit(False))).alias(f"values_{i}")
+        (F.count(F.col(_quoted(c))) if c.lower() in found else F.count_if(F.lit(False))).alias(f"values_{i}")
         for i, c in enumerate(columns)
     ]
     per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
@@ -88,5 +88,9 @@ def schema_drift(spark: SparkSession, path: str, contract: T.StructType) -> Data
     )
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _type_name(field: T.StructField | None) -> str | None:
     return None if field is None else field.dataType.simpleString()

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tripflow.functions import remapped, within_month
 from tripflow.schemas import PICKUP, REPORT_MONTH, REPORT_YEAR, ZONE, ZONE_SWAP
 
-# A CASE with more branches than this would fall out of generated code.
-MAX_INLINE_KEYS = 64
+# A CASE with more branches than this would fall out of generated code; longer
+# mappings are joined.
+INLINE_KEYS = 64
 
 
 def remap_keys(
@@ -21,26 +22,34 @@ def remap_keys(
 ) -> DataFrame:
     """Rewrite ``column`` through ``mapping``; unlisted keys and NULL stay.
 
-    A dict becomes a CASE expression and adds no shuffle. Longer mappings come
-    as a DataFrame of (old, new), its first two columns, and are joined; Spark
-    broadcasts that side only if its size is under its broadcast threshold, and
-    otherwise shuffles both sides, where adaptive execution splits the
-    partitions of hot keys. Each key may be listed once: checked up front, as a
-    repeated key would multiply trips.
+    The column keeps its type in every form. A short dict becomes a CASE
+    expression and adds no shuffle; a longer one is joined like a DataFrame of
+    (old, new), its first two columns. Spark broadcasts that side only if its
+    size is under its broadcast threshold, and otherwise shuffles both sides,
+    where adaptive execution splits the partitions of hot keys. Each key of a
+    DataFrame may be listed once: checked up front, as a repeated key would
+    multiply trips.
     """
     if isinstance(mapping, DataFrame):
+        _require_single_keys(mapping)
         return _remap_by_join(df, column, mapping)
-    if len(mapping) > MAX_INLINE_KEYS:
-        raise ValueError(f"{len(mapping)} keys: pass mappings over {MAX_INLINE_KEYS} as a DataFrame")
-    return df.withColumn(column, remapped(F.col(column), mapping))
+    kind = df.schema[column].dataType
+    if len(mapping) > INLINE_KEYS:
+        pairs = df.sparkSession.createDataFrame(list(mapping.items()), ["old", "new"])
+        return _remap_by_join(df, column, pairs)
+    return df.withColumn(column, remapped(F.col(column), mapping).cast(kind))
 
 
-def _remap_by_join(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
-    old, new = mapping.columns[:2]
+def _require_single_keys(mapping: DataFrame) -> None:
+    old = mapping.columns[0]
     repeated = mapping.filter(F.col(old).isNotNull()).groupBy(old).count().filter("count > 1")
     example = repeated.select(old).take(1)
     if example:
         raise ValueError(f"the mapping lists key {example[0][0]} more than once")
+
+
+def _remap_by_join(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
+    old, new = mapping.columns[:2]
     # The lookup goes into the join as read: skewed partitions can only be split
     # where nothing stands between the shuffle and the join.
     lookup = mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new"))

@@ -115,11 +115,18 @@ def verify_copy(
     )
 
 
-def require_match(verified: DataFrame) -> None:
-    """Raise ``LandingError``, naming some files, unless every file matches."""
-    bad = verified.filter(F.col("status") != "match").select("file", "status").take(10)
-    if bad:
-        raise LandingError("; ".join(f"{row.file}: {row.status}" for row in bad))
+def require_match(verified: DataFrame, allow_extra: bool = True) -> None:
+    """Raise ``LandingError`` if a file is missing or differs; with counts, and some names.
+
+    A landed file that the source does not have (any more) is no failure: earlier
+    landings stay. ``allow_extra=False`` refuses those, too.
+    """
+    fine = ["match", "extra"] if allow_extra else ["match"]
+    bad = verified.filter(~F.col("status").isin(fine))
+    by_status = bad.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("example"))
+    found = by_status.orderBy("status").collect()  # one row per status
+    if found:
+        raise LandingError("; ".join(f"{row.n} {row.status}, such as {row.example}" for row in found))
 
 
 def land_files(spark: SparkSession, source: str, landed: str) -> None:

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from tripflow.schemas import RAW_TRIPS
 from tripflow.sources.zones import require_distinct
 
+NEVER_TOO_OLD = "36500d"
+
 
 def ingest_new_files(
     spark: SparkSession,
@@ -27,9 +29,14 @@ def ingest_new_files(
     nothing. ``transform`` may be any row-level operator, such as
     ``build_silver``. ``max_bytes_per_batch`` cuts a large backlog into several
     batches. All three paths must be on storage the executors share.
+
+    Files count as new however old they are. So the list of files seen only
+    grows; the driver holds it, some 100 bytes per file.
     """
     require_distinct(source, target, checkpoint)
-    reader = spark.readStream.schema(schema)
+    # Spark's default would skip files a week older than the newest one seen:
+    # backfills and copies that keep their times.
+    reader = spark.readStream.schema(schema).option("maxFileAge", NEVER_TOO_OLD)
     if max_bytes_per_batch is not None:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_batch))
     arriving = reader.parquet(source)
