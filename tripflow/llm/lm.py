@@ -124,20 +124,20 @@ class Numbers(dict):
     """Token number per word; words without a place of their own share one by a hash."""
 
     def __init__(self, frequent: list[str]):
-        super().__init__((w, i) for i, w in enumerate(frequent))
+        super().__init__((w.encode(), i) for i, w in enumerate(frequent))
         self.frequent, self.own = frequent, len(self)
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > self.own + 500_000:
             self.clear()
-            self.update((w, i) for i, w in enumerate(self.frequent))
-        value = self[word] = VOCABULARY - RARE + zlib.crc32(word.encode()) % RARE
+            self.update((w.encode(), i) for i, w in enumerate(self.frequent))
+        value = self[word] = VOCABULARY - RARE + zlib.crc32(word) % RARE
         return value
 
 
 def tokens_of(text: str, numbers: Numbers) -> np.ndarray:
     """Numbers of the lower-cased words between ASCII white space."""
-    words = [w.decode() for w in text.lower().encode().split()]
+    words = text.lower().encode().split()
     return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
 
 
