@@ -189,19 +189,21 @@ def files(tmp_path):
         "a.bin": b"content",
         "2021/march/b one.bin": bytes(range(256)) * 40,
         "2021/march/c.bin": b"z" * 1000,
+        "2021/march/_meta.bin": b"m",
+        "2021/.hid.bin": b"h",
+        "empty.bin": b"",
     }
     for name, content in contents.items():
         (source / name).write_bytes(content)
-    (source / "empty.bin").write_bytes(b"")  # passed over
     return str(source), contents
 
 
-@pytest.mark.parametrize("block", [landing.BLOCK_BYTES, 1000, 7])
-def test_checksums(spark, files, block):
+@pytest.mark.parametrize("tasks", [None, 1, 30])
+def test_checksums(spark, files, tasks):
     source, contents = files
     expected = [(name, len(c), hashlib.md5(c).hexdigest()) for name, c in contents.items()]
-    assert rows_of(file_checksums(spark, source, block)) == sorted(expected, key=repr)
-    assert rows_of(file_checksums(spark, f"file://{source}/", block)) == sorted(expected, key=repr)
+    assert rows_of(file_checksums(spark, source, tasks)) == sorted(expected, key=repr)
+    assert rows_of(file_checksums(spark, f"file://{source}/", tasks)) == sorted(expected, key=repr)
 
 
 def test_checksum_of_one_file(spark, files):
@@ -217,7 +219,7 @@ def test_blocks_cover_each_file_once(spark, files):
     for name, c in contents.items():
         size = len(c) if len(c) <= 1000 else 1000
         expected += [
-            (name, len(c), s, hashlib.md5(c[s : s + size]).hexdigest()) for s in range(0, len(c), size)
+            (name, len(c), s, hashlib.md5(c[s : s + size]).hexdigest()) for s in range(0, max(len(c), 1), max(size, 1))
         ]
     assert rows_of(file_blocks(spark, source, 1000)) == sorted(expected, key=repr)
 
@@ -243,7 +245,7 @@ def test_landing_is_verified(spark, files, tmp_path, block):
     land_files(spark, source, str(landed))
     for name, content in contents.items():
         assert (landed / name).read_bytes() == content
-    assert not [p for p in landed.rglob(".*") if not p.name.endswith(".crc")]
+    assert {str(p.relative_to(landed)) for p in landed.rglob("*") if p.is_file()} == set(contents)
     verified = verify_copy(spark, source, str(landed), block)
     assert {r.status for r in verified.collect()} == {"match"}
     require_match(verified)
@@ -254,11 +256,15 @@ def test_landing_is_verified(spark, files, tmp_path, block):
     damaged[5000] ^= 1
     (landed / "2021/march/b one.bin").write_bytes(bytes(damaged))
     (landed / "2021/march/c.bin").unlink()
+    (landed / "2021/.hid.bin").unlink()
     (landed / "new.bin").write_bytes(b"?")
     (landed / "a.bin").write_bytes(b"")
     verified = verify_copy(spark, source, str(landed), block)
     assert {r.file: r.status for r in verified.collect()} == {
-        "a.bin": "missing",
+        "a.bin": "mismatch",
+        "empty.bin": "match",
+        "2021/march/_meta.bin": "match",
+        "2021/.hid.bin": "missing",
         "2021/march/b one.bin": "mismatch",
         "2021/march/c.bin": "missing",
         "new.bin": "extra",
@@ -277,6 +283,24 @@ def test_a_cut_copy_is_a_mismatch(spark, files, tmp_path):
         assert status["2021/march/c.bin"] == "mismatch"
 
 
+@pytest.mark.parametrize("spelling", ["{}//src2", "{}/./src2/", "file://{}/src2", "file:{}//src2"])
+def test_names_do_not_depend_on_how_the_root_is_spelled(spark, tmp_path, spelling):
+    (tmp_path / "src2").mkdir()
+    for name in ("a1.bin", "b1.bin"):
+        (tmp_path / "src2" / name).write_bytes(b"the same")
+    land_files(spark, spelling.format(tmp_path), f"{tmp_path}//landed/")
+    assert sorted(os.listdir(tmp_path / "landed")) == ["a1.bin", "b1.bin"]
+    assert verify_copy(spark, str(tmp_path / "src2"), str(tmp_path / "landed")).count() == 2
+
+
+def test_a_failing_copy_leaves_no_part_file(tmp_path, monkeypatch):
+    (tmp_path / "a.bin").write_bytes(b"content")
+    (tmp_path / "landed" / "a.bin" / "in the way").mkdir(parents=True)  # the rename cannot succeed
+    with pytest.raises(OSError):
+        landing._copy_file(str(tmp_path / "a.bin"), str(tmp_path / "landed" / "a.bin"))
+    assert os.listdir(tmp_path / "landed") == ["a.bin"]
+
+
 # --- ingest
 
 

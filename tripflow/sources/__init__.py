@@ -7,6 +7,7 @@ from tripflow.sources.landing import (
     file_blocks,
     file_checksums,
     land_files,
+    list_files,
     require_match,
     verify_copy,
 )
@@ -23,6 +24,7 @@ __all__ = [
     "file_blocks",
     "file_checksums",
     "land_files",
+    "list_files",
     "load_jdbc",
     "read_jdbc",
     "read_partitioned",

@@ -1,11 +1,9 @@
 """Landing raw files as they are, and proving that the copy is the source.
 
-Files are opaque here. Listing, spreading and comparing are Spark jobs; small
-helpers inside tasks stream the bytes that Spark's own reader cannot, so no file
-is ever held whole when it is larger than ``BLOCK_BYTES``.
-
-Spark lists no empty files: an empty source is not landed, and a landed file cut
-to nothing counts as missing.
+Files are opaque here. Spreading and comparing are Spark jobs; small helpers
+inside tasks list folders and stream bytes, so no file is ever held whole.
+Every file counts, whatever its name or length: Spark's own file listing would
+pass over empty files and names that start with ``_`` or ``.``.
 """
 
 from __future__ import annotations
@@ -19,61 +17,69 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Send the helpers below to tasks as code: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Largest piece a task holds at once through Spark's binary reader.
+# A file is digested in blocks of this size, by different tasks.
 BLOCK_BYTES = 128 * 1024 * 1024
+# About what one task reads, unless told otherwise.
+TASK_BYTES = 1024 * 1024 * 1024
 _READ_BYTES = 8 * 1024 * 1024
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+_LISTED = "path string, file string, length bigint"
 
 
 class LandingError(RuntimeError):
     """The landed copy differs from its source."""
 
 
-def file_checksums(spark: SparkSession, root: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path``, ``file`` (relative to ``root``) and ``length`` of every file below ``root``.
+
+    Tasks list folders: the root, and then each folder in it with all below it. A
+    root that is itself a file gives that one under its plain name.
+    """
+    top = spark.createDataFrame([(_normal(root), "")], "path string, file string")
+    first = top.mapInPandas(_list_once, _LISTED)
+    # A row is a folder to list, so the number of tasks is stated.
+    folders = first.filter("length IS NULL").repartition(spark.sparkContext.defaultParallelism, "path")
+    return first.filter("length IS NOT NULL").union(folders.mapInPandas(_list_below, _LISTED))
+
+
+def file_checksums(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
     """``file`` (relative to ``root``), ``length`` and whole-file ``md5`` of each file.
 
-    MD5 runs through a file from end to end, so one file is one task's work: up
-    to ``block_bytes`` in the JVM, larger ones streamed in constant memory.
+    MD5 runs through a file from end to end, so one file is one task's work,
+    streamed in constant memory.
     """
-    small = _binary(spark, root).filter(F.col("length") <= block_bytes)
-    large = _binary(spark, root).select("path", "length").filter(F.col("length") > block_bytes)
-    schema = "path string, length bigint, md5 string"
-    return (
-        small.select("path", "length", F.md5("content").alias("md5"))
-        .unionByName(large.mapInPandas(_digest_files, schema))
-        .select(_relative(root), "length", "md5")
-    )
+    files = _spread(list_files(spark, root), tasks, "path")
+    return files.mapInPandas(_digest_files, f"{_LISTED}, md5 string").select("file", "length", "md5")
 
 
-def file_blocks(spark: SparkSession, root: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def file_blocks(
+    spark: SparkSession,
+    root: str,
+    block_bytes: int = BLOCK_BYTES,
+    tasks: int | None = None,
+) -> DataFrame:
     """MD5 per block of ``block_bytes``: ``file``, ``length``, ``start``, ``md5``.
 
     Blocks of one large file are read by different tasks, so checking it scales
-    with the cluster. A file up to ``block_bytes`` is one block.
+    with the cluster. An empty file is one empty block. ``tasks``: how many read
+    side by side; by default as many as the bytes ask for.
     """
-    small = _binary(spark, root).filter(F.col("length") <= block_bytes)
-    # The rows are a few bytes each but stand for blocks to read, so the number
-    # of tasks is stated: adaptive execution would merge them into one.
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    last = F.greatest(F.col("length") - 1, F.lit(0))
     blocks = (
-        _binary(spark, root)
-        .select("path", "length")
-        .filter(F.col("length") > block_bytes)
-        .withColumn("start", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(block_bytes))))
+        list_files(spark, root)
+        .withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(block_bytes).cast("bigint"))))
         .withColumn("size", F.least(F.lit(block_bytes), F.col("length") - F.col("start")))
-        .repartition(tasks, "path", "start")
     )
-    schema = "path string, length bigint, start bigint, md5 string"
-    return (
-        small.select("path", "length", F.lit(0).cast("bigint").alias("start"), F.md5("content").alias("md5"))
-        .unionByName(blocks.mapInPandas(_digest_blocks, schema))
-        .select(_relative(root), "length", "start", "md5")
+    schema = f"{_LISTED}, start bigint, size bigint, md5 string"
+    return _spread(blocks, tasks, "path", "start", bytes_column="size").mapInPandas(_digest_blocks, schema).select(
+        "file", "length", "start", "md5"
     )
 
 
@@ -129,30 +135,83 @@ def require_match(verified: DataFrame, allow_extra: bool = True) -> None:
         raise LandingError("; ".join(f"{row.n} {row.status}, such as {row.example}" for row in found))
 
 
-def land_files(spark: SparkSession, source: str, landed: str) -> None:
+def land_files(spark: SparkSession, source: str, landed: str, tasks: int | None = None) -> None:
     """Copy every file below ``source``, byte for byte, to the same place below ``landed``.
 
     Tasks copy files side by side. A file appears under its name only when
     complete, so a lost executor leaves no half file and its retry starts over.
+    One file is one task's work.
     """
-    files = _binary(spark, source).select("path", _relative(source), "length")
+    files = _spread(list_files(spark, source), tasks, "path")
     files.mapInPandas(_copier(landed), "file string, length bigint").write.format("noop").mode(
         "overwrite"
     ).save()
 
 
-def _binary(spark: SparkSession, root: str) -> DataFrame:
+def _normal(root: str) -> str:
+    """One spelling of an absolute path or URI, without doubled or trailing slashes."""
     if not (root.startswith("/") or re.match(_SCHEME, root)):
         raise ValueError(f"need an absolute path or a URI, not {root}")
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    scheme = re.match(_SCHEME, root)
+    start = scheme.group() if scheme else ""
+    return start + posixpath.normpath("/" + root[len(start) :].lstrip("/"))
 
 
-def _relative(root: str) -> Column:
-    """Path below ``root``; the plain name if ``root`` is itself the file."""
-    base = re.sub(_SCHEME, "", root).rstrip("/")
-    path = F.regexp_replace("path", _SCHEME, "")
-    below = F.substring(path, F.lit(len(base) + 2), F.length(path))
-    return F.when(below == "", F.lit(posixpath.basename(base))).otherwise(below).alias("file")
+def _spread(work: DataFrame, tasks: int | None, *keys: str, bytes_column: str = "length") -> DataFrame:
+    """Rows of a few bytes that stand for much reading, dealt over enough tasks.
+
+    The number is stated, as adaptive execution would merge such rows into one.
+    """
+    if tasks is None:
+        total = work.agg(F.sum(bytes_column)).first()[0] or 0
+        tasks = max(work.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    return work.repartition(tasks, *keys)
+
+
+def _children(uri: str, name: str) -> list[tuple[str, str, int | None]]:
+    """URI, relative name and length of what lies in a folder; folders have no length."""
+    from pyarrow import fs
+
+    filesystem, path = _filesystem(uri)
+    found = filesystem.get_file_info(fs.FileSelector(path))
+    return [
+        (
+            f"{uri.rstrip('/')}/{info.base_name}",
+            f"{name}/{info.base_name}" if name else info.base_name,
+            None if info.type == fs.FileType.Directory else info.size,
+        )
+        for info in found
+    ]
+
+
+def _listed(rows: list[tuple[str, str, int | None]]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=["path", "file", "length"])
+    return frame.astype({"path": object, "file": object, "length": "Int64"})
+
+
+def _list_once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+
+    for batch in batches:
+        for uri in batch["path"]:
+            filesystem, path = _filesystem(uri)
+            root = filesystem.get_file_info(path)
+            if root.type == fs.FileType.NotFound:
+                raise FileNotFoundError(uri)
+            if root.type == fs.FileType.Directory:
+                yield _listed(_children(uri, ""))
+            else:
+                yield _listed([(uri, root.base_name, root.size)])
+
+
+def _list_below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All files below the folders, a folder at a time."""
+    for batch in batches:
+        folders = list(zip(batch["path"], batch["file"]))
+        while folders:
+            found = _children(*folders.pop())
+            folders += [(uri, name) for uri, name, length in found if length is None]
+            yield _listed([row for row in found if row[2] is not None])
 
 
 def _filesystem(uri: str):
@@ -187,14 +246,14 @@ def _digest_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _digest_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = [_md5(*block) for block in zip(batch["path"], batch["start"], batch["size"])]
-        yield batch[["path", "length", "start"]].assign(md5=digests)
+        yield batch.assign(md5=digests)
 
 
 def _copier(landed: str):
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for uri, name in zip(batch["path"], batch["file"]):
-                _copy_file(uri, f"{landed.rstrip('/')}/{name}")
+                _copy_file(uri, f"{_normal(landed)}/{name}")
             yield batch[["file", "length"]]
 
     return copy
@@ -206,7 +265,12 @@ def _copy_file(source: str, target: str) -> None:
     folder, name = posixpath.split(to_path)
     part = f"{folder}/.{name}.{uuid.uuid4().hex}"
     writing.create_dir(folder, recursive=True)
-    with reading.open_input_file(from_path) as stream, writing.open_output_stream(part) as out:
-        while piece := stream.read(_READ_BYTES):
-            out.write(piece)
-    writing.move(part, to_path)
+    try:
+        with reading.open_input_file(from_path) as stream, writing.open_output_stream(part) as out:
+            while piece := stream.read(_READ_BYTES):
+                out.write(piece)
+        writing.move(part, to_path)
+    except BaseException:
+        if writing.get_file_info(part).is_file:
+            writing.delete_file(part)
+        raise

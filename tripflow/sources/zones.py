@@ -17,11 +17,6 @@ _FOLDERS = {
     MONTH: lambda ts: F.trunc(ts, "month"),
 }
 
-# Enough for years of days to seldom share a shuffle partition; adaptive
-# execution merges those that stay small. Above 2000, Spark records only average
-# sizes by default, and a hot folder would no longer stand out to be split.
-SHUFFLE_PARTS = 2000
-
 
 def read_zone(
     spark: SparkSession,
@@ -71,7 +66,7 @@ def write_partitioned(
     df: DataFrame,
     path: str,
     by: str = DAY,
-    partitions: int = SHUFFLE_PARTS,
+    partitions: int | None = None,
     replace_all: bool = False,
 ) -> None:
     """Write one folder per value of ``by``, replacing only the folders in ``df``.
@@ -81,13 +76,14 @@ def write_partitioned(
     other column must exist. REBALANCE brings the rows of a folder together for
     few files, and adaptive execution splits what is too big for one task, so a
     day with a third of all trips becomes many files instead of one long task.
-    Folders beyond ``partitions`` share shuffle partitions and come out in more,
-    smaller files.
+    Folders beyond ``partitions`` (by default the session's number of shuffle
+    partitions) share shuffle partitions and come out in more, smaller files.
     """
     if by in _FOLDERS and by not in df.columns:
         df = df.withColumn(by, _FOLDERS[by](F.col(PICKUP)))
+    hint = [by] if partitions is None else [partitions, by]
     (
-        df.hint("rebalance", partitions, by)
+        df.hint("rebalance", *hint)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(by)
