@@ -49,7 +49,7 @@ def test_equals_oracle(spark, duck, sf_dir, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"landing_checksums", "verify_copy"}
+    assert set(QUERIES) - set(ORACLE) == {"landing_checksums"}
 
 
 def test_entry(spark, monkeypatch):

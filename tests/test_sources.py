@@ -15,7 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.plans import BatchConfig, build_silver, load_serving, run_pipeline, slow_zone_report
+from tripflow.plans import BatchConfig, build_gold, build_silver, load_serving, run_pipeline, slow_zone_report
 from tripflow.schemas import RAW_TRIPS, SERVING_TRIPS
 from tripflow.sources import (
     LandingError,
@@ -430,6 +430,18 @@ def test_batch(spark, tmp_path, by_day):
         assert days == {2}
 
 
+def test_later_landings_add_up_and_widths_may_differ(spark, tmp_path):
+    """A second landing of files that store the zone narrower: as both at once."""
+    both = trips(spark, [1, 2], zone=161).unionAll(trips(spark, [3], zone=7))
+    narrow = trips(spark, [3], zone=7).withColumn("PULocationID", F.col("PULocationID").cast("int"))
+    for number, part in enumerate((trips(spark, [1, 2], zone=161), narrow)):
+        source = str(tmp_path / f"source{number}")
+        part.write.parquet(source)
+        run_pipeline(spark, config(tmp_path, source=source))
+    expected = rows_of(build_gold(build_silver(both)))
+    assert rows_of(read_zone(spark, str(tmp_path / "gold"))) == expected
+
+
 def test_a_damaged_landing_stops_the_batch(spark, tmp_path, monkeypatch):
     source = str(tmp_path / "source")
     trips(spark, [1]).write.parquet(source)

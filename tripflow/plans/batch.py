@@ -8,10 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 
 from tripflow.plans.zones import build_gold, build_silver, load_serving
-from tripflow.schemas import REPORT_MONTH, REPORT_YEAR, ZONE_SWAP
+from tripflow.schemas import RAW_TRIPS, REPORT_MONTH, REPORT_YEAR, SILVER_TRIPS, ZONE_SWAP
 from tripflow.sources.catalog import register_zone
 from tripflow.sources.landing import land_files, require_match, verify_copy
-from tripflow.sources.zones import read_zone, require_distinct, write_partitioned, write_zone
+from tripflow.sources.zones import read_contract, require_distinct, write_partitioned, write_zone
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,8 @@ def run_pipeline(spark: SparkSession, config: BatchConfig) -> None:
     """Land, clean, enrich, register and load; the first failure ends the batch.
 
     Each stage reads what the one before wrote, so a batch can be repeated from
-    the start: every write but an appending load replaces its dataset.
+    the start. Bronze gathers what was landed, earlier files stay; silver and gold
+    are replaced; an appending load appends.
     """
     if (config.jdbc_url is None) != (config.serving_table is None):
         raise ValueError("give jdbc_url and serving_table together, or neither")
@@ -55,13 +56,13 @@ def run_pipeline(spark: SparkSession, config: BatchConfig) -> None:
         land_files(spark, config.source, config.bronze)
         require_match(verify_copy(spark, config.source, config.bronze))
 
-    silver = build_silver(read_zone(spark, config.bronze))
+    silver = build_silver(read_contract(spark, config.bronze, RAW_TRIPS))
     if config.silver_by_day:
         write_partitioned(silver, config.silver, replace_all=True)
     else:
         write_zone(silver, config.silver)
 
-    stored = read_zone(spark, config.silver)
+    stored = read_contract(spark, config.silver, SILVER_TRIPS)
     gold = build_gold(stored, config.year, config.month, config.mapping)
     write_zone(gold, config.gold)
 

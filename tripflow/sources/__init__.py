@@ -12,6 +12,7 @@ from tripflow.sources.landing import (
     verify_copy,
 )
 from tripflow.sources.zones import (
+    read_contract,
     read_partitioned,
     read_zone,
     require_distinct,
@@ -26,6 +27,7 @@ __all__ = [
     "land_files",
     "list_files",
     "load_jdbc",
+    "read_contract",
     "read_jdbc",
     "read_partitioned",
     "read_table",

@@ -18,6 +18,9 @@ _FOLDERS = {
 }
 
 
+_FLOATS = (T.FloatType, T.DoubleType)
+
+
 def read_zone(
     spark: SparkSession,
     path: str,
@@ -36,6 +39,27 @@ def read_zone(
     return reader.parquet(path)
 
 
+def read_contract(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+    """Scan the columns of ``contract``; integers and floats are read as wide as it says.
+
+    So files that store a zone as ``int`` and others as ``bigint`` read as one
+    dataset. A column that the dataset lacks raises instead of reading as NULL;
+    other types stay as stored.
+    """
+    found = {f.name.lower(): f.dataType for f in read_zone(spark, path).schema.fields}
+    missing = [f.name for f in contract.fields if f.name.lower() not in found]
+    if missing:
+        raise ValueError(f"{path} lacks {', '.join(missing)}")
+    fields = []
+    for f in contract.fields:
+        stored = found[f.name.lower()]
+        widens = any(
+            isinstance(stored, kind) and isinstance(f.dataType, kind) for kind in (T.IntegralType, _FLOATS)
+        )
+        fields.append(T.StructField(f.name, f.dataType if widens else stored))
+    return read_zone(spark, path, schema=T.StructType(fields))
+
+
 def write_zone(df: DataFrame, path: str) -> None:
     """Replace the dataset at ``path``.
 
