@@ -1,0 +1,17 @@
+"""Plans of the text operators that must stay in Spark's own functions."""
+
+from __future__ import annotations
+
+import pytest
+
+from tripflow.llm import queries
+
+NATIVE = ("op4_source_mixing", "op5_fingerprints", "op10_url_filter")
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_native_operators_run_no_python(spark, sf_dir, name):
+    plan = queries.queries()[name](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan
+    for python in ("Python", "InPandas", "InArrow", "ExistingRDD"):
+        assert python not in plan
