@@ -344,6 +344,12 @@ def test_pseudo_likelihood(spark, sf_dir, odd, none):
     assert lm.pseudo_likelihood(none).count() == 0
 
 
+def test_every_token_is_a_training_case():
+    documents = [np.arange(n) + 100 * n for n in (0, 1, 2, 3, 7, 8, 9, 50)]
+    found = [lm.cases(documents, i % lm.STRIDE, lm.STRIDE)[1] for i in range(lm.ROUNDS)]
+    assert set(np.concatenate(found).tolist()) == set(np.concatenate(documents).tolist())
+
+
 # --- pages and URLs
 
 ARTICLE = "<article><h1>Title &amp; more</h1><p>{}<p>Short.</p></article>".format("A long   sentence\nof text. " * 9)

@@ -5,7 +5,8 @@ never from itself: their embeddings, weighted by place, make a hidden layer, and
 a two-level softmax (class, then word within the class) gives its probability. A
 document's score is the sum of its tokens' log-probabilities.
 
-Training covers every document. In each round every task starts from the same
+Training covers every token of every document once, half of them in each of two
+rounds. In a round every task starts from the same
 weights, goes through its rows with numpy, and sends its weights and the tokens
 it saw; Spark averages them by tokens, index by index. What is sent grows with
 the number of tasks, and so with the corpus; the model is of fixed size. Word
@@ -31,8 +32,9 @@ CLASSES, PER_CLASS, RARE = 32, 32, 256
 VOCABULARY = CLASSES * PER_CLASS
 WINDOW, EMBEDDED, HIDDEN = 3, 16, 32
 # Rounds of training, and every how many tokens of a document one is a training
-# case; the first case is another one in each round.
-ROUNDS, STRIDE = 2, 8
+# case in a round; round i starts at token i % STRIDE. As STRIDE is no more than
+# ROUNDS, every token is a training case.
+ROUNDS, STRIDE = 2, 2
 RATE, BATCH = 0.1, 4096
 # Stands before the beginning and after the end of a document.
 PAD = VOCABULARY
@@ -79,30 +81,37 @@ class Network:
         _, h = self.hidden(context)
         own = target // PER_CLASS
         total = _log_softmax(h @ self.classes)[np.arange(len(h)), own]
-        for c in np.unique(own):
-            at = np.flatnonzero(own == c)
-            total[at] += _log_softmax(h[at] @ self.words[c])[np.arange(len(at)), target[at] % PER_CLASS]
+        order, slices = _by_class(own)
+        h, within = h[order], target[order] % PER_CLASS
+        inner = np.empty(len(h), np.float32)
+        for c, a, b in slices:
+            inner[a:b] = _log_softmax(h[a:b] @ self.words[c])[np.arange(b - a), within[a:b]]
+        total[order] += inner
         return total
 
     def learn(self, context: np.ndarray, target: np.ndarray, squares: list[np.ndarray]) -> None:
         """One step of AdaGrad; ``squares``: sums of squared gradients per array."""
+        order, slices = _by_class(target // PER_CLASS)
+        context, target = context[order], target[order]
         seen, h = self.hidden(context)
         n = np.float32(len(target))
-        own = target // PER_CLASS
-        d_class = np.exp(_log_softmax(h @ self.classes))
-        d_class[np.arange(len(h)), own] -= 1
+        d_class = _softmax(h @ self.classes)
+        d_class[np.arange(len(h)), target // PER_CLASS] -= 1
         d_h = d_class @ self.classes.T
         g_words = np.zeros_like(self.words)
-        for c in np.unique(own):
-            at = np.flatnonzero(own == c)
-            d = np.exp(_log_softmax(h[at] @ self.words[c]))
-            d[np.arange(len(at)), target[at] % PER_CLASS] -= 1
-            d_h[at] += d @ self.words[c].T
-            g_words[c] = h[at].T @ d / n
+        within = target % PER_CLASS
+        for c, a, b in slices:
+            d = _softmax(h[a:b] @ self.words[c])
+            d[np.arange(b - a), within[a:b]] -= 1
+            d_h[a:b] += d @ self.words[c].T
+            g_words[c] = h[a:b].T @ d / n
         d_in = d_h[:, :HIDDEN] * (1 - h[:, :HIDDEN] ** 2)
         d_seen = (d_in @ self.places.reshape(-1, HIDDEN).T).reshape(-1, EMBEDDED)
+        met = np.argsort(context.ravel().astype(np.uint16), kind="stable")
+        numbers = context.ravel()[met]
+        firsts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
         g_embedding = np.zeros_like(self.embedding)
-        np.add.at(g_embedding, context.ravel(), d_seen / n)
+        g_embedding[numbers[firsts]] = np.add.reduceat(d_seen[met], firsts, axis=0) / n
         gradients = [
             g_embedding,
             (seen.T @ d_in / n).reshape(self.places.shape),
@@ -115,6 +124,18 @@ class Network:
             weight -= RATE * gradient / (np.sqrt(square) + 1e-8)
 
 
+def _by_class(own: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by class, and where in it each class that occurs begins and ends."""
+    order = np.argsort(own.astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(own, minlength=CLASSES)).tolist()
+    return order, [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends], ends)) if b > a]
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    return x / x.sum(axis=1, keepdims=True)
+
+
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(axis=1, keepdims=True)
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
@@ -189,14 +210,14 @@ def frequent_words(documents: DataFrame) -> list[str]:
 
 
 def train(documents: DataFrame, frequent: list[str], rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
-    """The network after ``rounds`` rounds over every document."""
+    """The network after ``rounds`` rounds over every document; over every token if ``stride <= rounds``."""
     network = Network.start()
     context = documents.sparkSession.sparkContext
     texts = documents.select(text_of().alias("text"))
     for number in range(rounds):
         sent = context.broadcast((network.flat(), frequent))
 
-        def run(batches: Iterator[pd.DataFrame], sent=sent, first=(number * 3) % stride) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pd.DataFrame], sent=sent, first=number % stride) -> Iterator[pd.DataFrame]:
             flat, frequent = sent.value
             own, numbers = Network.of(flat), Numbers(frequent)
             squares = [np.full_like(a, 1e-6) for a in vars(own).values()]
