@@ -350,6 +350,23 @@ def test_every_token_is_a_training_case():
     assert set(np.concatenate(found).tolist()) == set(np.concatenate(documents).tolist())
 
 
+def test_words_that_share_a_place_have_their_own_probability(spark):
+    frequent = [f"f{i:03d}" for i in range(lm.VOCABULARY - lm.RARE)]
+    place = lambda w: zlib.crc32(w.encode()) % lm.RARE
+    one = "rare"
+    other = next(w for w in (f"nonsense{i}" for i in range(10_000)) if place(w) == place(one))
+    many = " ".join(frequent * 6)
+    rows = [(0, many), (1, f"f000 {one} f001"), (2, f"f000 {other} f001"), (2, f"f000 {other} f001"), (3, " ".join([one.upper()] * 3))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = lm.pseudo_likelihood(df).collect()
+    assert sorted(r.doc_id for r in found) == [0, 1, 2, 2, 3]
+    by_id = {r.doc_id: r.log_likelihood for r in found}
+    # Four tokens of the place are the one word, two the other.
+    assert by_id[1] - by_id[2] == pytest.approx(np.log(4 / 2), rel=1e-6)
+    shares = {r.word: r.log_share for r in lm.log_shares(lm.word_counts(df), frequent).collect()}
+    assert shares == {one: pytest.approx(np.log(4 / 6)), other: pytest.approx(np.log(2 / 6))}
+
+
 # --- pages and URLs
 
 ARTICLE = "<article><h1>Title &amp; more</h1><p>{}<p>Short.</p></article>".format("A long   sentence\nof text. " * 9)

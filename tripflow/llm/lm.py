@@ -2,26 +2,32 @@
 
 A token is predicted from the ``WINDOW`` tokens before it and as many after it,
 never from itself: their embeddings, weighted by place, make a hidden layer, and
-a two-level softmax (class, then word within the class) gives its probability. A
-document's score is the sum of its tokens' log-probabilities.
+a two-level softmax (class, then word within the class) gives its probability. The
+768 most frequent words have a place of their own in it; all others share 256
+places, and of such a place's probability each word gets its share of the place's
+tokens in the corpus. So every word has a probability of its own. A document's
+score is the sum of its tokens' log-probabilities.
 
 Training covers every token of every document once, half of them in each of two
 rounds. In a round every task starts from the same
 weights, goes through its rows with numpy, and sends its weights and the tokens
 it saw; Spark averages them by tokens, index by index. What is sent grows with
-the number of tasks, and so with the corpus; the model is of fixed size. Word
-counts for the vocabulary are taken over the whole corpus, too.
+the number of tasks, and so with the corpus; the network is of fixed size. The
+counts of all words of the corpus are a Spark table that grows with it, joined to
+the documents' words and never collected.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import WORD, stored, text_of
@@ -158,7 +164,10 @@ class Numbers(dict):
 
 def tokens_of(text: str, numbers: Numbers) -> np.ndarray:
     """Numbers of the lower-cased words between ASCII white space."""
-    words = text.lower().encode().split()
+    return numbered(text.lower().encode().split(), numbers)
+
+
+def numbered(words: list[bytes], numbers: Numbers) -> np.ndarray:
     return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
 
 
@@ -200,20 +209,44 @@ def _slices(documents: list[np.ndarray], most: int = 500_000) -> Iterator[tuple[
         yield start, len(documents)
 
 
-def frequent_words(documents: DataFrame) -> list[str]:
-    """The words with a place of their own: the most frequent ones of the whole corpus, ties by name."""
-    word = F.explode(F.regexp_extract_all(F.lower(text_of()), F.lit(WORD), F.lit(0))).alias("word")
-    counts = documents.select(word).groupBy("word").count()
+def lowered() -> Column:
+    """The text as its words are counted and looked up: lower-cased by Spark in both cases."""
+    return F.lower(text_of())
+
+
+def word_counts(documents: DataFrame) -> DataFrame:
+    """``word, count`` over the whole corpus, stored."""
+    word = F.explode(F.regexp_extract_all(lowered(), F.lit(WORD), F.lit(0))).alias("word")
+    return stored(documents.select(word).groupBy("word").count(), "lm-words")
+
+
+def most_frequent(counts: DataFrame) -> list[str]:
+    """The words with a place of their own: the most frequent ones, ties by name."""
     top = counts.orderBy(F.desc("count"), "word").limit(VOCABULARY - RARE)
     # A fixed number of rows, however large the corpus.
     return [row.word for row in top.collect()]
 
 
+def frequent_words(documents: DataFrame) -> list[str]:
+    return most_frequent(word_counts(documents))
+
+
+def log_shares(counts: DataFrame, frequent: list[str]) -> DataFrame:
+    """``word, log_share`` of every word that shares a place: log of its part of the place's tokens."""
+    rare = counts.filter(~F.col("word").isin(frequent)).withColumn(
+        "place", F.pmod(F.crc32(F.encode("word", "UTF-8")), F.lit(RARE)).cast("int")
+    )
+    # One row per place.
+    totals = {row.place: row.total for row in rare.groupBy("place").agg(F.sum("count").alias("total")).collect()}
+    total = F.get(F.array(*[F.lit(totals.get(i, 0)).cast("double") for i in range(RARE)]), F.col("place"))
+    return rare.select("word", F.log(F.col("count") / total).alias("log_share"))
+
+
 def train(documents: DataFrame, frequent: list[str], rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
     """The network after ``rounds`` rounds over every document; over every token if ``stride <= rounds``."""
     network = Network.start()
     context = documents.sparkSession.sparkContext
-    texts = documents.select(text_of().alias("text"))
+    texts = documents.select(lowered().alias("text"))
     for number in range(rounds):
         sent = context.broadcast((network.flat(), frequent))
 
@@ -223,7 +256,7 @@ def train(documents: DataFrame, frequent: list[str], rounds: int = ROUNDS, strid
             squares = [np.full_like(a, 1e-6) for a in vars(own).values()]
             seen = 0
             for batch in batches:
-                documents = [tokens_of(text, numbers) for text in batch["text"]]
+                documents = [numbered(text.encode().split(), numbers) for text in batch["text"]]
                 for start, end in _slices(documents):
                     around, target, _ = cases(documents[start:end], first, stride)
                     for a in range(0, len(target), BATCH):
@@ -242,27 +275,45 @@ def train(documents: DataFrame, frequent: list[str], rounds: int = ROUNDS, strid
     return network
 
 
-def scores(documents: DataFrame, network: Network, frequent: list[str]) -> DataFrame:
-    """``doc_id, n_tokens, log_likelihood, mean_log_probability`` for every row of ``documents``."""
+def scores(documents: DataFrame, network: Network, frequent: list[str], shares: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens, log_likelihood, mean_log_probability`` for every row of ``documents``.
+
+    ``shares``: see ``log_shares``, of a corpus that holds all words of ``documents``.
+    """
     sent = documents.sparkSession.sparkContext.broadcast((network.flat(), frequent))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, frequent = sent.value
         own, numbers = Network.of(flat), Numbers(frequent)
         for batch in batches:
-            documents = [tokens_of(text, numbers) for text in batch["text"]]
-            n = np.fromiter(map(len, documents), np.int64, len(documents))
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "n_tokens": n, "log_likelihood": score_documents(own, documents)}
-            )
-
-    rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), text_of().alias("text"))
-    scored = rows.mapInPandas(run, "doc_id string, n_tokens bigint, log_likelihood double")
-    return scored.select(
+            words = [text.encode().split() for text in batch.column("text").to_pylist()]
+            documents = [numbered(w, numbers) for w in words]
+            shared = [Counter(w[i] for i in np.flatnonzero(d >= VOCABULARY - RARE)) for w, d in zip(words, documents)]
+            ends = pa.array(np.concatenate([[0], np.cumsum(list(map(len, shared)))]), pa.int32())
+            columns = [
+                batch.column("doc_id"),
+                pa.array(list(map(len, words)), pa.int64()),
+                pa.array(score_documents(own, documents), pa.float64()),
+                pa.ListArray.from_arrays(ends, pa.array([w for c in shared for w in c], pa.string())),
+                pa.ListArray.from_arrays(ends, pa.array([n for c in shared for n in c.values()], pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "by_place", "words", "times"])
+
+    rows = documents.select(F.col("doc_id").cast("string").alias("doc_id"), lowered().alias("text"))
+    schema = "doc_id string, n_tokens bigint, by_place double, words array<string>, times array<bigint>"
+    # Rows may repeat, so each gets a number, written down once.
+    scored = stored(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+    shared = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("own")).select(
+        "row", F.col("own.words").alias("word"), F.col("own.times").alias("times")
+    )
+    within = shared.join(shares, "word").groupBy("row").agg(F.sum(F.col("times") * F.col("log_share")).alias("within"))
+    added = scored.drop("words", "times").join(within, "row", "left")
+    log_likelihood = F.col("by_place") + F.coalesce("within", F.lit(0.0))
+    return added.select(
         F.col("doc_id").cast(documents.schema["doc_id"].dataType).alias("doc_id"),
         "n_tokens",
-        "log_likelihood",
-        F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_probability"),
+        log_likelihood.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, log_likelihood / F.col("n_tokens")).alias("mean_log_probability"),
     )
 
 
@@ -274,5 +325,6 @@ def pseudo_likelihood(documents: DataFrame) -> DataFrame:
     empty table gives no rows; other columns are neither read nor returned.
     Averages are sums of doubles, so reruns agree up to their rounding.
     """
-    frequent = frequent_words(documents)
-    return scores(documents, train(documents, frequent), frequent)
+    counts = word_counts(documents)
+    frequent = most_frequent(counts)
+    return scores(documents, train(documents, frequent), frequent, log_shares(counts, frequent))
