@@ -281,6 +281,16 @@ def test_near_duplicates_on_awkward_rows(odd, none):
     assert neardup.near_duplicates(none).count() == 0
 
 
+def test_crowded_regions_keep_every_pair(spark, monkeypatch):
+    for name in ("CROWDED", "BLOCK"):
+        monkeypatch.setattr(neardup, name, 8, raising=False)
+    # Of all values only the first three are shared, so one tree alone brings these sets together.
+    rows = [(i, 100, [7, 7, 7] + [1000 * i + j for j in range(neardup.VALUES - 3)], 5, 6, [3] * 16, i, i % 50) for i in range(60)]
+    schema = "rep bigint, n_shingles bigint, signature array<int>, s0 bigint, s1 bigint, odd array<bigint>, component bigint, reach bigint"
+    found = neardup._possible_pairs(spark.createDataFrame(rows, schema), 80).collect()
+    assert sorted((r.a, r.b) for r in found) == [(a, b) for a in range(60) for b in range(a + 1, 60)]
+
+
 def test_parity_never_rules_out_a_link():
     rng = np.random.default_rng(5)
     for _ in range(50):

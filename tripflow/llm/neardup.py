@@ -3,7 +3,8 @@
 Every distinct set of word shingles gets one signature of ``VALUES`` minima. A
 tree of the forest is one order of the sets, sorted by a rotation of the
 signature, so sets that share a long prefix stand next to each other. A region
-of a tree is what shares a prefix; its depth adapts to how crowded it is.
+of a tree is what shares a prefix of ``DEPTH`` values, however many sets do; a
+crowded one is dealt into blocks, and every block meets every other.
 
 1. In every tree, neighbours in the sorted order are candidates. A few of each
    set, drawn over all trees, are confirmed and joined to components: large groups
@@ -12,12 +13,12 @@ of a tree is what shares a prefix; its depth adapts to how crowded it is.
    128 bits and their sizes leave a similarity of 80 % possible, and if either
    candidates of step 1 connect them or they share a region. They are confirmed,
    too. So pairs inside a component are never listed, and no number of partners
-   is capped. Within a reach a parity sketch rules out most of what is almost
-   similar enough; it never rules out a link, see ``parity``.
+   is capped. A parity sketch rules out most of what is almost similar enough; it
+   never rules out a link, see ``parity``.
 
-A pair of similarity J is missed only if it shares no region in any tree: at 0.8
-and the usual depth with probability (1 - 0.8**3)**24 < 4e-8, in regions of the
-next depth (1 - 0.8**5)**24 < 8e-5. Confirmed links are exact, in integers.
+A pair of similarity J is missed only if it shares no region in any tree, at 0.8
+with probability (1 - 0.8**3)**24 < 4e-8 (no two trees use the same value), or by
+its sketches, see ``AGREE``. Confirmed links are exact, in integers.
 """
 
 from __future__ import annotations
@@ -36,19 +37,18 @@ from tripflow.llm.components import components
 # Words per shingle and similarity in percent, unless told otherwise.
 WORDS, SIMILAR = 5, 80
 TREES = 24
-# Prefix lengths of a region: the first one, and those it deepens to while more
-# than CROWDED sets share it.
-DEPTHS = (3, 5, 8)
-CROWDED = 4096
-VALUES = TREES * DEPTHS[0]
+# Prefix length of a region, and the sets of a region that are one block.
+DEPTH = 3
+BLOCK = 4096
+VALUES = TREES * DEPTH
 # A sketch keeps two bits of each of 64 values. At a similarity of 0.8 some 54
-# agree, with a deviation of 2.9; fewer than this many do in 2 of 100,000 cases.
-AGREE = 42
+# agree, with a deviation of 2.9; fewer than this many do with probability 2e-7.
+AGREE = 38
 # Neighbours looked at in each direction; and kept per set: drawn ones, and the
 # most alike.
 AHEAD, DRAWN, ALIKE = 2, 8, 4
-# Bits of the parity sketch, in 64s.
-PARITY = 16
+# Bits of the parity sketch, in 64s, and of what is left of it where rows repeat per tree.
+PARITY, FOLDED = 16, 4
 # Shingles that a task remembers while it confirms pairs.
 REMEMBERED = 4_000_000
 
@@ -152,17 +152,17 @@ def _sets(k: int):
 
 def _prefix(tree: Column, depth: int) -> Column:
     """Hash of the tree and the first ``depth`` values of its rotation of the signature."""
-    at = [F.element_at("signature", ((tree * DEPTHS[0] + i) % VALUES + 1).cast("int")) for i in range(depth)]
+    at = [F.element_at("signature", ((tree * DEPTH + i) % VALUES + 1).cast("int")) for i in range(depth)]
     return F.xxhash64(tree, *at)
 
 
 def _entries(sets: DataFrame) -> DataFrame:
     """One row per set and tree: its region, how it goes on from there, and what pairs are judged by."""
     tree = F.col("tree")
-    on = [F.element_at("signature", ((tree * DEPTHS[0] + i) % VALUES + 1).cast("int")) for i in range(DEPTHS[0], DEPTHS[0] + 4)]
+    on = [F.element_at("signature", ((tree * DEPTH + i) % VALUES + 1).cast("int")) for i in range(DEPTH, DEPTH + 4)]
     rows = sets.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
     return rows.select(
-        _prefix(tree, DEPTHS[0]).alias("region"),
+        _prefix(tree, DEPTH).alias("region"),
         F.struct(*[v.alias(f"v{i}") for i, v in enumerate(on)]).alias("on"),
         "rep",
         "s0",
@@ -237,25 +237,41 @@ def _neighbour_pairs(sets: DataFrame) -> DataFrame:
     return ranked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _folded(i: int) -> Column:
+    """Of the parity sketch, read as one of FOLDED * 64 bits, the ``i``-th 64."""
+    total = F.get("odd", F.lit(i))
+    for j in range(i + FOLDED, PARITY, FOLDED):
+        total = total.bitwiseXOR(F.get("odd", F.lit(j)))
+    return total
+
+
 def _regions(sets: DataFrame) -> DataFrame:
-    """``region`` per set and tree, deepened where it is crowded."""
-    rows = sets.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
-    prefixes = [f"p{d}" for d in DEPTHS]
-    rows = rows.select(
-        "rep", "n_shingles", "s0", "s1", "component", "reach", *[_prefix(F.col("tree"), d).alias(p) for d, p in zip(DEPTHS, prefixes)]
+    """A row per set and tree: ``region`` and the ``block`` of the set in it, alone or with another (``low, high``).
+
+    Regions of one reach only are left out if they are crowded: nothing in them is to be compared.
+    """
+    rows = sets.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))).select(
+        _prefix(F.col("tree"), DEPTH).alias("region"),
+        *["rep", "n_shingles", "s0", "s1", "component", "reach"],
+        *[_folded(i).alias(f"o{i}") for i in range(FOLDED)],
+    )
+    # Crowded regions hold more than BLOCK rows each, so they are few.
+    counted = rows.groupBy("region").agg(F.count("*").alias("n"), (F.min("reach") < F.max("reach")).alias("several"))
+    crowded = stored(
+        counted.filter(F.col("n") > BLOCK).select(
+            F.col("region").alias("crowded"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), "several"
+        ),
+        "neardup-crowded",
+    )
+    if crowded.isEmpty():
+        return rows.select("*", *[F.lit(0).alias(c) for c in ("block", "low", "high")])
+    dealt = rows.join(crowded, F.col("region") == F.col("crowded"), "left").filter(F.coalesce("several", F.lit(True)))
+    blocks = F.coalesce("blocks", F.lit(1))
+    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    met = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select("*", other)
+    return met.select(
+        *rows.columns, "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    region = F.col(prefixes[0])
-    for i, (shallow, deep) in enumerate(zip(prefixes, prefixes[1:])):
-        # Crowded regions hold at least CROWDED rows each, so they are few.
-        counted = rows.groupBy(shallow).count().filter(F.col("count") > CROWDED)
-        crowded = stored(counted.select(F.col(shallow).alias(f"crowded{i}")), "neardup-crowded")
-        if crowded.isEmpty():
-            break
-        rows = rows.join(crowded, F.col(shallow) == F.col(f"crowded{i}"), "left")
-        region = F.when(F.col(f"crowded{i}").isNotNull(), F.col(deep)).otherwise(region) if i == 0 else F.when(
-            F.col(f"crowded{i}").isNotNull() & F.col("crowded0").isNotNull(), F.col(deep)
-        ).otherwise(region)
-    return rows.select(region.alias("region"), "rep", "n_shingles", "s0", "s1", "component", "reach")
 
 
 def _possible_pairs(sets: DataFrame, similar: int) -> DataFrame:
@@ -267,32 +283,29 @@ def _possible_pairs(sets: DataFrame, similar: int) -> DataFrame:
     """
     bits = [F.get("odd", F.lit(i)).alias(f"o{i}") for i in range(PARITY)]
     one_by_one = sets.select("reach", "rep", "n_shingles", "s0", "s1", "component", *bits)
-    differ = sum((F.bit_count(F.col(f"x.o{i}").bitwiseXOR(F.col(f"y.o{i}"))) for i in range(PARITY)), F.lit(0))
-    both = F.col("x.n_shingles") + F.col("y.n_shingles")
-    within = _matching(
-        one_by_one,
-        similar,
-        F.col("x.reach") == F.col("y.reach"),
-        differ * (100 + similar) <= both * (100 - similar),
-    )
+    within = _matching(one_by_one, similar, F.col("x.reach") == F.col("y.reach"), PARITY)
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("region", "low", "high")]
+    # Sets of one block meet where it stands alone.
+    once = (F.col("x.block") != F.col("y.block")) | (F.col("x.low") == F.col("x.high"))
     across = _matching(
-        _regions(sets), similar, (F.col("x.region") == F.col("y.region")) & (F.col("x.reach") != F.col("y.reach"))
+        _regions(sets), similar, same[0] & same[1] & same[2] & once & (F.col("x.reach") != F.col("y.reach")), FOLDED
     )
     return within.union(across).distinct()
 
 
-def _matching(rows: DataFrame, similar: int, together: Column, may_link: Column | None = None) -> DataFrame:
+def _matching(rows: DataFrame, similar: int, together: Column, bits: int) -> DataFrame:
+    """Pairs of rows that sizes, sketches and ``bits`` times 64 bits of parity leave possible."""
     x, y = rows.alias("x"), rows.alias("y")
     smaller, larger = (f("x.n_shingles", "y.n_shingles") for f in (F.least, F.greatest))
+    differ = sum((F.bit_count(F.col(f"x.o{i}").bitwiseXOR(F.col(f"y.o{i}"))) for i in range(bits)), F.lit(0))
     may = (
         together
         & (F.col("x.rep") < F.col("y.rep"))
         & (F.col("x.component") != F.col("y.component"))
         & (smaller * 100 >= larger * similar)
         & (_agreement("x", "y") >= AGREE)
+        & (differ * (100 + similar) <= (smaller + larger) * (100 - similar))
     )
-    if may_link is not None:
-        may = may & may_link
     return x.join(y, may).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
 
