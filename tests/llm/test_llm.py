@@ -176,6 +176,24 @@ def test_edited_fingerprints(odd, none):
     assert winnow.edited_fingerprints(none).count() == 0
 
 
+def test_likeness_across_the_short_limit(spark):
+    # 33 and 31 hashes: one text is winnowed, the other is not, and one holds the other.
+    longer = " ".join(f"w{i:02d}" for i in range(winnow.SHORT + winnow.GRAM))
+    shorter = longer.rsplit(" ", 2)[0]
+    df = spark.createDataFrame([(2, longer), (1, shorter)], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in winnow.edited_fingerprints(df).collect()}
+    assert found[2].near_next == found[1].near_next == pytest.approx((winnow.SHORT - 1) / (winnow.SHORT + 1))
+    # The edited text of the shorter one: its first part, then the beginning of the longer one.
+    n = len(shorter)
+    edited = shorter[: n - n // 3] + longer[: n // 3]
+    one, two = ({tuple(w[i : i + winnow.GRAM]) for i in range(len(w) - winnow.GRAM + 1)} for w in (units(shorter), units(edited)))
+    assert found[1].near_edited == pytest.approx(len(one & two) / len(one | two))
+
+
+def units(own):
+    return [w[i : i + winnow.UNIT] for w in own.split() for i in range(0, len(w), winnow.UNIT)]
+
+
 # --- byte-level BPE and token shards
 
 

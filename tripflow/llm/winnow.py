@@ -5,6 +5,7 @@ word starting a new unit. Every run of ``GRAM`` units gets a polynomial hash; of
 every ``SPAN`` neighbouring hashes the smallest is selected, of equal ones the
 rightmost, and kept with its position. Two texts that share a run of
 GRAM + SPAN - 1 units share a selected hash; short texts keep all their hashes.
+Where one of two texts that are compared is short, all hashes of both are compared.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ SHORT = 4 * SPAN
 # The polynomial's modulus, a prime below 2**31, and its base.
 _PRIME, _BASE = 2147483647, 1000003
 _LOW = (1 << 32) - 1
+_UNITS = r"[^\x20\x09-\x0D]{1,%d}" % UNIT
 
 
 def with_selected(rows: DataFrame, text: str, name: str) -> DataFrame:
@@ -30,13 +32,27 @@ def with_selected(rows: DataFrame, text: str, name: str) -> DataFrame:
     without units has none.
     """
     h, v = f"{name}_h", f"{name}_v"
-    units = F.regexp_extract_all(F.col(text), F.lit(r"[^\x20\x09-\x0D]{1,%d}" % UNIT), F.lit(0))
-    hashed = rows.withColumn(h, F.transform(units, lambda u: F.pmod(F.xxhash64(u), F.lit(_PRIME))))
+    placed = rows.withColumn(h, _unit_hashes(text)).withColumn(v, _grams(F.col(h))).drop(h)
+
+    def least(first: Column, i: Column) -> Column:
+        return F.least(first, *[F.get(F.col(v), i + j) for j in range(1, SPAN)])
+
+    spans = F.slice(v, 1, F.greatest(F.size(v) - SPAN + 1, F.lit(0)))
+    picked = F.when(F.size(v) < SHORT, F.col(v)).otherwise(F.array_distinct(F.transform(spans, least)))
+    return placed.withColumn(name, picked).drop(v)
+
+
+def _unit_hashes(text: str) -> Column:
+    return F.transform(F.regexp_extract_all(F.col(text), F.lit(_UNITS), F.lit(0)), lambda u: F.pmod(F.xxhash64(u), F.lit(_PRIME)))
+
+
+def _grams(h: Column) -> Column:
+    """All hashes with their positions, from those of the units."""
 
     def gram(first: Column, i: Column) -> Column:
         total = first
         for j in range(1, GRAM):
-            total = F.pmod(total * _BASE + F.get(F.col(h), i + j), F.lit(_PRIME))
+            total = F.pmod(total * _BASE + F.get(h, i + j), F.lit(_PRIME))
         return _placed(total, i)
 
     n = F.size(h)
@@ -44,15 +60,18 @@ def with_selected(rows: DataFrame, text: str, name: str) -> DataFrame:
         n > 0,
         F.array(_placed(F.aggregate(h, n.cast("bigint"), lambda t, x: F.pmod(t * _BASE + x, F.lit(_PRIME))), F.lit(0))),
     ).otherwise(F.array().cast("array<bigint>"))
-    grams = F.when(n >= GRAM, F.transform(F.slice(h, 1, F.greatest(n - GRAM + 1, F.lit(0))), gram)).otherwise(whole)
-    placed = hashed.withColumn(v, grams).drop(h)
+    return F.when(n >= GRAM, F.transform(F.slice(h, 1, F.greatest(n - GRAM + 1, F.lit(0))), gram)).otherwise(whole)
 
-    def least(first: Column, i: Column) -> Column:
-        return F.least(first, *[F.get(F.col(v), i + j) for j in range(1, SPAN)])
 
-    spans = F.slice(v, 1, F.greatest(F.size(v) - SPAN + 1, F.lit(0)))
-    picked = F.when(F.size(v) < SHORT, F.col(v)).otherwise(F.array_distinct(F.transform(spans, least)))
-    return placed.withColumn(name, picked).drop(v)
+def is_short(text: str) -> Column:
+    """Whether a text has fewer than ``SHORT`` hashes, so that it keeps them all."""
+    return F.regexp_count(F.col(text), F.lit(_UNITS)) - GRAM + 1 < SHORT
+
+
+def all_hashes(text: str) -> Column:
+    """All distinct hashes of a text, selected or not, as integers."""
+    # An array of one gives the units' hashes a name.
+    return hashes_of(F.get(F.transform(F.array(_unit_hashes(text)), _grams), F.lit(0)))
 
 
 def _placed(value: Column, position: Column) -> Column:
@@ -74,7 +93,7 @@ def positions_of(selected: str | Column) -> Column:
     )
 
 
-def likeness(one: str, other: str) -> Column:
+def likeness(one: str | Column, other: str | Column) -> Column:
     """Shared distinct hashes over all distinct hashes; 1 if neither text has any."""
     shared = F.size(F.array_intersect(one, other))
     union = F.size(one) + F.size(other) - shared
@@ -92,7 +111,7 @@ def _text(hashes: str) -> Column:
 
 
 def _next_documents(ids: DataFrame) -> DataFrame:
-    """``doc_id, key, cut`` of every document with ``next_id, next_key``: its next by descending id.
+    """``doc_id, key, cut, short`` of every document with ``next_id, next_key``: its next by descending id.
 
     Only ids move here. They are dealt out by ranges; each range looks ahead
     within itself, and its last one to the first of the next range.
@@ -102,7 +121,7 @@ def _next_documents(ids: DataFrame) -> DataFrame:
     within = Window.partitionBy("part").orderBy(*order)
     this = F.struct(F.col("doc_id").alias("id"), F.col("key").alias("k"))
     seen = ranged.select(
-        "doc_id", "key", "cut", "part", F.lead(this).over(within).alias("ahead"), F.row_number().over(within).alias("place")
+        "doc_id", "key", "cut", "short", "part", F.lead(this).over(within).alias("ahead"), F.row_number().over(within).alias("place")
     )
     # One row per range from here on.
     firsts = seen.filter("place = 1").select("part", this.alias("first"))
@@ -116,7 +135,7 @@ def _next_documents(ids: DataFrame) -> DataFrame:
     )
     ahead = F.coalesce("ahead", "following")
     return seen.join(following, F.col("part") == F.col("its_part")).select(
-        "doc_id", "key", "cut", ahead["id"].alias("next_id"), ahead["k"].alias("next_key")
+        "doc_id", "key", "cut", "short", ahead["id"].alias("next_id"), ahead["k"].alias("next_key")
     )
 
 
@@ -127,7 +146,9 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     near_edited, near_next``. The edited text has its last floor(n_chars / 3) code
     points replaced by the first as many (or all) of the next document by
     descending ``doc_id``; after the last comes the first. The two fingerprints
-    are the distinct selected hashes in hexadecimal, in order of position.
+    are the distinct selected hashes in hexadecimal, in order of position. The
+    likeness of two texts is that of their selected hashes or, if one of them is
+    short, of all their hashes.
 
     A null text is empty; an empty text has an empty fingerprint and is like
     another empty one. A null ``doc_id`` comes last. Rows that repeat a
@@ -138,7 +159,7 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     """
     rows = documents.select("doc_id", text_of().alias("text")).withColumn("key", F.xxhash64("text"))
     cut = F.floor(F.length("text") / 3).cast("int")
-    ids = stored(rows.groupBy("doc_id", "key", cut.alias("cut")).count(), "winnow-ids")
+    ids = stored(rows.groupBy("doc_id", "key", cut.alias("cut"), is_short("text").alias("short")).count(), "winnow-ids")
     if not ids.filter("count > 1").isEmpty():
         rows = rows.dropDuplicates(["doc_id", "key"])
     order = stored(_next_documents(ids), "winnow-next")
@@ -146,21 +167,34 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     marked = with_selected(rows, "text", "selected").select(
         "doc_id", "key", "text", hashes_of("selected").alias("hashes")
     )
-    # What each document hands to the one it follows: the piece it needs, and the hashes.
+    # What each document hands to the one it follows: the piece it needs, and the
+    # hashes, all of them if either is short.
+    either_short = F.col("to_short") | is_short("text")
     taker = order.select(
-        F.col("doc_id").alias("to_id"), F.col("key").alias("to_key"), F.col("cut").alias("to_cut"), "next_id", "next_key"
+        *[F.col(own).alias(f"to_{to}") for own, to in (("doc_id", "id"), ("key", "key"), ("cut", "cut"), ("short", "short"))],
+        "next_id",
+        "next_key",
     )
     handed = (
         marked.alias("owner")
         .join(taker, F.col("owner.doc_id").eqNullSafe(F.col("next_id")) & (F.col("owner.key") == F.col("next_key")))
-        .select("to_id", "to_key", F.expr("substring(text, 1, to_cut)").alias("piece"), F.col("hashes").alias("next_hashes"))
+        .select(
+            "to_id",
+            "to_key",
+            F.expr("substring(text, 1, to_cut)").alias("piece"),
+            either_short.alias("next_whole"),
+            F.when(either_short, all_hashes("text")).otherwise(F.col("hashes")).alias("next_hashes"),
+        )
     )
     both = marked.join(handed, marked["doc_id"].eqNullSafe(F.col("to_id")) & (marked["key"] == F.col("to_key")))
     edited = both.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
+        "text",
         "hashes",
-        "next_hashes",
+        F.when(F.col("next_whole"), likeness(all_hashes("text"), "next_hashes"))
+        .otherwise(likeness("hashes", "next_hashes"))
+        .alias("near_next"),
         F.concat(F.expr("substring(text, 1, length(text) - int(floor(length(text) / 3)))"), "piece").alias("edited"),
     )
     edited = with_selected(edited, "edited", "selected").withColumn("edited_hashes", hashes_of("selected"))
@@ -170,6 +204,8 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         _text("hashes").alias("fingerprint"),
         _text("edited_hashes").alias("edited_fingerprint"),
-        likeness("hashes", "edited_hashes").alias("near_edited"),
-        likeness("hashes", "next_hashes").alias("near_next"),
+        F.when(is_short("text") | is_short("edited"), likeness(all_hashes("text"), all_hashes("edited")))
+        .otherwise(likeness("hashes", "edited_hashes"))
+        .alias("near_edited"),
+        "near_next",
     )
