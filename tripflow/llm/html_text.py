@@ -3,12 +3,14 @@
 Markup is stripped so that every block element becomes a line. A sliding window
 sums the text lengths of ``WINDOW`` lines; where it surges from nothing a body of
 text begins, and where it dives to nothing again the body ends. Bodies whose
-windows reach ``SURGE`` characters are kept, with all their lines.
+windows reach ``SURGE`` characters are kept, with all their lines, and so are
+shorter ones that stand in the same container as a kept one, such as headlines and
+endings that a notice cuts off.
 
 Lines of menus, page headers, footers, sidebars, notices, adverts, forms and
 reader comments weigh nothing, like link texts, and both ends of such a part are
 followed by empty lines, so that the window dives there. In a page that marks its
-article, bodies in the article are kept and others are not.
+article, all bodies in its articles are kept, however short, and others are not.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ _HOLDERS = frozenset(
     "table td ul".split()
 )
 _ARTICLES = frozenset(("article", "main"))
+# Holders that are text of the container around them.
+_INLINE = frozenset("a li ol p span ul".split())
 # Elements, and words of class, id or role, that mark what is not the article.
 _ASIDES = frozenset("aside button dialog footer form head header menu nav select".split())
 _ASIDE_WORDS = frozenset(
@@ -64,6 +68,7 @@ class Line:
     weight: int
     article: int
     aside: bool
+    container: int = 0
 
 
 def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
@@ -83,21 +88,22 @@ def lines_of(page: str) -> list[Line]:
     lines: list[Line] = []
     parts: list[str] = []
     linked = 0
-    open_holders: list[tuple[str, bool, int]] = []  # name, aside, article
-    article, articles = 0, 0
+    open_holders: list[tuple[str, bool, int, int]] = []  # name, aside, article, container
+    article, articles, containers = 0, 0, 0
 
     def in_aside() -> bool:
-        return any(aside for _, aside, _ in open_holders)
+        return any(aside for _, aside, _, _ in open_holders)
 
     def in_link() -> bool:
-        return any(name == "a" for name, _, _ in open_holders)
+        return any(name == "a" for name, _, _, _ in open_holders)
 
     def end_line() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
             aside = in_aside()
-            lines.append(Line(text, 0 if aside else max(0, len(text) - linked), article, aside))
+            container = open_holders[-1][3] if open_holders else 0
+            lines.append(Line(text, 0 if aside else max(0, len(text) - linked), article, aside, container))
         parts.clear()
         linked = 0
 
@@ -117,12 +123,12 @@ def lines_of(page: str) -> list[Line]:
         if name not in _HOLDERS:
             continue
         if closing:
-            if any(name == own for own, _, _ in open_holders):
+            if any(name == own for own, _, _, _ in open_holders):
                 before = in_aside()
                 if before and name not in _BLOCKS:
                     end_line()
                 while True:
-                    own, _, outer = open_holders.pop()
+                    own, _, outer, _ = open_holders.pop()
                     article = outer
                     if own == name:
                         break
@@ -135,13 +141,17 @@ def lines_of(page: str) -> list[Line]:
         aside = _is_aside(name, tag[3], article > 0)
         if name in _ARTICLES:
             # An article ends whatever was left open before it.
-            if in_aside() and name == "main" or not any(own in _ARTICLES for own, _, _ in open_holders):
-                open_holders = [(own, False, outer) for own, _, outer in open_holders]
+            if in_aside() and name == "main" or not any(own in _ARTICLES for own, _, _, _ in open_holders):
+                open_holders = [(own, False, outer, within) for own, _, outer, within in open_holders]
         if aside and not in_aside():
             if name not in _BLOCKS:
                 end_line()
             gap()
-        open_holders.append((name, aside, article))
+        container = open_holders[-1][3] if open_holders else 0
+        if name not in _INLINE:
+            containers += 1
+            container = containers
+        open_holders.append((name, aside, article, container))
         if name in _ARTICLES and article == 0:
             articles += 1
             article = articles
@@ -151,7 +161,7 @@ def lines_of(page: str) -> list[Line]:
 
 
 def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines between surge and dive points; if no window surges, those of its highest rise."""
+    """The lines between surge and dive points, and what stands beside them; if no window surges, of its highest rise."""
     weights = [line.weight for line in lines]
     bodies: list[tuple[int, int, int, int]] = []  # peak, article, first, last
     first = None
@@ -166,14 +176,15 @@ def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> l
                 bodies.append((peak, lines[first].article, first, last))
                 first = None
     if any(article for _, article, _, _ in bodies):
-        bodies = [b for b in bodies if b[1]]
-        tops: dict[int, int] = {}
-        for peak, article, _, _ in bodies:
-            tops[article] = max(peak, tops.get(article, 0))
-        high = {a for a, peak in tops.items() if peak >= surge} or {max(tops, key=lambda a: (tops[a], -a))}
-        kept = [b for b in bodies if b[1] in high]
+        kept = [b for b in bodies if b[1]]
     else:
-        kept = [b for b in bodies if b[0] >= surge] or sorted(bodies, key=lambda b: (-b[0], b[2]))[:1]
+        high = [b for b in bodies if b[0] >= surge] or sorted(bodies, key=lambda b: (-b[0], b[2]))[:1]
+
+        def containers(body: tuple[int, int, int, int]) -> set[int]:
+            return {line.container for line in lines[body[2] : body[3] + 1] if line.weight}
+
+        around = set().union(*map(containers, high))
+        kept = [b for b in bodies if b[0] >= surge or containers(b) & around]
     return [
         line.text for _, _, first, last in kept for line in lines[first : last + 1] if line.text and not line.aside
     ]
