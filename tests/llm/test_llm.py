@@ -236,6 +236,18 @@ def test_token_shards(spark, odd, none, reference_ids, tmp_path):
     assert repair.write_and_index(none, JSON, public_tokenizers.PATTERN).count() == 0
 
 
+def test_token_shards_read_special_tokens_as_the_library_does(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(JSON)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n\n y", "<|endoftext| > no", "plain  text "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in repair.write_and_index(df, JSON, public_tokenizers.PATTERN).collect()}
+    for i, own in enumerate(texts):
+        ids = tokenizer.encode(own, add_special_tokens=False).ids + [repair.END]
+        assert found[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_grammar_round_trip():
     rng = np.random.default_rng(4)
     ids = np.concatenate([np.tile([5, 5, 5, 7], 300), rng.integers(0, 9, 5000), np.full(99, 3)]).astype(np.int32)
@@ -418,6 +430,16 @@ def test_main_text(page, expected):
     assert html_text.main_text(page) == expected
 
 
+def test_short_bodies_beside_long_ones_are_kept():
+    long = "A long sentence of text. " * 9
+    marked = f"<h1>Title</h1><div class=byline>By me</div><p>{long}</p><div class=ad>Buy</div><p>Short ending.</p>"
+    expected = f"Title\n{long.strip()}\nShort ending."
+    assert html_text.main_text(marked) == expected
+    assert html_text.main_text(f"<div id=top>Elsewhere</div><br><br><br><div class=ad>Buy</div><div>{marked}</div>") == expected
+    two = f"<article><p>{long}</article><article><p>Short one.</article>"
+    assert html_text.main_text(two) == f"{long.strip()}\nShort one."
+
+
 def test_pages_on_awkward_rows(spark):
     rows = [(None, None, None, "x"), (1 << 60, "u", "<p>text", "x"), (1, "u", "<p>" + LONG, "x"), (1, "u", "<p", "x")]
     found = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string"))

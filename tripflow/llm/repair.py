@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.bpe import PieceEncoder, pieces_of, slices
@@ -131,7 +131,6 @@ def _shards(tokenizer_json: str, base: int):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(tokenizer_json)
-        tokenizer.encode_special_tokens = True
 
         def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             flat, sizes = [], []
@@ -181,23 +180,40 @@ def _shards(tokenizer_json: str, base: int):
     return run
 
 
+def _segments(added: list[str], pattern: str) -> Column:
+    """``pieces_of`` the text, after the tokenizer's added tokens are cut out of it as pieces of their own."""
+    if not added:
+        return pieces_of(pattern)
+    # Java reads what stands between \Q and \E as it is.
+    literal = "|".join(rf"\Q{token}\E" for token in sorted(added, key=len, reverse=True))
+    parts = F.split(text_of(), f"(?={literal})|(?<={literal})")
+    own = F.transform(parts, lambda part: F.when(part.isin(added), F.array(part)).otherwise(pieces_of(pattern, part)))
+    return F.when(text_of().rlike(literal), F.flatten(own)).otherwise(pieces_of(pattern))
+
+
 def write_shards(documents: DataFrame, path: str, tokenizer_path: str, pattern: str) -> None:
     """Encode every whole text, end each document with id 0, and write shards below ``path``.
 
     Documents are dealt out by ranges of ``doc_id`` and sorted within each; nulls
     come first, and rows of the same ``doc_id`` go by text. The tokenizer encodes
     every distinct piece of its pre-tokenizer ``pattern`` once per task: pieces
-    are encoded independently of each other, so the ids are those of the text.
+    are encoded independently of each other, so the ids are those of the text. The
+    tokenizer's added tokens are cut out first, as the library does it: where a text
+    holds one literally, it is that token's id.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer_json = file.read()
     from tokenizers import Tokenizer
 
-    base = Tokenizer.from_str(tokenizer_json).get_vocab_size()
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    base = tokenizer.get_vocab_size()
+    added = list(tokenizer.get_added_tokens_decoder().values())
+    if any(token.lstrip or token.rstrip or token.single_word for token in added):
+        raise ValueError("added tokens that take in or depend on what stands beside them are not supported")
     sent = documents.sparkSession.sparkContext.broadcast(tokenizer_json)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    pieces = ordered.select("doc_id", pieces_of(pattern).alias("pieces"))
+    pieces = ordered.select("doc_id", _segments([token.content for token in added], pattern).alias("pieces"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _shards(sent.value, base)(batches)
