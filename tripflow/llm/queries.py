@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tripflow.llm import bpe, exact, html_text, lm, mixing, neardup, repair, toxicity, urls, winnow
+from tripflow.llm import bpe, exact, html_text, lm, mixing, neardup, repair, toxicity, trie, urls, winnow
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,10 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pseudo_likelihood": _pseudo_likelihood,
@@ -74,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": _toxicity,
         "op9_near_duplicates": _near_duplicates,
         "op10_url_filter": _url_filter,
+        "op12_prefix_trie": _prefix_trie,
     }
 
 
@@ -90,4 +95,5 @@ def oracle_sql() -> dict[str, str]:
         """,
         "op4_source_mixing": mixing.SQL,
         "op10_url_filter": urls.SQL,
+        "op12_prefix_trie": trie.SQL,
     }
