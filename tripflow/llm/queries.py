@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tripflow.llm import bpe, exact, html_text, lm, mixing, neardup, repair, toxicity, trie, urls, winnow
+from tripflow.llm import (
+    bpe,
+    exact,
+    html_text,
+    lm,
+    mixing,
+    neardup,
+    repair,
+    toxicity,
+    trie,
+    urls,
+    variants,
+    winnow,
+)
 from tripflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +79,10 @@ def _prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie_nodes(table(spark, sf_dir, "conversations"))
 
 
+def _spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pseudo_likelihood": _pseudo_likelihood,
@@ -79,6 +96,7 @@ def queries() -> dict[str, Query]:
         "op9_near_duplicates": _near_duplicates,
         "op10_url_filter": _url_filter,
         "op12_prefix_trie": _prefix_trie,
+        "op13_spelling_variants": _spelling_variants,
     }
 
 
@@ -96,4 +114,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_source_mixing": mixing.SQL,
         "op10_url_filter": urls.SQL,
         "op12_prefix_trie": trie.SQL,
+        "op13_spelling_variants": variants.SQL,
     }
