@@ -15,6 +15,7 @@ from tripflow.llm import (
     lm,
     mixing,
     neardup,
+    pair_index,
     repair,
     toxicity,
     trie,
@@ -75,6 +76,12 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_index.encode_decode_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
 def _prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie_nodes(table(spark, sf_dir, "conversations"))
 
@@ -95,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": _toxicity,
         "op9_near_duplicates": _near_duplicates,
         "op10_url_filter": _url_filter,
+        "op11_word_bpe": _word_bpe,
         "op12_prefix_trie": _prefix_trie,
         "op13_spelling_variants": _spelling_variants,
     }
