@@ -1,0 +1,139 @@
+"""The conversation prefix trie against a brute-force twin."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from tripflow.llm import trie
+
+COLUMNS = "conv_id bigint, turn bigint, role string, text string, conv bigint, key string, depth int"
+
+
+def rows_of(turns):
+    return [(c, t, r, x, 7, "clash", 1) for c, t, r, x in turns]
+
+
+def brute(turns):
+    """The nodes as a set of tuples, from whole prefixes in memory."""
+
+    def place(turn):
+        _, t, role, text = turn
+        role, text = role or "", text or ""
+        digest = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).hexdigest()
+        return (t is not None, t or 0, digest)
+
+    own = defaultdict(list)
+    for turn in sorted((t for t in turns if t[0] is not None), key=place):
+        own[turn[0]].append((turn[2] or "", turn[3] or ""))
+    rebuilt = {}
+    for c, said in own.items():
+        head = zlib.crc32(str(c).encode()) % 9
+        first = c - (c % 5 if c >= 0 else -(-c % 5))
+        rebuilt[c] = own.get(first, [])[:head] + said[head:]
+    members, ends = defaultdict(set), defaultdict(list)
+    for c, said in rebuilt.items():
+        ends[tuple(said)].append(c)
+        for d in range(len(said) + 1):
+            members[tuple(said[:d])].add(c)
+    children = defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    saved, leaves = defaultdict(int), defaultdict(int)
+    for node, convs in members.items():
+        for d in range(len(node) + 1):
+            saved[node[:d]] += (len(convs) - 1) * len(node[-1][1].encode()) if node else 0
+            leaves[node[:d]] += node not in children
+    return {
+        (
+            min(convs),
+            len(node),
+            min(members[node[:-1]]) if node else None,
+            len(convs),
+            children[node],
+            leaves[node],
+            saved[node],
+            hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest(),
+        )
+        for node, convs in members.items()
+    }
+
+
+def found(spark, turns, **options):
+    df = spark.createDataFrame(rows_of(turns), COLUMNS)
+    rows = [tuple(r) for r in trie.trie_nodes(df, **options).collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def random_turns(seed: int, convs: int, longest: int):
+    rng = random.Random(seed)
+    turns = []
+    for c in range(convs):
+        for t in range(rng.randint(1, longest)):
+            turns.append((c * 3 - 20, t, rng.choice(["user", "bot"]), rng.choice(["a", "é b", "c" * 9])))
+    rng.shuffle(turns)
+    return turns
+
+
+@pytest.mark.parametrize("band", [2, 3, 8])
+def test_equals_brute_force(spark, band):
+    turns = random_turns(band, 60, 12)
+    assert found(spark, turns, band=band) == brute(turns)
+
+
+def test_deep_conversations_pass_several_levels_of_bands(spark):
+    # 70 turns, bands of 2: totals pass through six levels.
+    turns = [(c, t, "user", str(min(t, 64 + c))) for c in range(4) for t in range(70)]
+    turns += [(c, t, "bot", "x") for c in (10, 15, 20) for t in range(33)]
+    assert found(spark, turns, band=2) == brute(turns)
+
+
+def test_a_long_conversation_is_numbered_over_several_slices(spark):
+    turns = [(5, t, "user", str(t % 7)) for t in range(400)] + [(6, 0, "user", "x"), (4, 0, "user", "x")]
+    df = spark.createDataFrame(rows_of(turns), COLUMNS)
+    numbered = trie._numbered(df).collect()
+    assert sorted(r.pos for r in numbered if r.conv == 5) == list(range(1, 401))
+    assert found(spark, turns) == brute(turns)
+
+
+def test_awkward_rows(spark):
+    turns = [
+        (None, 0, "user", "belongs to none"),
+        (0, None, None, "null turn first"),
+        (0, None, "user", None),
+        (0, -3, "user", "early"),
+        (0, -3, "user", "early"),
+        (0, 2, "user", "日本語" * 5000),
+        (1, 0, "user", "no more turns than the head replaces"),
+        (2, 0, "", ""),
+        (3, 0, None, None),
+        (-7, 0, "user", "negative"),
+        (2**62 + 3, 0, "user", "large"),
+    ]
+    assert found(spark, turns) == brute(turns)
+
+
+def test_a_conversation_without_turns_left_is_a_member_of_the_root(spark):
+    # Its first turns are another conversation's, which does not exist.
+    alone = next(c for c in range(1, 100) if c % 5 and zlib.crc32(str(c).encode()) % 9 > 0)
+    rows = found(spark, [(alone, 0, "user", "gone")])
+    assert rows == {(alone, 0, None, 1, 0, 1, 0, hashlib.sha256(str(alone).encode()).hexdigest())}
+
+
+def test_empty_table(spark):
+    empty = trie.trie_nodes(spark.createDataFrame([], COLUMNS))
+    assert empty.count() == 0
+    assert empty.columns == trie.trie_nodes(spark.createDataFrame(rows_of([(0, 0, "a", "b")]), COLUMNS)).columns
+
+
+def test_many_ends_of_one_node_are_digested_in_order(spark, monkeypatch):
+    # Helpers travel by value, so a smaller chunk reaches the tasks, too.
+    monkeypatch.setattr(trie, "CHUNK", 7)
+    turns = [(c * 5, 0, "user", "same") for c in range(200)]
+    assert found(spark, turns) == brute(turns)

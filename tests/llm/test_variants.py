@@ -1,0 +1,125 @@
+"""Spelling variants against a brute-force twin."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tripflow.llm import variants
+
+COLUMNS = "doc_id bigint, text string, word string, n string, form int"
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute(rows):
+    lower = str.maketrans(variants.UPPER, variants.LOWER)
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(lower)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    near = {w: [x for x in words if one_edit(w, x)] for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= 5 * words[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return {(w, form[w], root(w), n, len(near[w]), words.get(form[w])) for w, n in words.items()}
+
+
+def found(spark, rows):
+    df = spark.createDataFrame([(d, t, "x", "y", 1) for d, t in rows], COLUMNS)
+    return {tuple(r) for r in variants.variants(df).collect()}
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(5)
+    stems = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(5, 9))) for _ in range(40)]
+    rows = []
+    for doc in range(60):
+        said = []
+        for _ in range(150):
+            w = stems[min(int(rng.expovariate(0.1)), 39)]
+            if rng.random() < 0.3:
+                i = rng.randrange(len(w))
+                w = rng.choice([w[:i] + w[i + 1 :], w[:i] + "z" + w[i + 1 :], w[:i] + w[i] + w[i:]])
+            said.append(rng.choice([w, w.upper() if w.isascii() else w, w.title() if w.isascii() else w]))
+        rows.append((doc, rng.choice([" ", ", ", "1"]).join(said)))
+    expected = brute(rows)
+    assert any(r[1] for r in expected) and any(r[4] > 1 for r in expected)
+    assert found(spark, rows) == expected
+
+
+def test_chains_of_forms_lead_to_the_last_one(spark):
+    # Each one edit from the next and five times as rare.
+    chain = [("aaaaaaaa", 5), ("aaaaaaab", 25), ("aaaaaabb", 125), ("aaaaabbb", 625), ("aaaabbbb", 3125)]
+    rows = [(i, " ".join([w] * n)) for i, (w, n) in enumerate(chain)]
+    result = {r[0]: r for r in found(spark, rows)}
+    assert [result[w][2] for w, _ in chain] == ["aaaabbbb"] * 5
+    assert [result[w][1] for w, _ in chain] == [w for w, _ in chain[1:]] + [None]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_awkward_rows(spark):
+    long = "abcdefgh" * 4000
+    rows = [(1, None), (2, ""), (None, "nodocid " * 6), (3, "Repeat " * 5), (3, "Repeat " * 5), (4, "Éclair éclair " * 3)]
+    rows += [(5, f"{long} " * 5), (6, f"{long}x " * 30), (7, "short " * 9), (8, "×÷×÷×÷ " * 6), (9, "ǅabcdef ab1cdefgh " * 5)]
+    result = found(spark, rows)
+    assert result == brute(rows)
+    assert (long, f"{long}x", f"{long}x", 5, 1, 30) in result
+
+
+def test_empty_table(spark):
+    assert found(spark, []) == set()
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.text("ab", min_size=6, max_size=9), st.data())
+def test_one_edit_leaves_a_chunk_pair(word, data):
+    """The rule behind the join, in plain Python: some pair of chunks is a pair of grams."""
+    kind = data.draw(st.sampled_from(["insert", "delete", "replace"]))
+    i = data.draw(st.integers(0, len(word) - 1))
+    other = {"insert": word[:i] + "x" + word[i:], "delete": word[:i] + word[i + 1 :], "replace": word[:i] + "x" + word[i + 1 :]}[kind]
+    a, b = sorted((word, other), key=lambda w: (len(w), w))
+
+    def pairs(w: str, length: int) -> set:
+        first = length // 2
+        last = length - first
+        rest = w[first:]
+        left = w[: len(w) - last]
+        half = first // 2
+        quarter = last // 2
+        return {
+            (0, w[:first], rest[:quarter]),
+            (1, w[:first], rest[len(rest) - (last - quarter) :]),
+            (2, w[len(w) - last :], left[:half]),
+            (3, w[len(w) - last :], left[len(left) - (first - half) :]),
+        }
+
+    assert pairs(a, len(a)) & pairs(b, len(a))
+
+
+@pytest.mark.parametrize("pairs", [[], [("a", "b"), ("b", "c"), ("c", "d"), ("x", "d")]])
+def test_roots(spark, pairs):
+    df = spark.createDataFrame(pairs, "word string, form string")
+    assert {tuple(r) for r in variants.roots(df).collect()} == {(a, "d") for a, _ in pairs}
