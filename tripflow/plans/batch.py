@@ -53,8 +53,8 @@ def run_pipeline(spark: SparkSession, config: BatchConfig) -> None:
     require_distinct(*paths)
 
     if config.source is not None:
-        land_files(spark, config.source, config.bronze)
-        require_match(verify_copy(spark, config.source, config.bronze))
+        manifest = land_files(spark, config.source, config.bronze)
+        require_match(verify_copy(spark, config.source, config.bronze, manifest=manifest))
 
     silver = build_silver(read_contract(spark, config.bronze, RAW_TRIPS))
     if config.silver_by_day:

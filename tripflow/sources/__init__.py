@@ -6,8 +6,10 @@ from tripflow.sources.landing import (
     LandingError,
     file_blocks,
     file_checksums,
+    hash_trees,
     land_files,
     list_files,
+    repair_copy,
     require_match,
     verify_copy,
 )
@@ -24,6 +26,7 @@ __all__ = [
     "LandingError",
     "file_blocks",
     "file_checksums",
+    "hash_trees",
     "land_files",
     "list_files",
     "load_jdbc",
@@ -33,6 +36,7 @@ __all__ = [
     "read_table",
     "read_zone",
     "register_zone",
+    "repair_copy",
     "require_distinct",
     "require_match",
     "time_slices",

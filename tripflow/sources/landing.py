@@ -1,7 +1,9 @@
 """Landing raw files as they are, and proving that the copy is the source.
 
 Files are opaque here. Spreading and comparing are Spark jobs; small helpers
-inside tasks list folders and stream bytes, so no file is ever held whole.
+inside tasks list folders and stream bytes, so no file is ever held whole. A folder
+is listed once per call, and what a copy digests it keeps in a manifest, so that a
+later check reads the landed side only.
 Every file counts, whatever its name or length: Spark's own file listing would
 pass over empty files and names that start with ``_`` or ``.``.
 """
@@ -13,13 +15,17 @@ import posixpath
 import re
 import sys
 import uuid
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.sources.scratch import scratch_path
+
 # Send the helpers below to tasks as code: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -30,23 +36,69 @@ TASK_BYTES = 1024 * 1024 * 1024
 _READ_BYTES = 8 * 1024 * 1024
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 _LISTED = "path string, file string, length bigint"
+_BLOCKS = f"{_LISTED}, start bigint, size bigint"
+_MANIFEST = "file string, length bigint, start bigint, size bigint, md5 string, block_bytes bigint"
+# Folders that one task lists, where a level has many.
+FOLDERS = 100
 
 
 class LandingError(RuntimeError):
     """The landed copy differs from its source."""
 
 
+@dataclass(frozen=True)
+class Listing:
+    """Every file below a root, listed once and stored, with what is known from listing it."""
+
+    files: DataFrame  # path, file, length
+    count: int
+    bytes: int
+    longest: int
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """``path``, ``file`` (relative to ``root``) and ``length`` of every file below ``root``.
 
-    Tasks list folders: the root, and then each folder in it with all below it. A
-    root that is itself a file gives that one under its plain name.
+    Listed here and now, each folder once, and stored: see ``take_listing``.
+    """
+    return take_listing(spark, root).files
+
+
+def take_listing(spark: SparkSession, root: str) -> Listing:
+    """List ``root`` level by level; a root that is itself a file gives that one under its plain name.
+
+    The folders of a level are dealt over all tasks anew, so one deep or wide
+    folder at the top does not keep one task busy. Each level is written to the
+    shared folder by the job that lists it, which also counts what it found: the
+    driver never sees the names.
     """
-    top = spark.createDataFrame([(_normal(root), "")], "path string, file string")
-    first = top.mapInPandas(_list_once, _LISTED)
-    # A row is a folder to list, so the number of tasks is stated.
-    folders = first.filter("length IS NULL").repartition(spark.sparkContext.defaultParallelism, "path")
-    return first.filter("length IS NOT NULL").union(folders.mapInPandas(_list_below, _LISTED))
+    stored = scratch_path(spark, "listing")
+    levels: list[str] = []
+    totals = Counter()
+    longest = 0
+    folders, step = spark.createDataFrame([(_normal(root), "")], "path string, file string"), _list_root
+    while True:
+        seen = Observation()
+        found = folders.mapInPandas(step, _LISTED).observe(
+            seen,
+            F.count("length").alias("files"),
+            F.count_if(F.col("length").isNull()).alias("folders"),
+            F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+            F.coalesce(F.max("length"), F.lit(0)).alias("longest"),
+        )
+        levels.append(f"{stored}/{len(levels)}")
+        found.write.parquet(levels[-1])
+        counts = seen.get
+        totals.update(files=counts["files"], bytes=counts["bytes"])
+        longest = max(longest, counts["longest"])
+        if not counts["folders"]:
+            break
+        below = spark.read.schema(_LISTED).parquet(levels[-1]).filter("length IS NULL").select("path", "file")
+        # A row is a folder to list, so the number of tasks is stated.
+        tasks = min(counts["folders"], max(spark.sparkContext.defaultParallelism, counts["folders"] // FOLDERS))
+        folders, step = below.repartition(tasks, "path"), _list_folders
+    files = spark.read.schema(_LISTED).parquet(*levels).filter("length IS NOT NULL")
+    return Listing(files, totals["files"], totals["bytes"], longest)
 
 
 def file_checksums(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
@@ -55,7 +107,8 @@ def file_checksums(spark: SparkSession, root: str, tasks: int | None = None) ->
     MD5 runs through a file from end to end, so one file is one task's work,
     streamed in constant memory.
     """
-    files = _spread(list_files(spark, root), tasks, "path")
+    listing = take_listing(spark, root)
+    files = _spread(listing, listing.files, tasks, "path")
     return files.mapInPandas(_digest_files, f"{_LISTED}, md5 string").select("file", "length", "md5")
 
 
@@ -71,16 +124,9 @@ def file_blocks(
     with the cluster. An empty file is one empty block. ``tasks``: how many read
     side by side; by default as many as the bytes ask for.
     """
-    last = F.greatest(F.col("length") - 1, F.lit(0))
-    blocks = (
-        list_files(spark, root)
-        .withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(block_bytes).cast("bigint"))))
-        .withColumn("size", F.least(F.lit(block_bytes), F.col("length") - F.col("start")))
-    )
-    schema = f"{_LISTED}, start bigint, size bigint, md5 string"
-    return _spread(blocks, tasks, "path", "start", bytes_column="size").mapInPandas(_digest_blocks, schema).select(
-        "file", "length", "start", "md5"
-    )
+    listing = take_listing(spark, root)
+    blocks = _spread(listing, _blocks(listing.files, block_bytes), tasks, "path", "start")
+    return blocks.mapInPandas(_digest_blocks, f"{_BLOCKS}, md5 string").select("file", "length", "start", "md5")
 
 
 def verify_copy(
@@ -88,14 +134,19 @@ def verify_copy(
     source: str,
     landed: str,
     block_bytes: int = BLOCK_BYTES,
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
     """One row per file: ``match``, ``mismatch``, ``missing`` or ``extra``.
 
-    Both copies are read and digested, block by block.
+    Both copies are read and digested, block by block; with a ``manifest`` from
+    ``land_files`` only the landed one is, in the blocks of the manifest.
     """
-    left = file_blocks(spark, source, block_bytes).select(
-        "file", "start", F.col("length").alias("source_length"), F.col("md5").alias("source_md5")
-    )
+    if manifest is None:
+        given = file_blocks(spark, source, block_bytes)
+    else:
+        given = manifest
+        block_bytes = manifest.agg(F.max("block_bytes").alias("b")).first().b or block_bytes
+    left = given.select("file", "start", F.col("length").alias("source_length"), F.col("md5").alias("source_md5"))
     right = file_blocks(spark, landed, block_bytes).select(
         "file", "start", F.col("length").alias("landed_length"), F.col("md5").alias("landed_md5")
     )
@@ -121,6 +172,20 @@ def verify_copy(
     )
 
 
+def hash_trees(manifest: DataFrame) -> DataFrame:
+    """``file``, ``length``, ``blocks`` and ``root``: one digest over the digests of each file's blocks.
+
+    Equal roots, taken in blocks of one size, are equal files; where they differ, the blocks of
+    the manifest tell which part does. Only 32 characters per block come together for a file.
+    """
+    leaves = F.sort_array(F.collect_list(F.struct("start", "md5")))
+    return manifest.groupBy("file").agg(
+        F.max("length").alias("length"),
+        F.count(F.lit(1)).alias("blocks"),
+        F.md5(F.concat_ws("", F.transform(leaves, lambda leaf: leaf["md5"]))).alias("root"),
+    )
+
+
 def require_match(verified: DataFrame, allow_extra: bool = True) -> None:
     """Raise ``LandingError`` if a file is missing or differs; with counts, and some names.
 
@@ -135,17 +200,76 @@ def require_match(verified: DataFrame, allow_extra: bool = True) -> None:
         raise LandingError("; ".join(f"{row.n} {row.status}, such as {row.example}" for row in found))
 
 
-def land_files(spark: SparkSession, source: str, landed: str, tasks: int | None = None) -> None:
+def land_files(
+    spark: SparkSession,
+    source: str,
+    landed: str,
+    tasks: int | None = None,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """Copy every file below ``source``, byte for byte, to the same place below ``landed``.
 
-    Tasks copy files side by side. A file appears under its name only when
+    Returns the manifest, stored: ``file, length, start, size, md5, block_bytes``
+    of every block, digested while it was copied. Tasks copy files side by side, and
+    where the target lets several tasks write into one file, its blocks, too; other
+    targets get a file from one task. A file appears under its name only when
     complete, so a lost executor leaves no half file and its retry starts over.
-    One file is one task's work.
     """
-    files = _spread(list_files(spark, source), tasks, "path")
-    files.mapInPandas(_copier(landed), "file string, length bigint").write.format("noop").mode(
-        "overwrite"
-    ).save()
+    listing = take_listing(spark, source)
+    stored = scratch_path(spark, "manifest")
+    name = uuid.uuid4().hex
+    in_blocks = _takes_blocks(landed)
+    work = _blocks(listing.files, block_bytes) if in_blocks else _blocks(listing.files, None)
+    split = in_blocks and listing.longest > block_bytes
+    try:
+        _spread(listing, work, tasks, "path", "start").mapInPandas(
+            _copier(landed, name, block_bytes), _MANIFEST
+        ).write.parquet(stored)
+    except BaseException:
+        if split:
+            _finish(listing, landed, name, block_bytes, complete=False)
+        raise
+    if split:
+        _finish(listing, landed, name, block_bytes)
+    return spark.read.schema(_MANIFEST).parquet(stored)
+
+
+def repair_copy(spark: SparkSession, source: str, landed: str, manifest: DataFrame) -> DataFrame:
+    """Copy again what the landed side has lost or holds wrongly; returns the manifest rows of that, stored.
+
+    The landed side is read and compared with the manifest. Of a file that still has
+    its length only the blocks that differ are copied, into their place; others are
+    copied whole. A source that changed since the manifest was made raises.
+    """
+    block_bytes = manifest.agg(F.max("block_bytes").alias("b")).first().b or BLOCK_BYTES
+    have = file_blocks(spark, landed, block_bytes).select(
+        "file", "start", F.col("length").alias("landed_length"), F.col("md5").alias("landed_md5")
+    )
+    found = manifest.join(have, ["file", "start"], "left")
+    whole = found.filter(~F.col("length").eqNullSafe(F.col("landed_length"))).select("file").distinct()
+    bad = found.filter(~F.col("md5").eqNullSafe(F.col("landed_md5"))).join(
+        whole.withColumn("whole", F.lit(True)), "file", "left"
+    )
+    stored, done = scratch_path(spark, "bad-blocks"), scratch_path(spark, "repaired")
+    bad.select(*_names(_MANIFEST), F.coalesce("whole", F.lit(not _takes_blocks(landed))).alias("whole")).write.parquet(stored)
+    bad = spark.read.parquet(stored)
+    paths = F.concat(F.lit(_normal(source) + "/"), "file").alias("path")
+    expected = F.col("md5").alias("expected")
+    # Files that lost their length are written anew, under their name when complete.
+    files = bad.filter("whole").select(paths, "file", "length").distinct()
+    blocks = bad.filter("NOT whole").select(paths, "file", "length", "start", "size", expected)
+    again = _blocks(files, None).repartition(max(1, spark.sparkContext.defaultParallelism), "path")
+    copied = again.mapInPandas(_copier(landed, uuid.uuid4().hex, block_bytes), _MANIFEST)
+    patched = blocks.repartition(max(1, spark.sparkContext.defaultParallelism), "path", "start").mapInPandas(
+        _patcher(landed, block_bytes), _MANIFEST
+    )
+    copied.unionByName(patched).write.parquet(done)
+    repaired = spark.read.schema(_MANIFEST).parquet(done)
+    changed = repaired.join(manifest, ["file", "start"]).filter(repaired["md5"] != manifest["md5"])
+    example = changed.select("file").first()
+    if example is not None:
+        raise LandingError(f"the source is no longer that of the manifest, such as {example.file}")
+    return repaired
 
 
 def _normal(root: str) -> str:
@@ -157,17 +281,42 @@ def _normal(root: str) -> str:
     return start + posixpath.normpath("/" + root[len(start) :].lstrip("/"))
 
 
-def _spread(work: DataFrame, tasks: int | None, *keys: str, bytes_column: str = "length") -> DataFrame:
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
+
+def _blocks(files: DataFrame, block_bytes: int | None) -> DataFrame:
+    """A row per block of each file, with ``start`` and ``size``; the whole file as one without ``block_bytes``."""
+    if block_bytes is None:
+        return files.select("path", "file", "length", F.lit(0).cast("bigint").alias("start"), F.col("length").alias("size"))
+    last = F.greatest(F.col("length") - 1, F.lit(0))
+    starts = F.sequence(F.lit(0).cast("bigint"), last, F.lit(block_bytes).cast("bigint"))
+    return files.withColumn("start", F.explode(starts)).withColumn(
+        "size", F.least(F.lit(block_bytes).cast("bigint"), F.col("length") - F.col("start"))
+    )
+
+
+def _spread(listing: Listing, work: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
     """Rows of a few bytes that stand for much reading, dealt over enough tasks.
 
     The number is stated, as adaptive execution would merge such rows into one.
     """
     if tasks is None:
-        total = work.agg(F.sum(bytes_column)).first()[0] or 0
-        tasks = max(work.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+        tasks = max(work.sparkSession.sparkContext.defaultParallelism, -(-listing.bytes // TASK_BYTES))
+        if listing.longest <= BLOCK_BYTES:
+            tasks = max(1, min(tasks, listing.count))
     return work.repartition(tasks, *keys)
 
 
+def _finish(listing: Listing, landed: str, name: str, block_bytes: int, complete: bool = True) -> None:
+    """Give files that were written in blocks their names, or remove what there is of them."""
+    files = listing.files.filter(F.col("length") > block_bytes)
+    tasks = max(1, min(listing.count, files.sparkSession.sparkContext.defaultParallelism))
+    files.repartition(tasks, "path").mapInPandas(_namer(landed, name, complete), "file string").write.format(
+        "noop"
+    ).mode("overwrite").save()
+
+
 def _children(uri: str, name: str) -> list[tuple[str, str, int | None]]:
     """URI, relative name and length of what lies in a folder; folders have no length."""
     from pyarrow import fs
@@ -189,7 +338,7 @@ def _listed(rows: list[tuple[str, str, int | None]]) -> pd.DataFrame:
     return frame.astype({"path": object, "file": object, "length": "Int64"})
 
 
-def _list_once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _list_root(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
     for batch in batches:
@@ -204,14 +353,11 @@ def _list_once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield _listed([(uri, root.base_name, root.size)])
 
 
-def _list_below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """All files below the folders, a folder at a time."""
+def _list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What lies in the folders, a folder at a time; not what lies below."""
     for batch in batches:
-        folders = list(zip(batch["path"], batch["file"]))
-        while folders:
-            found = _children(*folders.pop())
-            folders += [(uri, name) for uri, name, length in found if length is None]
-            yield _listed([row for row in found if row[2] is not None])
+        for uri, name in zip(batch["path"], batch["file"]):
+            yield _listed(_children(uri, name))
 
 
 def _filesystem(uri: str):
@@ -249,28 +395,129 @@ def _digest_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(md5=digests)
 
 
-def _copier(landed: str):
+def _takes_blocks(root: str) -> bool:
+    """Whether several tasks can write into one file below ``root``: a local or mounted folder."""
+    return bool(re.match(r"^(file:|/)", root))
+
+
+def _copier(landed: str, name: str = "", block_bytes: int = BLOCK_BYTES):
+    """Copies the blocks it is given, a whole file or a part of one; a row per block of ``block_bytes``."""
+
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for uri, name in zip(batch["path"], batch["file"]):
-                _copy_file(uri, f"{_normal(landed)}/{name}")
-            yield batch[["file", "length"]]
+            for uri, file, length, start, size in zip(*[batch[c] for c in _names(_BLOCKS)]):
+                target = f"{_normal(landed)}/{file}"
+                if size == length:
+                    digests = _copy_file(uri, target, block_bytes)
+                else:
+                    digests = [_write_at(uri, _hidden(target, name), start, size)]
+                yield _manifest_rows(file, length, start, size, digests, block_bytes)
 
     return copy
 
 
-def _copy_file(source: str, target: str) -> None:
+def _patcher(landed: str, block_bytes: int):
+    """Writes single blocks into files that are there already."""
+
+    def patch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for uri, file, length, start, size in zip(*[batch[c] for c in _names(_BLOCKS)]):
+                digest = _write_at(uri, f"{_normal(landed)}/{file}", start, size)
+                yield _manifest_rows(file, length, start, size, [digest], block_bytes)
+
+    return patch
+
+
+def _namer(landed: str, name: str, complete: bool):
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, length in zip(batch["file"], batch["length"]):
+                target = f"{_normal(landed)}/{file}"
+                filesystem, hidden = _filesystem(_hidden(target, name))
+                _, path = _filesystem(target)
+                info = filesystem.get_file_info(hidden)
+                if not complete:
+                    if info.is_file:
+                        filesystem.delete_file(hidden)
+                elif info.is_file:
+                    if info.size != length:
+                        raise OSError(f"{target} came out with {info.size} bytes instead of {length}")
+                    filesystem.move(hidden, path)
+                elif filesystem.get_file_info(path).size != length:  # else an earlier attempt has named it
+                    raise OSError(f"{target} is not there")
+            yield batch[["file"]]
+
+    return finish
+
+
+def _manifest_rows(
+    file: str, length: int, start: int, size: int, digests: list[str], block_bytes: int
+) -> pd.DataFrame:
+    starts = list(range(start, start + max(size, 1), block_bytes))
+    return pd.DataFrame(
+        {
+            "file": file,
+            "length": length,
+            "start": starts,
+            "size": [min(block_bytes, start + size - at) for at in starts],
+            "md5": digests,
+            "block_bytes": block_bytes,
+        }
+    )
+
+
+def _hidden(target: str, name: str) -> str:
+    """Where a file is written until it is complete."""
+    folder, base = posixpath.split(target)
+    return f"{folder}/.{base}.{name or uuid.uuid4().hex}"
+
+
+def _write_at(source: str, target: str, start: int, size: int) -> str:
+    """Copy a block to its place in ``target``, which other tasks may be writing to; its MD5."""
+    import os
+
     reading, from_path = _filesystem(source)
     writing, to_path = _filesystem(target)
-    folder, name = posixpath.split(to_path)
-    part = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    writing.create_dir(folder, recursive=True)
+    writing.create_dir(posixpath.dirname(to_path), recursive=True)
+    digest = hashlib.md5()
+    out = os.open(to_path, os.O_CREAT | os.O_WRONLY, 0o644)
+    try:
+        with reading.open_input_file(from_path) as stream:
+            stream.seek(start)
+            at, end = start, start + size
+            while at < end:
+                piece = memoryview(stream.read(min(_READ_BYTES, end - at)))
+                if not piece:
+                    raise OSError(f"{source} is shorter than listed")
+                digest.update(piece)
+                while piece:
+                    written = os.pwrite(out, piece, at)
+                    at, piece = at + written, piece[written:]
+    finally:
+        os.close(out)
+    return digest.hexdigest()
+
+
+def _copy_file(source: str, target: str, block_bytes: int = BLOCK_BYTES) -> list[str]:
+    """Copy a whole file; the MD5 of each of its blocks."""
+    reading, from_path = _filesystem(source)
+    hidden = _hidden(target, "")
+    writing, part = _filesystem(hidden)
+    _, to_path = _filesystem(target)
+    writing.create_dir(posixpath.dirname(to_path), recursive=True)
+    digests, digest, held = [], hashlib.md5(), 0
     try:
         with reading.open_input_file(from_path) as stream, writing.open_output_stream(part) as out:
-            while piece := stream.read(_READ_BYTES):
+            while piece := stream.read(min(_READ_BYTES, block_bytes - held)):
                 out.write(piece)
+                digest.update(piece)
+                held += len(piece)
+                if held == block_bytes:
+                    digests.append(digest.hexdigest())
+                    digest, held = hashlib.md5(), 0
         writing.move(part, to_path)
     except BaseException:
         if writing.get_file_info(part).is_file:
             writing.delete_file(part)
         raise
+    return digests + [digest.hexdigest()] if held or not digests else digests
