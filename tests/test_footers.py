@@ -1,0 +1,127 @@
+"""Footers as a table, the least type of several, contracts and tables over files that differ."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tripflow.plans import BatchConfig, build_silver, run_pipeline
+from tripflow.schemas import RAW_TRIPS
+from tripflow.sources import read_contract, read_footers, read_table, read_zone, register_zone
+from tripflow.sources.footers import least_type, merged_schema
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize(
+    ("types", "expected"),
+    [
+        (["int"], "int"),
+        (["int", "bigint"], "bigint"),
+        (["tinyint", "int", "smallint"], "int"),
+        (["int", "float"], "double"),
+        (["smallint", "int", "float", "double"], "double"),
+        (["bigint", "double"], None),
+        (["date", "timestamp_ntz"], "timestamp_ntz"),
+        (["timestamp", "timestamp_ntz"], None),
+        (["int", "string"], None),
+        (["decimal(10,2)", "decimal(8,4)"], "decimal(12,4)"),
+        (["decimal(38,0)", "decimal(38,10)"], None),
+        (["array<int>", "array<bigint>"], None),
+    ],
+)
+def test_least_type(spark, types, expected):
+    assert least_type(types) == expected
+    assert least_type(reversed(types)) == expected
+
+
+@pytest.mark.parametrize(
+    ("one", "other"),
+    [
+        ("CAST(1 AS TINYINT)", "70000"),
+        ("CAST(1 AS TINYINT)", "5000000000L"),
+        ("1", "2.5D"),
+        ("CAST(1.5 AS FLOAT)", "2.25D"),
+        ("DATE'2021-03-01'", "TIMESTAMP_NTZ'2021-03-02 01:02:03.000004'"),
+        ("CAST(1.25 AS DECIMAL(10,2))", "CAST(1.2345 AS DECIMAL(8,4))"),
+    ],
+)
+def test_a_scan_reads_every_file_as_the_least_type(spark, tmp_path, one, other):
+    path = str(tmp_path / "zone")
+    for i, value in enumerate((one, other)):
+        spark.sql(f"SELECT {i} AS id, {value} AS v").write.mode("append").parquet(path)
+    schema = merged_schema(read_footers(spark, path))
+    wide = schema["v"].dataType.simpleString()
+    expected = rows_of(spark.sql(f"SELECT 0 AS id, CAST({one} AS {wide}) AS v UNION ALL SELECT 1, CAST({other} AS {wide})"))
+    assert rows_of(read_zone(spark, path, schema=schema)) == expected
+    name = register_zone(spark, path, "wide_db", f"t{abs(hash((one, other)))}")
+    assert rows_of(read_table(spark, name)) == expected
+
+
+def test_footers(spark, tmp_path):
+    path = tmp_path / "zone"
+    (path / "deep").mkdir(parents=True)
+    times = pa.array([datetime(2021, 3, 2), None, datetime(2021, 3, 1, 5)], pa.timestamp("us"))
+    pq.write_table(pa.table({"t": times, "n": pa.array([1, None, None], pa.int16())}), path / "a.parquet", row_group_size=2)
+    pq.write_table(pa.table({"n": pa.array([], pa.int64())}), path / "deep" / "none.parquet")
+    pq.write_table(pa.table({"s": ["x", None], "l": [[1], None]}), path / "b.parquet", write_statistics=False)
+    pq.write_table(pa.table({"q": [1]}), path / "_hidden.parquet")
+    found = rows_of(read_footers(spark, str(path)).select("file", "rows", "place", "column", "type", "non_null_rows", "low", "high"))
+    assert found == [
+        ("a.parquet", 3, 0, "t", "timestamp_ntz", 2, "2021-03-01 05:00:00", "2021-03-02 00:00:00"),
+        ("a.parquet", 3, 1, "n", "smallint", 1, None, None),
+        ("b.parquet", 2, 0, "s", "string", 1, None, None),
+        ("b.parquet", 2, 1, "l", "array<bigint>", 1, None, None),
+        ("deep/none.parquet", 0, 0, "n", "bigint", 0, None, None),
+    ]
+
+
+def test_types_that_do_not_merge_are_named(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    spark.sql("SELECT 1 AS a").write.parquet(path)
+    spark.sql("SELECT 'x' AS A").write.mode("append").parquet(path)
+    with pytest.raises(ValueError, match="A is int and string"):
+        register_zone(spark, path, "wide_db", "clash")
+    with pytest.raises(ValueError, match="a is int and string"):
+        read_contract(spark, path, T.StructType([T.StructField("a", T.LongType())]))
+
+
+def test_no_files_make_no_table(spark, tmp_path):
+    (tmp_path / "zone").mkdir()
+    with pytest.raises(ValueError, match="no Parquet file"):
+        register_zone(spark, str(tmp_path / "zone"), "wide_db", "none")
+
+
+def trips(spark, day, zone=5):
+    return spark.createDataFrame([(datetime(2021, 3, day, 10), datetime(2021, 3, day, 11), 2.0, zone)], RAW_TRIPS)
+
+
+@pytest.mark.parametrize("lacking_first", [True, False])
+def test_a_column_that_one_file_lacks_raises_in_any_order(spark, tmp_path, lacking_first):
+    path = str(tmp_path / "zone")
+    parts = [trips(spark, 1).drop("trip_distance"), trips(spark, 2)]
+    for part in parts if lacking_first else reversed(parts):
+        part.coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(ValueError, match=r"1 file\(s\) lack trip_distance, such as part"):
+        read_contract(spark, path, RAW_TRIPS)
+
+
+def test_the_batch_registers_files_of_mixed_widths(spark, tmp_path):
+    source = str(tmp_path / "source")
+    narrow = trips(spark, 3, 7).withColumn("PULocationID", F.col("PULocationID").cast("int"))
+    trips(spark, 1).write.parquet(source)
+    narrow.withColumn("trip_distance", F.col("trip_distance").cast("float")).write.mode("append").parquet(source)
+    folders = {name: str(tmp_path / name) for name in ("bronze", "silver", "gold")}
+    run_pipeline(spark, BatchConfig(source=source, database="mixed_db", **folders))
+    both = trips(spark, 1).unionAll(trips(spark, 3, 7))
+    assert rows_of(read_table(spark, "mixed_db.bronze")) == rows_of(both)
+    assert dict(read_table(spark, "mixed_db.bronze").dtypes)["PULocationID"] == "bigint"
+    assert rows_of(read_table(spark, "mixed_db.silver")) == rows_of(build_silver(both))
+    assert rows_of(read_table(spark, "mixed_db.gold")) == rows_of(build_silver(both))

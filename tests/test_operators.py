@@ -232,9 +232,35 @@ def test_drift(spark, tmp_path):
     assert [r.rows for r in lacking.collect()] == [2]
 
 
-def test_types_that_cannot_be_merged_are_reported(spark, tmp_path):
+def test_types_that_cannot_be_merged_are_rows(spark, tmp_path):
     path = str(tmp_path / "zone")
-    spark.sql("SELECT 1 AS a").write.parquet(path)
-    spark.sql("SELECT 'x' AS a").write.mode("append").parquet(path)
-    with pytest.raises(Exception, match="(?s)INT.*STRING|STRING.*INT"):
-        schema_drift(spark, path, T.StructType([T.StructField("a", T.IntegerType())]))
+    spark.sql("SELECT 1 AS a, 1 AS b").coalesce(1).write.parquet(path)
+    spark.sql("SELECT 'x' AS a, 2L AS b").coalesce(1).write.mode("append").parquet(path)
+    contract = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.LongType())])
+    assert rows_of(schema_drift(spark, path, contract)) == [
+        ("a", "int", "int | string", "clash", 2, 0, 2, 2),
+        ("b", "bigint", "bigint", "same", 2, 0, 2, 2),
+    ]
+
+
+def test_drift_of_a_dataset_without_rows(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    spark.sql("SELECT 1 AS a, 'x' AS b").filter("a > 1").coalesce(1).write.parquet(path)
+    contract = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("gone", T.DateType())])
+    files = len(list((tmp_path / "zone").glob("*.parquet")))
+    assert rows_of(schema_drift(spark, path, contract)) == [
+        ("a", "int", "int", "same", files, files, 0, 0),
+        ("b", None, "string", "added", files, files, 0, 0),
+        ("gone", "date", None, "removed", files, files, 0, 0),
+    ]
+
+
+def test_drift_of_folder_columns(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    rows = spark.sql("SELECT 1 AS a, 7 AS d UNION ALL SELECT 2, NULL")
+    rows.coalesce(1).write.partitionBy("d").parquet(path)
+    contract = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("d", T.IntegerType())])
+    assert rows_of(schema_drift(spark, path, contract)) == [
+        ("a", "int", "int", "same", 2, 0, 2, 2),
+        ("d", "int", "int", "same", 2, 1, 2, 1),
+    ]

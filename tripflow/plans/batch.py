@@ -10,8 +10,9 @@ from pyspark.sql import SparkSession
 from tripflow.plans.zones import build_gold, build_silver, load_serving
 from tripflow.schemas import RAW_TRIPS, REPORT_MONTH, REPORT_YEAR, SILVER_TRIPS, ZONE_SWAP
 from tripflow.sources.catalog import register_zone
+from tripflow.sources.footers import merged_schema, read_footers
 from tripflow.sources.landing import land_files, require_match, verify_copy
-from tripflow.sources.zones import read_contract, require_distinct, write_partitioned, write_zone
+from tripflow.sources.zones import read_contract, read_zone, require_distinct, write_partitioned, write_zone
 
 
 @dataclass(frozen=True)
@@ -56,19 +57,21 @@ def run_pipeline(spark: SparkSession, config: BatchConfig) -> None:
         manifest = land_files(spark, config.source, config.bronze)
         require_match(verify_copy(spark, config.source, config.bronze, manifest=manifest))
 
-    silver = build_silver(read_contract(spark, config.bronze, RAW_TRIPS))
+    footers = read_footers(spark, config.bronze)
+    silver = build_silver(read_contract(spark, config.bronze, RAW_TRIPS, footers))
     if config.silver_by_day:
         write_partitioned(silver, config.silver, replace_all=True)
     else:
         write_zone(silver, config.silver)
 
-    stored = read_contract(spark, config.silver, SILVER_TRIPS)
+    stored = read_zone(spark, config.silver, schema=SILVER_TRIPS)
     gold = build_gold(stored, config.year, config.month, config.mapping)
     write_zone(gold, config.gold)
 
     if config.database is not None:
-        for name in ("bronze", "silver", "gold"):
-            register_zone(spark, getattr(config, name), config.database, name, config.table_prefix)
+        # What this batch has written needs no look at its footers.
+        for name, schema in (("bronze", merged_schema(footers)), ("silver", SILVER_TRIPS), ("gold", stored.schema)):
+            register_zone(spark, getattr(config, name), config.database, name, config.table_prefix, schema)
 
     if config.jdbc_url is not None:
         load_serving(

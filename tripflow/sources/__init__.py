@@ -1,6 +1,7 @@
 """Scans, sinks, the catalog, JDBC and the landing zone."""
 
 from tripflow.sources.catalog import read_table, register_zone
+from tripflow.sources.footers import merged_schema, read_footers
 from tripflow.sources.jdbc import load_jdbc, read_jdbc, time_slices
 from tripflow.sources.landing import (
     LandingError,
@@ -30,7 +31,9 @@ __all__ = [
     "land_files",
     "list_files",
     "load_jdbc",
+    "merged_schema",
     "read_contract",
+    "read_footers",
     "read_jdbc",
     "read_partitioned",
     "read_table",

@@ -5,7 +5,9 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from tripflow.sources.footers import folder_columns, merged_schema, read_footers
 from tripflow.sources.zones import same_spelling
 
 log = logging.getLogger(__name__)
@@ -22,24 +24,33 @@ def register_zone(
     database: str,
     table: str,
     prefix: str = "",
+    schema: T.StructType | None = None,
 ) -> str:
     """Make the Parquet dataset at ``path`` an external table; return its name.
 
-    The schema is merged from all files. On a later call new columns and changed
+    The schema is merged from the footers of all files, each column in the least
+    type that holds every file's values: files with ``int`` and with ``bigint``
+    make a table of ``bigint``. Types that do not merge raise, naming them. A given
+    ``schema``, known to fit every file, saves reading footers. On a later call new columns and changed
     types are applied; columns that no file has any more stay in the table and
     are only logged. Rows are never moved: the table points at ``path``, also
     when it pointed elsewhere before.
     """
     name = f"`{database}`.`{prefix}{table}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    folders = folder_columns(spark, path)
+    merged = merged_schema(read_footers(spark, path)) if schema is None else schema
+    if not merged.fields:
+        raise ValueError(f"no Parquet file with columns below {path}")
+    taken = {f.name.lower() for f in folders.fields}
+    merged = T.StructType([f for f in merged.fields if f.name.lower() not in taken] + folders.fields)
     if not spark.catalog.tableExists(name):
-        _create(spark, name, path)
+        _create(spark, name, path, merged, folders)
         return name
     known = spark.catalog.getTable(name)
     if known.tableType != "EXTERNAL":
         raise ValueError(f"{name} exists and is not an external table")
     before = {f.name.lower(): f for f in spark.table(name).schema.fields}
-    merged = spark.read.option("mergeSchema", "true").parquet(path).schema
     after = {f.name.lower(): f for f in merged.fields}
     gone = [f.name for key, f in before.items() if key not in after]
     added = [f for key, f in after.items() if key not in before]
@@ -50,20 +61,29 @@ def register_zone(
     if changed or moved:
         log.info("%s: at %s, new type for %s", name, path, ", ".join(changed) or "no column")
         spark.sql(f"DROP TABLE {name}")
-        _create(spark, name, path)
+        _create(spark, name, path, merged, folders)
         added = [before[column.lower()] for column in gone]
     if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
     _refresh(spark, name)
     return name
 
 
-def _create(spark: SparkSession, name: str, path: str) -> None:
-    spark.catalog.createTable(name, path=path, source="parquet", mergeSchema="true")
+def _create(spark: SparkSession, name: str, path: str, schema: T.StructType, folders: T.StructType) -> None:
+    columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    by = ", ".join(_quoted(f.name) for f in folders.fields)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet {f'PARTITIONED BY ({by})' if by else ''} LOCATION '{place}'"
+    )
     _refresh(spark, name)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _location(spark: SparkSession, name: str) -> str:
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     return details.filter("col_name = 'Location'").first().data_type

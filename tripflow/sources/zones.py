@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.schemas import PICKUP
+from tripflow.sources.footers import column_types, least_type, read_footers
 
 DAY = "pickup_date"
 MONTH = "pickup_month"
@@ -23,8 +24,6 @@ _FOLDERS = {
 # sizes by default, and a hot folder would no longer stand out to be split.
 SHUFFLE_PARTS = 2000
 
-_FLOATS = (T.FloatType, T.DoubleType)
-
 
 def read_zone(
     spark: SparkSession,
@@ -44,24 +43,42 @@ def read_zone(
     return reader.parquet(path)
 
 
-def read_contract(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    """Scan the columns of ``contract``; integers and floats are read as wide as it says.
+def read_contract(
+    spark: SparkSession, path: str, contract: T.StructType, footers: DataFrame | None = None
+) -> DataFrame:
+    """Scan the columns of ``contract``, judged by the footers of all files; integers and floats as wide as it says.
 
     So files that store a zone as ``int`` and others as ``bigint`` read as one
-    dataset. A column that the dataset lacks raises instead of reading as NULL;
-    other types stay as stored.
+    dataset. A column that any file lacks raises instead of reading as NULL, and so
+    do types that no type holds together; other types stay as stored. ``footers``:
+    those of ``read_footers``, if they are at hand.
     """
-    found = {f.name.lower(): f.dataType for f in read_zone(spark, path).schema.fields}
-    missing = [f.name for f in contract.fields if f.name.lower() not in found]
+    footers = read_footers(spark, path) if footers is None else footers
+    wanted = {f.name.lower(): f for f in contract.fields}
+    held = F.collect_set(F.lower("column")).alias("held")
+    names = F.array(*[F.lit(key) for key in wanted])
+    lacking = (
+        footers.groupBy("file").agg(held).select("file", F.explode(F.array_except(names, "held")).alias("key"))
+    )
+    # One row per column of the contract at most.
+    missing = lacking.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file")).orderBy("key").collect()
     if missing:
-        raise ValueError(f"{path} lacks {', '.join(missing)}")
-    fields = []
-    for f in contract.fields:
-        stored = found[f.name.lower()]
-        widens = any(
-            isinstance(stored, kind) and isinstance(f.dataType, kind) for kind in (T.IntegralType, _FLOATS)
-        )
-        fields.append(T.StructField(f.name, f.dataType if widens else stored))
+        said = [f"{r.n} file(s) lack {wanted[r.key].name}, such as {r.file}" for r in missing]
+        raise ValueError(f"{path}: {'; '.join(said)}")
+    found = {r.key: r.types for r in column_types(footers).filter(F.col("key").isin(list(wanted))).collect()}
+    if not found:
+        raise ValueError(f"{path} lacks {', '.join(contract.names)}: there is no file")
+    fields, clashes = [], []
+    for key, f in wanted.items():
+        stored, type_of = least_type(found[key]), f.dataType.simpleString()
+        if least_type([*found[key], type_of]) == type_of:
+            stored = type_of
+        if stored is None:
+            clashes.append(f"{f.name} is {' and '.join(found[key])}")
+        else:
+            fields.append(T.StructField(f.name, T.DataType.fromDDL(stored)))
+    if clashes:
+        raise ValueError(f"{path}: files hold types that do not merge: {'; '.join(clashes)}")
     return read_zone(spark, path, schema=T.StructType(fields))
 
 
