@@ -1,0 +1,187 @@
+"""Incremental loads into the serving table: each row once, whatever fails."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+from unittest.mock import MagicMock
+
+import pytest
+
+from tripflow.plans import conform_serving
+from tripflow.schemas import GOLD_TRIPS, PICKUP
+from tripflow.sources import write_partitioned
+from tripflow.streaming import FolderSink, JdbcSink, load_new_rows
+from tripflow.streaming.serving import _spans
+
+
+def trips(spark, days, distance=1.0):
+    rows = [(datetime(2021, 3, d, 10), datetime(2021, 3, d, 11), distance, d, 1.0) for d in days]
+    return spark.createDataFrame(rows, GOLD_TRIPS)
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+class Recorder:
+    """A database in memory: a table, a ledger and stagings; fails where it is told to."""
+
+    def __init__(self):
+        self.rows, self.ledger, self.staged, self.fail, self.calls = [], set(), {}, None, []
+
+    def _maybe(self, where):
+        self.calls.append(where)
+        if self.fail == where:
+            self.fail = None
+            raise RuntimeError(f"lost {where}")
+
+    def is_loaded(self, batch):
+        return batch in self.ledger
+
+    def stage(self, rows, batch):
+        found = rows_of(rows)
+        self.staged[batch] = found[: len(found) // 2]
+        self._maybe("half staged")
+        self.staged[batch] = found
+        self._maybe("staged")
+
+    def publish(self, batch, days):
+        assert batch not in self.ledger
+        kept = [r for r in self.rows if r[0].date() not in days]
+        self._maybe("before commit")
+        self.rows, self.ledger = kept + self.staged[batch], self.ledger | {batch}
+        self._maybe("after commit")
+
+
+@pytest.mark.parametrize("fail", [None, "half staged", "staged", "before commit", "after commit"])
+def test_each_row_is_loaded_once(spark, tmp_path, fail):
+    gold, checkpoint, sink = str(tmp_path / "gold"), str(tmp_path / "checkpoint"), Recorder()
+    everything = []
+    for number, days in enumerate(([1, 2], [3, 4, 5], [], [6])):
+        if days:
+            trips(spark, days).write.mode("append").parquet(gold)
+            everything += days
+        if number == 1 and fail:
+            sink.fail = fail
+            with pytest.raises(Exception, match=f"lost {fail}"):
+                load_new_rows(spark, gold, checkpoint, sink)
+        load_new_rows(spark, gold, checkpoint, sink)
+        assert sorted(sink.rows) == rows_of(conform_serving(trips(spark, everything)))
+
+
+def test_a_backlog_is_cut_into_batches(spark, tmp_path):
+    gold, sink = str(tmp_path / "gold"), Recorder()
+    trips(spark, range(1, 9)).repartition(8).write.parquet(gold)
+    load_new_rows(spark, gold, str(tmp_path / "checkpoint"), sink, max_bytes_per_batch=2000)
+    assert len(sink.ledger) > 1
+    assert sorted(sink.rows) == rows_of(conform_serving(trips(spark, range(1, 9))))
+
+
+@pytest.mark.parametrize("fail", [None, "staged", "after commit"])
+def test_a_day_written_anew_replaces_itself(spark, tmp_path, fail):
+    gold, checkpoint, sink = str(tmp_path / "gold"), str(tmp_path / "checkpoint"), Recorder()
+    write_partitioned(trips(spark, [1, 2, 3]), gold)
+    load_new_rows(spark, gold, checkpoint, sink, replace_days=True)
+    write_partitioned(trips(spark, [2], distance=9.0).unionAll(trips(spark, [4])), gold)
+    if fail:
+        sink.fail = fail
+        with pytest.raises(Exception, match="lost"):
+            load_new_rows(spark, gold, checkpoint, sink, replace_days=True)
+        # the day changes once more before the batch is repeated
+        write_partitioned(trips(spark, [2], distance=9.0), gold)
+    load_new_rows(spark, gold, checkpoint, sink, replace_days=True)
+    expected = trips(spark, [1, 3, 4]).unionAll(trips(spark, [2], distance=9.0))
+    assert sorted(sink.rows) == rows_of(conform_serving(expected))
+
+
+def test_folder_sink(spark, tmp_path):
+    gold, checkpoint = str(tmp_path / "gold"), str(tmp_path / "checkpoint")
+    sink = FolderSink(spark, str(tmp_path / "serving"))
+    for days in ([1, 2], [3]):
+        trips(spark, days).write.mode("append").parquet(gold)
+        load_new_rows(spark, gold, checkpoint, sink)
+    assert len(sink.batches()) == 2
+    batch = sink.batches()[0]
+    assert sink.is_loaded(batch) and not sink.is_loaded("other")
+    sink.stage(conform_serving(trips(spark, [9])), batch)
+    with pytest.raises(OSError, match="could not move"):
+        sink.publish(batch, [])
+    assert rows_of(sink.read()) == rows_of(conform_serving(trips(spark, [1, 2, 3])))
+
+
+def test_days_cannot_be_divided(spark, tmp_path):
+    with pytest.raises(ValueError, match="as a whole"):
+        load_new_rows(
+            spark, str(tmp_path / "g"), str(tmp_path / "c"), Recorder(), replace_days=True, max_bytes_per_batch=1
+        )
+
+
+# --- the statements for a database; none is started here
+
+
+class Statements:
+    def __init__(self, fail=""):
+        self.said, self.fail = [], fail
+
+    def prepareStatement(self, sql):
+        own = MagicMock()
+        own.setString.side_effect = lambda i, value: self.said.append((sql, value))
+        own.executeQuery().next.return_value = True
+        return own
+
+    def createStatement(self):
+        return self
+
+    def executeUpdate(self, sql):
+        self.said.append(sql)
+        if self.fail and self.fail in sql:
+            raise RuntimeError("lost connection")
+
+    def __getattr__(self, name):
+        if name in ("commit", "rollback", "close"):
+            return lambda: self.said.append(name)
+        if name == "setAutoCommit":
+            return lambda on: self.said.append(f"auto {on}")
+        raise AttributeError(name)
+
+
+def test_publishing_is_one_transaction():
+    connection = Statements()
+    sink = JdbcSink(MagicMock(), "jdbc:x:y", "trips", connect=lambda: connection)
+    sink.publish("s-7", [date(2021, 3, 2), date(2021, 3, 1), date(2021, 3, 5)])
+    said = connection.said
+    staging = sink._staging("s-7")
+    assert said[0] == "auto False"
+    assert said[1] == ("INSERT INTO trips_loads (batch) VALUES (?)", "s-7")
+    assert said[2] == (
+        f"DELETE FROM trips WHERE \"{PICKUP}\" >= TIMESTAMP '2021-03-01 00:00:00' "
+        f"AND \"{PICKUP}\" < TIMESTAMP '2021-03-03 00:00:00'"
+    )
+    assert "2021-03-05" in said[3] and "2021-03-06" in said[3]
+    assert said[4].startswith("INSERT INTO trips (") and said[4].endswith(f"FROM {staging}")
+    assert said[5:] == ["commit", "auto True", f"DROP TABLE {staging}", "close"]
+
+
+def test_a_failed_publication_is_rolled_back():
+    connection = Statements(fail="INSERT INTO trips (")
+    sink = JdbcSink(MagicMock(), "jdbc:x:y", "trips", connect=lambda: connection)
+    with pytest.raises(RuntimeError):
+        sink.publish("s-7", [])
+    assert connection.said[-2:] == ["rollback", "close"]
+    assert "commit" not in connection.said
+    assert sink.is_loaded("s-7")
+
+
+def test_staging_replaces_what_an_attempt_left(monkeypatch):
+    seen = []
+    monkeypatch.setattr("tripflow.streaming.serving.load_jdbc", lambda *a: seen.append(a[1:4]))
+    sink = JdbcSink(MagicMock(), "jdbc:x:y", "trips", connect=MagicMock())
+    for _ in range(2):
+        sink.stage(MagicMock(), "s-7")
+    assert seen == [("jdbc:x:y", sink._staging("s-7"), "overwrite")] * 2
+    assert sink._staging("s-7") != sink._staging("s-8")
+
+
+def test_spans():
+    assert _spans([]) == []
+    assert _spans([date(2021, 2, 28), date(2021, 3, 1)]) == [(date(2021, 2, 28), date(2021, 3, 2))]

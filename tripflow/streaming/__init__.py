@@ -1,5 +1,6 @@
-"""Incremental ingest with Structured Streaming."""
+"""Incremental ingest and incremental loads with Structured Streaming."""
 
 from tripflow.streaming.ingest import ingest_new_files
+from tripflow.streaming.serving import FolderSink, JdbcSink, ServingSink, load_new_rows
 
-__all__ = ["ingest_new_files"]
+__all__ = ["FolderSink", "JdbcSink", "ServingSink", "ingest_new_files", "load_new_rows"]
