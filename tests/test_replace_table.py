@@ -1,0 +1,66 @@
+"""Overwriting by name: a table switches from one folder to the next."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripflow.sources import replace_table
+
+
+def numbers(spark, table):
+    return sorted(r.id for r in spark.table(table).collect())
+
+
+def test_replacing_may_read_the_table_itself(spark, tmp_path):
+    root = str(tmp_path / "t")
+    name = replace_table(spark, spark.range(3), root, "switch_db", "one")
+    assert numbers(spark, name) == [0, 1, 2]
+    for step in (10, 100):
+        replace_table(spark, spark.table(name).select((F.col("id") + step).alias("id")), root, "switch_db", "one")
+    assert numbers(spark, name) == [110, 111, 112]
+    # the folder in use and the one before it
+    assert sorted(os.listdir(root)) == ["version=000000002", "version=000000003"]
+
+
+def test_a_write_that_dies_leaves_the_old_rows(spark, tmp_path):
+    root = str(tmp_path / "t")
+    name = replace_table(spark, spark.range(3), root, "switch_db", "two")
+    dying = spark.range(1000, numPartitions=4).select(
+        F.when(F.col("id") < 900, F.col("id")).otherwise(F.raise_error(F.lit("lost half way"))).cast("bigint").alias("id")
+    )
+    with pytest.raises(Exception, match="lost half way"):
+        replace_table(spark, dying, root, "switch_db", "two")
+    assert numbers(spark, name) == [0, 1, 2]
+    replace_table(spark, spark.range(5), root, "switch_db", "two")
+    assert numbers(spark, name) == [0, 1, 2, 3, 4]
+    assert sorted(os.listdir(root)) == ["version=000000001", "version=000000003"]
+
+
+def test_a_dying_switch_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    name = replace_table(spark, spark.range(3), root, "switch_db", "three")
+    plain = spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda s, q, *a, **k: 1 / 0 if q.startswith("ALTER") else plain(q, *a, **k))
+    with pytest.raises(ZeroDivisionError):
+        replace_table(spark, spark.range(9), root, "switch_db", "three")
+    monkeypatch.undo()
+    assert numbers(spark, name) == [0, 1, 2]
+
+
+def test_columns_may_change(spark, tmp_path):
+    root = str(tmp_path / "it's")
+    replace_table(spark, spark.range(2), root, "switch_db", "four")
+    name = replace_table(spark, spark.sql("SELECT 7L AS id, 'x' AS `odd ``name`"), root, "switch_db", "four")
+    assert [tuple(r) for r in spark.table(name).collect()] == [(7, "x")]
+
+
+def test_tables_elsewhere_are_left_alone(spark, tmp_path):
+    replace_table(spark, spark.range(2), str(tmp_path / "a"), "switch_db", "five")
+    with pytest.raises(ValueError, match="not below"):
+        replace_table(spark, spark.range(2), str(tmp_path / "b"), "switch_db", "five")
+    spark.range(1).write.mode("overwrite").saveAsTable("switch_db.managed")
+    with pytest.raises(ValueError, match="not an external"):
+        replace_table(spark, spark.range(2), str(tmp_path / "c"), "switch_db", "managed")

@@ -136,12 +136,17 @@ def rejected(df: DataFrame, year: int | None = None, month: int | None = None) -
     """
     if (year is None) != (month is None):
         raise ValueError("give year and month together, or neither")
-    duration = F.col(DURATION)
-    reason = F.when(duration.isNull(), "null_duration").when(duration < 0, "negative_duration")
-    if year is not None:
-        reason = reason.when(~within_month(F.col(PICKUP), year, month), "outside_month")
     return (
         with_trip_duration(project_trips(df))
-        .withColumn("reject_reason", reason)
+        .withColumn("reject_reason", reject_reason(year, month))
         .filter(F.col("reject_reason").isNotNull())
     )
+
+
+def reject_reason(year: int | None = None, month: int | None = None) -> Column:
+    """The first rule a trip with its duration breaks, NULL where it breaks none."""
+    duration = F.col(DURATION)
+    reason = F.when(duration.isNull(), "null_duration").when(duration < 0, "negative_duration")
+    if year is not None:
+        reason = reason.when(~within_month(F.col(PICKUP), year, month), "outside_month")
+    return reason

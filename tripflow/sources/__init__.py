@@ -1,6 +1,6 @@
 """Scans, sinks, the catalog, JDBC and the landing zone."""
 
-from tripflow.sources.catalog import read_table, register_zone
+from tripflow.sources.catalog import read_table, register_zone, replace_table
 from tripflow.sources.footers import merged_schema, read_footers
 from tripflow.sources.jdbc import load_jdbc, read_jdbc, time_slices
 from tripflow.sources.landing import (
@@ -40,6 +40,7 @@ __all__ = [
     "read_zone",
     "register_zone",
     "repair_copy",
+    "replace_table",
     "require_distinct",
     "require_match",
     "time_slices",

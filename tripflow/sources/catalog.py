@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tripflow.sources.files import children, remove
 from tripflow.sources.footers import folder_columns, merged_schema, read_footers
 from tripflow.sources.zones import same_spelling
 
@@ -70,12 +71,67 @@ def register_zone(
     return name
 
 
+def replace_table(
+    spark: SparkSession,
+    df: DataFrame,
+    root: str,
+    database: str,
+    table: str,
+    keep: int = 1,
+) -> str:
+    """Replace the rows of an external table by those of ``df``, which may read the table; return its name.
+
+    They are written to a folder of their own below ``root``, and when all are there
+    the table is pointed at it, in one step of the catalog. Whoever asks by name sees
+    all old rows or all new ones, and a write that dies half way changes nothing. Of
+    earlier folders ``keep`` stay, for queries that are still reading them; folders that
+    a dead write has left go, so one replacement at a time. A table whose columns change
+    is made anew, which takes the catalog two steps.
+    """
+    name = f"`{database}`.`{table}`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    root = root.rstrip("/")
+    known = spark.catalog.tableExists(name)
+    if known and spark.catalog.getTable(name).tableType != "EXTERNAL":
+        raise ValueError(f"{name} exists and is not an external table")
+    current = _location(spark, name) if known else None
+    if current is not None and not same_spelling(current).startswith(same_spelling(root) + "/"):
+        raise ValueError(f"{name} lies at {current}, not below {root}")
+    versions = [n for n in children(spark, root) if n.startswith("version=")]
+    number = max([int(n.removeprefix("version=")) for n in versions], default=0) + 1
+    place = f"{root}/version={number:09d}"
+    df.write.parquet(place)
+    if known and _plain(spark.table(name).schema) == _plain(df.schema):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_escaped(place)}'")
+        spark.catalog.refreshTable(name)
+    else:
+        if known:
+            spark.sql(f"DROP TABLE {name}")
+        _create(spark, name, place, _plain(df.schema), T.StructType([]))
+    held = current.rstrip("/").rpartition("/")[2] if current else None
+    older = [n for n in versions if n != held]
+    # The one just replaced is the first of those to keep; unnamed ones never were the table's.
+    stay = ([held] if held and keep else []) + sorted(older, reverse=True)[: max(0, keep - 1)]
+    for version in versions:
+        if version not in stay:
+            remove(spark, f"{root}/{version}")
+    return name
+
+
+def _plain(schema: T.StructType) -> T.StructType:
+    """Names and types only: what is nullable says the scan, not the table."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
+
+def _escaped(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _create(spark: SparkSession, name: str, path: str, schema: T.StructType, folders: T.StructType) -> None:
     columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     by = ", ".join(_quoted(f.name) for f in folders.fields)
-    place = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet {f'PARTITIONED BY ({by})' if by else ''} LOCATION '{place}'"
+        f"CREATE TABLE {name} ({columns}) USING parquet {f'PARTITIONED BY ({by})' if by else ''} LOCATION '{_escaped(path)}'"
     )
     _refresh(spark, name)
 

@@ -35,7 +35,7 @@ BLOCK_BYTES = 128 * 1024 * 1024
 TASK_BYTES = 1024 * 1024 * 1024
 _READ_BYTES = 8 * 1024 * 1024
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
-_LISTED = "path string, file string, length bigint"
+_LISTED = "path string, file string, length bigint, modified bigint"
 _BLOCKS = f"{_LISTED}, start bigint, size bigint"
 _MANIFEST = "file string, length bigint, start bigint, size bigint, md5 string, block_bytes bigint"
 # Folders that one task lists, where a level has many.
@@ -50,14 +50,14 @@ class LandingError(RuntimeError):
 class Listing:
     """Every file below a root, listed once and stored, with what is known from listing it."""
 
-    files: DataFrame  # path, file, length
+    files: DataFrame  # path, file, length, modified (nanoseconds, null where the store has no times)
     count: int
     bytes: int
     longest: int
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """``path``, ``file`` (relative to ``root``) and ``length`` of every file below ``root``.
+    """``path``, ``file`` (relative to ``root``), ``length`` and ``modified`` of every file below ``root``.
 
     Listed here and now, each folder once, and stored: see ``take_listing``.
     """
@@ -206,9 +206,13 @@ def land_files(
     landed: str,
     tasks: int | None = None,
     block_bytes: int = BLOCK_BYTES,
+    only_new: bool = False,
 ) -> DataFrame:
     """Copy every file below ``source``, byte for byte, to the same place below ``landed``.
 
+    With ``only_new`` files stay out that are landed already: with the same length,
+    and changed no later than their landing.
+
     Returns the manifest, stored: ``file, length, start, size, md5, block_bytes``
     of every block, digested while it was copied. Tasks copy files side by side, and
     where the target lets several tasks write into one file, its blocks, too; other
@@ -216,6 +220,8 @@ def land_files(
     complete, so a lost executor leaves no half file and its retry starts over.
     """
     listing = take_listing(spark, source)
+    if only_new:
+        listing = _not_landed(spark, listing, landed)
     stored = scratch_path(spark, "manifest")
     name = uuid.uuid4().hex
     in_blocks = _takes_blocks(landed)
@@ -234,6 +240,19 @@ def land_files(
     return spark.read.schema(_MANIFEST).parquet(stored)
 
 
+def _not_landed(spark: SparkSession, listing: Listing, landed: str) -> Listing:
+    try:
+        there = take_listing(spark, landed).files
+    except Exception as none:
+        if "FileNotFoundError" not in str(none):
+            raise
+        return listing
+    have = there.select("file", F.col("length").alias("have"), F.col("modified").alias("since"))
+    same = (F.col("length") == F.col("have")) & (F.col("modified") <= F.col("since"))
+    new = listing.files.join(have, "file", "left").filter(~F.coalesce(same, F.lit(False)))
+    return Listing(new.select(*listing.files.columns), listing.count, listing.bytes, listing.longest)
+
+
 def repair_copy(spark: SparkSession, source: str, landed: str, manifest: DataFrame) -> DataFrame:
     """Copy again what the landed side has lost or holds wrongly; returns the manifest rows of that, stored.
 
@@ -254,10 +273,10 @@ def repair_copy(spark: SparkSession, source: str, landed: str, manifest: DataFra
     bad.select(*_names(_MANIFEST), F.coalesce("whole", F.lit(not _takes_blocks(landed))).alias("whole")).write.parquet(stored)
     bad = spark.read.parquet(stored)
     paths = F.concat(F.lit(_normal(source) + "/"), "file").alias("path")
-    expected = F.col("md5").alias("expected")
     # Files that lost their length are written anew, under their name when complete.
-    files = bad.filter("whole").select(paths, "file", "length").distinct()
-    blocks = bad.filter("NOT whole").select(paths, "file", "length", "start", "size", expected)
+    unknown = F.lit(None).cast("bigint").alias("modified")
+    files = bad.filter("whole").select(paths, "file", "length", unknown).distinct()
+    blocks = bad.filter("NOT whole").select(paths, "file", "length", unknown, "start", "size")
     again = _blocks(files, None).repartition(max(1, spark.sparkContext.defaultParallelism), "path")
     copied = again.mapInPandas(_copier(landed, uuid.uuid4().hex, block_bytes), _MANIFEST)
     patched = blocks.repartition(max(1, spark.sparkContext.defaultParallelism), "path", "start").mapInPandas(
@@ -288,7 +307,8 @@ def _names(schema: str) -> list[str]:
 def _blocks(files: DataFrame, block_bytes: int | None) -> DataFrame:
     """A row per block of each file, with ``start`` and ``size``; the whole file as one without ``block_bytes``."""
     if block_bytes is None:
-        return files.select("path", "file", "length", F.lit(0).cast("bigint").alias("start"), F.col("length").alias("size"))
+        start, size = F.lit(0).cast("bigint").alias("start"), F.col("length").alias("size")
+        return files.select("path", "file", "length", "modified", start, size)
     last = F.greatest(F.col("length") - 1, F.lit(0))
     starts = F.sequence(F.lit(0).cast("bigint"), last, F.lit(block_bytes).cast("bigint"))
     return files.withColumn("start", F.explode(starts)).withColumn(
@@ -317,8 +337,8 @@ def _finish(listing: Listing, landed: str, name: str, block_bytes: int, complete
     ).mode("overwrite").save()
 
 
-def _children(uri: str, name: str) -> list[tuple[str, str, int | None]]:
-    """URI, relative name and length of what lies in a folder; folders have no length."""
+def _children(uri: str, name: str) -> list[tuple[str, str, int | None, int | None]]:
+    """URI, relative name, length and time of what lies in a folder; folders have no length."""
     from pyarrow import fs
 
     filesystem, path = _filesystem(uri)
@@ -328,14 +348,15 @@ def _children(uri: str, name: str) -> list[tuple[str, str, int | None]]:
             f"{uri.rstrip('/')}/{info.base_name}",
             f"{name}/{info.base_name}" if name else info.base_name,
             None if info.type == fs.FileType.Directory else info.size,
+            info.mtime_ns,
         )
         for info in found
     ]
 
 
-def _listed(rows: list[tuple[str, str, int | None]]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["path", "file", "length"])
-    return frame.astype({"path": object, "file": object, "length": "Int64"})
+def _listed(rows: list[tuple[str, str, int | None, int | None]]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=_names(_LISTED))
+    return frame.astype({"path": object, "file": object, "length": "Int64", "modified": "Int64"})
 
 
 def _list_root(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -350,7 +371,7 @@ def _list_root(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if root.type == fs.FileType.Directory:
                 yield _listed(_children(uri, ""))
             else:
-                yield _listed([(uri, root.base_name, root.size)])
+                yield _listed([(uri, root.base_name, root.size, root.mtime_ns)])
 
 
 def _list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -405,7 +426,7 @@ def _copier(landed: str, name: str = "", block_bytes: int = BLOCK_BYTES):
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for uri, file, length, start, size in zip(*[batch[c] for c in _names(_BLOCKS)]):
+            for uri, file, length, _, start, size in zip(*[batch[c] for c in _names(_BLOCKS)]):
                 target = f"{_normal(landed)}/{file}"
                 if size == length:
                     digests = _copy_file(uri, target, block_bytes)
@@ -421,7 +442,7 @@ def _patcher(landed: str, block_bytes: int):
 
     def patch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for uri, file, length, start, size in zip(*[batch[c] for c in _names(_BLOCKS)]):
+            for uri, file, length, _, start, size in zip(*[batch[c] for c in _names(_BLOCKS)]):
                 digest = _write_at(uri, f"{_normal(landed)}/{file}", start, size)
                 yield _manifest_rows(file, length, start, size, [digest], block_bytes)
 

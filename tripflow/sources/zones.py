@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,11 +11,13 @@ from tripflow.sources.footers import column_types, least_type, read_footers
 
 DAY = "pickup_date"
 MONTH = "pickup_month"
+YEAR = "pickup_year"
 
-# Folder columns derived from the pickup time; a month goes by its first day.
+# Folder columns derived from the pickup time; a month or a year goes by its first day.
 _FOLDERS = {
     DAY: F.to_date,
     MONTH: lambda ts: F.trunc(ts, "month"),
+    YEAR: lambda ts: F.trunc(ts, "year"),
 }
 
 
@@ -54,6 +56,11 @@ def read_contract(
     those of ``read_footers``, if they are at hand.
     """
     footers = read_footers(spark, path) if footers is None else footers
+    return read_zone(spark, path, schema=contract_schema(footers, contract, path))
+
+
+def contract_schema(footers: DataFrame, contract: T.StructType, path: str = "the dataset") -> T.StructType:
+    """The types to read the columns of ``contract`` in from all files of ``footers``; see ``read_contract``."""
     wanted = {f.name.lower(): f for f in contract.fields}
     held = F.collect_set(F.lower("column")).alias("held")
     names = F.array(*[F.lit(key) for key in wanted])
@@ -79,7 +86,7 @@ def read_contract(
             fields.append(T.StructField(f.name, T.DataType.fromDDL(stored)))
     if clashes:
         raise ValueError(f"{path}: files hold types that do not merge: {'; '.join(clashes)}")
-    return read_zone(spark, path, schema=T.StructType(fields))
+    return T.StructType(fields)
 
 
 def write_zone(df: DataFrame, path: str) -> None:
@@ -108,6 +115,14 @@ def same_spelling(path: str) -> str:
     return path.rstrip("/")
 
 
+def folder_of(by: str, ts: Column | None = None, following: bool = False) -> Column:
+    """The value of a folder column derived from the pickup time, or from ``ts``; or the one after it."""
+    own = _FOLDERS[by](F.col(PICKUP) if ts is None else ts)
+    if not following:
+        return own
+    return F.date_add(own, 1) if by == DAY else F.add_months(own, 1 if by == MONTH else 12)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -126,7 +141,7 @@ def write_partitioned(
     smaller files.
     """
     if by in _FOLDERS and by not in df.columns:
-        df = df.withColumn(by, _FOLDERS[by](F.col(PICKUP)))
+        df = df.withColumn(by, folder_of(by))
     (
         df.hint("rebalance", partitions, by)
         .write.mode("overwrite")
