@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,5 +51,22 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in parts whose values of ``column`` hold up to ``most`` bytes together, or one row.
+
+    Spark cuts batches by rows. Parts share the memory of their batch, so what is made of them
+    in Python is bounded by their bytes, however long the values of a batch are.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        reached = np.cumsum(sizes, dtype=np.int64)
+        start = 0
+        while start < len(sizes):
+            before = reached[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(reached, before + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -25,12 +25,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import WORD, stored, text_of
+from tripflow.llm.common import WORD, by_bytes, stored, text_of
 
 # Classes, and words per class. The most frequent words have a place of their
 # own; all others share the last ``RARE`` places by a hash.
@@ -42,6 +41,8 @@ WINDOW, EMBEDDED, HIDDEN = 3, 16, 32
 # ROUNDS, every token is a training case.
 ROUNDS, STRIDE = 2, 2
 RATE, BATCH = 0.1, 4096
+# Bytes of text whose words a task holds at a time, unless one text is longer.
+HELD = 2_000_000
 # Stands before the beginning and after the end of a document.
 PAD = VOCABULARY
 
@@ -155,7 +156,7 @@ class Numbers(dict):
         self.frequent, self.own = frequent, len(self)
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > self.own + 500_000:
+        if len(self) > self.own + 200_000:
             self.clear()
             self.update((w.encode(), i) for i, w in enumerate(self.frequent))
         value = self[word] = VOCABULARY - RARE + zlib.crc32(word) % RARE
@@ -250,24 +251,24 @@ def train(documents: DataFrame, frequent: list[str], rounds: int = ROUNDS, strid
     for number in range(rounds):
         sent = context.broadcast((network.flat(), frequent))
 
-        def run(batches: Iterator[pd.DataFrame], sent=sent, first=number % stride) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, first=number % stride) -> Iterator[pa.RecordBatch]:
             flat, frequent = sent.value
             own, numbers = Network.of(flat), Numbers(frequent)
             squares = [np.full_like(a, 1e-6) for a in vars(own).values()]
             seen = 0
-            for batch in batches:
-                documents = [numbered(text.encode().split(), numbers) for text in batch["text"]]
+            for part in by_bytes(batches, "text", HELD):
+                documents = [numbered(text.encode().split(), numbers) for text in part.column("text").to_pylist()]
                 for start, end in _slices(documents):
                     around, target, _ = cases(documents[start:end], first, stride)
                     for a in range(0, len(target), BATCH):
                         own.learn(around[a : a + BATCH], target[a : a + BATCH], squares)
                     seen += len(target)
             if seen:
-                yield pd.DataFrame(
-                    {"at": np.arange(len(flat)), "total": own.flat().astype(np.float64) * seen, "seen": float(seen)}
-                )
+                total = own.flat().astype(np.float64) * seen
+                columns = [np.arange(len(flat), dtype=np.int32), total, np.full(len(flat), float(seen))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["at", "total", "seen"])
 
-        sums = texts.mapInPandas(run, "at int, total double, seen double").groupBy("at")
+        sums = texts.mapInArrow(run, "at int, total double, seen double").groupBy("at")
         averaged = stored(sums.agg((F.sum("total") / F.sum("seen")).alias("weight")), "lm-weights")
         rows = averaged.orderBy("at").toPandas()  # one row per weight
         if len(rows):
@@ -285,13 +286,13 @@ def scores(documents: DataFrame, network: Network, frequent: list[str], shares:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, frequent = sent.value
         own, numbers = Network.of(flat), Numbers(frequent)
-        for batch in batches:
-            words = [text.encode().split() for text in batch.column("text").to_pylist()]
+        for part in by_bytes(batches, "text", HELD):
+            words = [text.encode().split() for text in part.column("text").to_pylist()]
             documents = [numbered(w, numbers) for w in words]
             shared = [Counter(w[i] for i in np.flatnonzero(d >= VOCABULARY - RARE)) for w, d in zip(words, documents)]
             ends = pa.array(np.concatenate([[0], np.cumsum(list(map(len, shared)))]), pa.int32())
             columns = [
-                batch.column("doc_id"),
+                part.column("doc_id"),
                 pa.array(list(map(len, words)), pa.int64()),
                 pa.array(score_documents(own, documents), pa.float64()),
                 pa.ListArray.from_arrays(ends, pa.array([w for c in shared for w in c], pa.string())),
