@@ -38,33 +38,41 @@ from tripflow.plans import (
     build_gold,
     build_silver,
     conform_serving,
+    indexed_report,
+    read_quarantine,
+    refresh_zones,
     run_pipeline,
     slow_zone_report,
     slow_zone_report_sql,
+    update_speed_index,
+    write_checked_silver,
 )
 from tripflow.plans.report import trip_speeds
-from tripflow.schemas import DROPOFF, PICKUP, RAW_TRIPS, WEEK, ZONE
+from tripflow.schemas import DROPOFF, PICKUP, RAW_TRIPS, SILVER_TRIPS, WEEK, ZONE
 from tripflow.sources import (
     file_checksums,
+    hash_trees,
     land_files,
     read_partitioned,
     read_table,
     read_zone,
     register_zone,
+    replace_table,
     verify_copy,
     write_partitioned,
     write_zone,
 )
 from tripflow.sources.samples import event_trips, order_trips, second_trips, table, trips
 from tripflow.sources.scratch import scratch_path
-from tripflow.streaming import ingest_new_files
+from tripflow.streaming import FolderSink, gather_new_content, ingest_new_files, load_new_rows
 
 # The text operators and their pipeline come as one optional part.
 try:
     import corpus_pipeline
     from tripflow.llm import queries as text_queries
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "tripflow.llm", "tripflow.llm.queries"):
+    # The part itself may be missing, or the tokenizer files that only it needs.
+    if missing.name not in ("corpus_pipeline", "tripflow.llm", "tripflow.llm.queries", "public_tokenizers"):
         raise
     corpus_pipeline = text_queries = None
 
@@ -134,6 +142,66 @@ def _partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("pickup_date", F.col("pickup_date").cast("string"))
 
 
+def _scan_mixed_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips stored with narrower zones and line numbers up to mid 1998, as one table of the wider ones."""
+    path = scratch_path(spark, "widths")
+    turn = F.lit("1998-07-01 00:00:00").cast("timestamp_ntz")
+    raw = _stored_trips(spark, sf_dir)
+    narrow = {ZONE: F.col(ZONE).cast("int"), "l_linenumber": F.col("l_linenumber").cast("tinyint")}
+    raw.filter(F.col(PICKUP) < turn).withColumns(narrow).write.parquet(path)
+    raw.filter(F.col(PICKUP) >= turn).write.mode("append").parquet(path)
+    database = f"trip_widths_{uuid.uuid4().hex}"
+    found = read_table(spark, register_zone(spark, path, database, "trips"))
+    found.schema  # resolved before its name goes
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
+
+
+def _replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is replaced twice, the second time from its own rows."""
+    database, root = f"trip_switch_{uuid.uuid4().hex}", scratch_path(spark, "switch")
+    name = replace_table(spark, trips(spark, sf_dir).limit(0), root, database, "trips")
+    replace_table(spark, trips(spark, sf_dir), root, database, "trips")
+    shorter = read_table(spark, name).filter(F.col(DROPOFF).isNotNull())
+    replace_table(spark, shorter, root, database, "trips")
+    found = read_table(spark, name)
+    found.schema  # resolved before its name goes
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
+
+
+def _order_files(spark: SparkSession, sf_dir: str) -> str:
+    """A text file per month of orders with their keys in order, a key to a line."""
+    path = scratch_path(spark, "order-files")
+    orders = table(spark, sf_dir, "orders")
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    (
+        orders.select(month, "o_orderkey")
+        .repartition("month")
+        .sortWithinPartitions("month", "o_orderkey")
+        .select("month", F.col("o_orderkey").cast("string").alias("line"))
+        .write.partitionBy("month")
+        .text(path)
+    )
+    return path
+
+
+def _months(files: DataFrame, *columns: str) -> DataFrame:
+    month = F.regexp_extract("file", r"^month=([0-9-]+)/part", 1)
+    return files.withColumn("month", month).filter("month <> ''").select("month", *columns)
+
+
+def _content_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _months(file_checksums(spark, _order_files(spark, sf_dir)), "length", "md5")
+
+
+def _landed_hash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roots over blocks of 1000 bytes, digested while the files were copied in blocks."""
+    landed = scratch_path(spark, "landed-orders")
+    manifest = land_files(spark, _order_files(spark, sf_dir), landed, block_bytes=1000)
+    return _months(hash_trees(manifest), "length", "blocks", "root")
+
+
 def _verify_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = scratch_path(spark, "landed")
     land_files(spark, sf_dir, landed)
@@ -160,6 +228,107 @@ def _incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_zone(spark, f"{folder}/silver")
 
 
+def _ingest_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in two drops; with the second one the files of the first are sent again under other names."""
+    folder = scratch_path(spark, "content")
+    events = table(spark, sf_dir, "events")
+    is_error = F.col("event_type").eqNullSafe("error")
+    for number, arriving in enumerate((~is_error, is_error)):
+        events.filter(arriving).write.parquet(f"{folder}/source/drop{number}")
+        if number:
+            land_files(spark, f"{folder}/source/drop0", f"{folder}/source/again")
+        gather_new_content(spark, f"{folder}/source", f"{folder}/gathered", f"{folder}/manifest")
+        ingest_new_files(
+            spark,
+            f"{folder}/gathered",
+            f"{folder}/silver",
+            f"{folder}/checkpoint",
+            events.schema,
+            lambda rows: build_silver(event_trips(rows)),
+        )
+    return read_zone(spark, f"{folder}/silver")
+
+
+class _LosesOnePublication(FolderSink):
+    """Fails once after staging, as a lost connection would."""
+
+    lost = False
+
+    def publish(self, batch, days):
+        if not self.lost and self.batches():
+            type(self).lost = True
+            raise ConnectionError("lost")
+        super().publish(batch, days)
+
+
+def _incremental_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold in three drops; the second load dies before it is published, and every load is repeated."""
+    folder = scratch_path(spark, "serving")
+    gold = build_gold(build_silver(_stored_trips(spark, sf_dir)), YEAR, MONTH, SWAP)
+    sink = type("Sink", (_LosesOnePublication,), {})(spark, f"{folder}/serving")
+    for number in range(3):
+        drop = gold.filter(F.pmod(F.dayofmonth(PICKUP), F.lit(3)) == number)
+        drop.write.mode("append").parquet(f"{folder}/gold")
+        for _ in range(2):
+            try:
+                load_new_rows(spark, f"{folder}/gold", f"{folder}/checkpoint", sink)
+            except Exception as lost:
+                if "ConnectionError" not in str(lost):
+                    raise
+    return sink.read()
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Silver and gold by month after three landings, the last one late for earlier months."""
+    folder = scratch_path(spark, "refresh")
+    raw = project_trips(_stored_trips(spark, sf_dir))
+    late = F.dayofmonth(PICKUP) == 31
+    turn = F.lit("1998-07-01 00:00:00").cast("timestamp_ntz")
+    drops = (~late & (F.col(PICKUP) < turn), ~late & (F.col(PICKUP) >= turn), late)
+    zones = [f"{folder}/{zone}" for zone in ("bronze", "silver", "gold", "state")]
+    for number, drop in enumerate(drops):
+        raw.filter(drop).write.parquet(f"{zones[0]}/drop{number}")
+        refresh_zones(spark, *zones, YEAR, MONTH, SWAP, by="pickup_month")
+    return zones[1], zones[2]
+
+
+def _refreshed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read_partitioned(spark, _refreshed(spark, sf_dir)[0], by="pickup_month")
+    return found.withColumn("pickup_month", F.col("pickup_month").cast("string"))
+
+
+def _refreshed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_partitioned(spark, _refreshed(spark, sf_dir)[1], by="pickup_month").drop("pickup_month")
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    folder = scratch_path(spark, "checked")
+    write_checked_silver(spark, trips(spark, sf_dir), f"{folder}/silver", f"{folder}/quarantine")
+    return f"{folder}/silver", f"{folder}/quarantine"
+
+
+def _indexed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips up to 1998 indexed first, then the years from there on; the report from the index."""
+    index = scratch_path(spark, "speeds")
+    stored = _stored_trips(spark, sf_dir)
+    later = F.year(PICKUP) >= 1998
+    for part in (~later, later):
+        update_speed_index(spark, stored.filter(part), index, by="pickup_year")
+    return indexed_report(spark, index, by="pickup_year")
+
+
+def _drift_clash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones stored as numbers up to mid 1998 and as text from then on, and one file without rows or durations."""
+    path = scratch_path(spark, "clash")
+    raw = project_trips(_stored_trips(spark, sf_dir))
+    turn = F.lit("1998-07-01 00:00:00").cast("timestamp_ntz")
+    raw.filter(F.col(PICKUP) < turn).write.parquet(path)
+    later = with_trip_duration(raw.filter(F.col(PICKUP) >= turn))
+    later.withColumn(ZONE, F.col(ZONE).cast("string")).write.mode("append").parquet(path)
+    raw.limit(0).withColumn("note", F.lit("x")).write.mode("append").parquet(path)
+    return schema_drift(spark, path, RAW_TRIPS).drop("files", "files_without_values")
+
+
 def _schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips stored without a duration up to mid 1998 and with one from then on."""
     path = scratch_path(spark, "drift")
@@ -273,12 +442,16 @@ def trip_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partitioned_roundtrip": _partitioned_roundtrip,
         "partition_range": _partition_range,
         "landing_checksums": file_checksums,
-        "content_digests": lambda s, d: table(s, d, "documents").select(
-            "doc_id", F.md5("text").alias("md5")
-        ),
+        "content_digests": _content_digests,
+        "landed_hash_trees": _landed_hash_trees,
         "verify_copy": _verify_copy,
         "incremental_ingest": _incremental_ingest,
+        "ingest_by_content": _ingest_by_content,
+        "incremental_serving": _incremental_serving,
         "schema_drift": _schema_drift,
+        "schema_drift_clash": _drift_clash,
+        "scan_mixed_widths": _scan_mixed_widths,
+        "replaced_table": _replaced_table,
         "serving_table": lambda s, d: conform_serving(
             build_gold(build_silver(trips(s, d)), YEAR, MONTH, SWAP)
         ),
@@ -312,10 +485,15 @@ def trip_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "slow_zone_report_by_iso_year": lambda s, d: slow_zone_report(_stored_trips(s, d), by_iso_year=True),
         "slow_zone_report_sql": lambda s, d: slow_zone_report_sql(s, _stored_trips(s, d)),
         "slow_zone_report_seconds": lambda s, d: slow_zone_report(second_trips(s, d)),
+        "slow_zone_report_indexed": _indexed_report,
+        "refreshed_silver": _refreshed_silver,
+        "refreshed_gold": _refreshed_gold,
         "end_to_end_report": _end_to_end_report,
         # quality
         "schema_contract": lambda s, d: check_contract(trips(s, d), TRIP_RULES),
         "reject_profile": lambda s, d: reject_profile(trips(s, d), YEAR, MONTH),
+        "checked_silver": lambda s, d: read_zone(s, _checked(s, d)[0], schema=SILVER_TRIPS),
+        "quarantined_trips": lambda s, d: read_quarantine(s, _checked(s, d)[1]),
         "rejected_trips": lambda s, d: rejected(trips(s, d)),
         "rejected_for_month": lambda s, d: rejected(trips(s, d), YEAR, MONTH),
     }
@@ -343,6 +521,12 @@ _SECOND_TRIPS = """
     FROM events
 """
 
+_ORDER_FILES = """
+    SELECT strftime(o_orderdate, '%Y-%m') AS month,
+           string_agg(o_orderkey::VARCHAR || chr(10), '' ORDER BY o_orderkey) AS content
+    FROM orders GROUP BY ALL
+"""
+
 _DURATION = "(floor(epoch(tpep_dropoff_datetime)) - floor(epoch(tpep_pickup_datetime))) / 3600"
 _MICROS = "date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime)"
 _SPEED = f"trip_distance / ({_MICROS} / 1e6 / 3600)"
@@ -445,6 +629,27 @@ def _drift() -> str:
     return f"WITH trips AS ({_TRIPS}) " + " UNION ALL ".join(parts)
 
 
+def _clash() -> str:
+    def row(name: str, contract: str, actual: str, change: str, values: str) -> str:
+        return f"""
+            SELECT '{name}' AS "column", {contract} AS contract_type, {actual} AS actual_type,
+                   '{change}' AS change, count(*) AS "rows", {values} AS non_null_rows
+            FROM trips
+        """
+
+    ntz = "'timestamp_ntz'"
+    later = "tpep_pickup_datetime >= '1998-07-01'"
+    parts = [
+        row(PICKUP, ntz, ntz, "same", f"count({PICKUP})"),
+        row(DROPOFF, ntz, ntz, "same", f"count({DROPOFF})"),
+        row("trip_distance", "'double'", "'double'", "same", "count(trip_distance)"),
+        row(ZONE, "'bigint'", "'bigint | string'", "clash", f'count("{ZONE}")'),
+        row("trip_duration", "NULL", "'double'", "added", f"count({_DURATION}) FILTER ({later})"),
+        row("note", "NULL", "'string'", "added", "0"),
+    ]
+    return f"WITH trips AS ({_TRIPS}) " + " UNION ALL ".join(parts)
+
+
 def _rejected(month: bool) -> str:
     outside = f"WHEN NOT {_IN_MONTH} THEN 'outside_month'" if month else ""
     return f"""
@@ -479,7 +684,32 @@ def trip_oracle_sql() -> dict[str, str]:
         "verify_copy": " UNION ALL ".join(
             f"SELECT '{name}.parquet' AS file, 'match' AS status" for name in TABLES
         ),
-        "content_digests": "SELECT doc_id, md5(text) AS md5 FROM documents",
+        "content_digests": f"SELECT month, strlen(content) AS length, md5(content) AS md5 FROM ({_ORDER_FILES})",
+        "landed_hash_trees": f"""
+            SELECT month, strlen(content) AS length, len(blocks) AS blocks,
+                   md5(array_to_string(list_transform(blocks, lambda b: md5(b)), '')) AS root
+            FROM (
+                SELECT month, content, list_transform(
+                    range(0, strlen(content), 1000), lambda s: substring(content, s + 1, 1000)) AS blocks
+                FROM ({_ORDER_FILES})
+            )
+        """,
+        "ingest_by_content": f"""
+            SELECT {_FOUR}, {_DURATION} AS trip_duration FROM ({_SECOND_TRIPS}) WHERE {_DURATION} >= 0
+        """,
+        "incremental_serving": f"""
+            SELECT tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance,
+                   CAST("PULocationID" AS INTEGER) AS "PULocationID", trip_duration
+            FROM ({_GOLD})
+        """,
+        "scan_mixed_widths": _TRIPS,
+        "replaced_table": f"SELECT * FROM ({_TRIPS}) WHERE tpep_dropoff_datetime IS NOT NULL",
+        "schema_drift_clash": _clash(),
+        "refreshed_silver": by_month,
+        "refreshed_gold": _GOLD,
+        "checked_silver": _SILVER,
+        "quarantined_trips": _rejected(month=False),
+        "slow_zone_report_indexed": _report(_TRIPS),
         "incremental_ingest": f"""
             SELECT {_FOUR}, {_DURATION} AS trip_duration FROM ({_SECOND_TRIPS}) WHERE {_DURATION} >= 0
         """,

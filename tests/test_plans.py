@@ -96,7 +96,7 @@ def test_report_plan(spark, silver_path, form):
         assert "trip_duration" not in read
 
 
-PYTHON = {"landing_checksums", "verify_copy"}
+PYTHON = {"content_digests", "landing_checksums", "verify_copy"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.trip_queries()))

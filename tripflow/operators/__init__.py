@@ -1,6 +1,7 @@
 """DataFrame to DataFrame operators, usable with ``DataFrame.transform``."""
 
 from tripflow.operators.clean import (
+    conform_serving,
     drop_bad_durations,
     positive_trips,
     project_trips,
@@ -9,7 +10,7 @@ from tripflow.operators.clean import (
 )
 from tripflow.operators.drift import column_presence, schema_drift
 from tripflow.operators.enrich import in_month, remap_keys
-from tripflow.operators.quality import ColumnRule, check_contract, reject_profile, rejected
+from tripflow.operators.quality import ColumnRule, check_contract, reject_profile, reject_reason, rejected
 from tripflow.operators.ranking import count_by, order_report, top_k_per_group
 from tripflow.operators.slow import average_speed, slow_trips
 
@@ -18,6 +19,7 @@ __all__ = [
     "average_speed",
     "check_contract",
     "column_presence",
+    "conform_serving",
     "count_by",
     "drop_bad_durations",
     "in_month",
@@ -25,6 +27,7 @@ __all__ = [
     "positive_trips",
     "project_trips",
     "reject_profile",
+    "reject_reason",
     "rejected",
     "remap_keys",
     "schema_drift",

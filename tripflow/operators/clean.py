@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions import duration_hours, elapsed_seconds
-from tripflow.schemas import DISTANCE, DROPOFF, DURATION, PICKUP, RAW_TRIPS, SPEED
+from tripflow.schemas import DISTANCE, DROPOFF, DURATION, PICKUP, RAW_TRIPS, SERVING_TRIPS, SPEED
 
 
 def project_trips(df: DataFrame) -> DataFrame:
@@ -51,3 +51,8 @@ def with_trip_speed(df: DataFrame) -> DataFrame:
     """
     hours = elapsed_seconds(F.col(PICKUP), F.col(DROPOFF)) / F.lit(3600)
     return df.withColumn(SPEED, F.try_divide(F.col(DISTANCE), hours))
+
+
+def conform_serving(df: DataFrame) -> DataFrame:
+    """Columns, order and types of the serving table; a zone over 4 bytes fails."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SERVING_TRIPS.fields])

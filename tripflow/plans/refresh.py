@@ -26,7 +26,7 @@ from tripflow.schemas import PICKUP, RAW_TRIPS, REPORT_MONTH, REPORT_YEAR, SILVE
 from tripflow.sources.files import children, exists, put_in_place, remove
 from tripflow.sources.footers import data_files, read_footers
 from tripflow.sources.landing import Listing, _filesystem
-from tripflow.sources.scratch import scratch_path
+from tripflow.sources.scratch import stored
 from tripflow.sources.zones import DAY, contract_schema, folder_of, read_zone, write_partitioned
 
 # Send the helper below to tasks as code: executors need not have this package.
@@ -65,15 +65,15 @@ def refresh_zones(
     the same result. One refresh at a time.
     """
     listing = data_files(spark, bronze)
-    now = _stored(spark, listing.files.select("path", *_KEY), "refresh-files")
+    now = stored(listing.files.select("path", *_KEY), "refresh-files")
     known = spark.read.schema(_STATE).parquet(state) if exists(spark, state) else spark.createDataFrame([], _STATE)
     old = known.select(*_KEY).distinct()
     # Times may be unknown, so keys compare with nulls equal.
-    new = _stored(spark, now.join(old, _same(now, old), "left_anti"), "refresh-new")
-    gone = _stored(spark, known.join(now, _same(known, now), "left_anti"), "refresh-gone")
+    new = stored(now.join(old, _same(now, old), "left_anti"), "refresh-new")
+    gone = stored(known.join(now, _same(known, now), "left_anti"), "refresh-gone")
     arrived = new.count()
     if arrived:
-        found = _stored(spark, _folders(spark, bronze, listing, new, by), "refresh-folders")
+        found = stored(_folders(spark, bronze, listing, new, by), "refresh-folders")
     else:
         found = spark.createDataFrame([], "file string, folder date")
     holds = known.join(now, _same(known, now), "left_semi").select("file", "folder").union(found)
@@ -96,12 +96,6 @@ def refresh_zones(
     return Refreshed(folders, changed)
 
 
-def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _same(left: DataFrame, right: DataFrame) -> Column:
     return (
         (left["file"] == right["file"])
@@ -160,7 +154,7 @@ def _rows_of(
 ) -> DataFrame:
     """The raw trips of ``folders``, from the files that hold any."""
     wanted = holds.filter(F.col("folder").isin(folders)).select(F.col("file").alias("wanted")).distinct()
-    files = _stored(spark, now.join(wanted, F.col("file") == F.col("wanted"), "left_semi"), "refresh-read")
+    files = stored(now.join(wanted, F.col("file") == F.col("wanted"), "left_semi"), "refresh-read")
     count = files.count()
     if not count:  # all files of these folders are gone
         return spark.createDataFrame([], RAW_TRIPS)

@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripflow.operators import (
+    conform_serving,
     drop_bad_durations,
     in_month,
     project_trips,
     remap_keys,
     with_trip_duration,
 )
-from tripflow.schemas import REPORT_MONTH, REPORT_YEAR, SERVING_TRIPS, ZONE, ZONE_SWAP
+from tripflow.schemas import REPORT_MONTH, REPORT_YEAR, ZONE, ZONE_SWAP
 from tripflow.sources.jdbc import CONNECTIONS, load_jdbc
 from tripflow.sources.zones import read_zone
 
@@ -39,11 +39,6 @@ def build_gold(
     return remap_keys(month_only, ZONE, mapping)
 
 
-def conform_serving(df: DataFrame) -> DataFrame:
-    """Columns, order and types of the serving table; a zone over 4 bytes fails."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SERVING_TRIPS.fields])
-
-
 def load_serving(
     spark: SparkSession,
     gold_path: str,

@@ -124,7 +124,11 @@ def file_blocks(
     with the cluster. An empty file is one empty block. ``tasks``: how many read
     side by side; by default as many as the bytes ask for.
     """
-    listing = take_listing(spark, root)
+    return digest_blocks(take_listing(spark, root), block_bytes, tasks)
+
+
+def digest_blocks(listing: Listing, block_bytes: int = BLOCK_BYTES, tasks: int | None = None) -> DataFrame:
+    """``file_blocks`` of the files of a listing."""
     blocks = _spread(listing, _blocks(listing.files, block_bytes), tasks, "path", "start")
     return blocks.mapInPandas(_digest_blocks, f"{_BLOCKS}, md5 string").select("file", "length", "start", "md5")
 
@@ -222,6 +226,13 @@ def land_files(
     listing = take_listing(spark, source)
     if only_new:
         listing = _not_landed(spark, listing, landed)
+    return copy_files(spark, listing, landed, tasks, block_bytes)
+
+
+def copy_files(
+    spark: SparkSession, listing: Listing, landed: str, tasks: int | None = None, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Copy the files of a listing: ``path`` to ``file`` below ``landed``; see ``land_files``."""
     stored = scratch_path(spark, "manifest")
     name = uuid.uuid4().hex
     in_blocks = _takes_blocks(landed)

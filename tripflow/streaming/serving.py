@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.plans.zones import conform_serving
+from tripflow.operators import conform_serving
 from tripflow.schemas import GOLD_TRIPS, PICKUP, SERVING_TRIPS
 from tripflow.sources.files import children, exists, move, remove
 from tripflow.sources.jdbc import CONNECTIONS, load_jdbc
