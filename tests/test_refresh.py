@@ -8,13 +8,14 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from test_serving import Recorder
 
 from tripflow.operators import rejected
-from tripflow.plans import build_gold, build_silver
+from tripflow.plans import BatchConfig, build_gold, build_silver, conform_serving, run_pipeline
 from tripflow.plans.checked import Limits, QualityError, read_quarantine, write_checked_silver
 from tripflow.plans.refresh import refresh_zones
 from tripflow.schemas import RAW_TRIPS, SILVER_TRIPS
-from tripflow.sources import land_files, read_zone
+from tripflow.sources import land_files, read_table, read_zone
 
 
 def rows_of(df):
@@ -206,3 +207,52 @@ def test_nothing_kept_and_nothing_rejected(spark, tmp_path, by_day):
     assert read_quarantine(spark, quarantine).count() == 0
     write_checked_silver(spark, raw_trips(spark).limit(0), silver, quarantine, by_day=by_day)
     assert spark.read.schema(SILVER_TRIPS).parquet(silver).count() == 0
+
+
+# --- the batch
+
+
+def test_an_incremental_batch_loads_each_row_once(spark, tmp_path, monkeypatch):
+    source, sink = str(tmp_path / "source"), Recorder()
+    monkeypatch.setattr("tripflow.plans.batch.JdbcSink", lambda *_, **__: sink)
+    folders = {n: str(tmp_path / n) for n in ("bronze", "silver", "gold", "state")}
+    plan = BatchConfig(
+        source=source,
+        **folders,
+        database="incremental_db",
+        jdbc_url="jdbc:x:y",
+        serving_table="trips",
+        load_checkpoint=str(tmp_path / "checkpoint"),
+    )
+    add(trips(spark, at(1, 2)), source, "a")
+    for name, more in (("b", at(2, 3)), (None, None), ("c", at(1, month=4))):
+        run_pipeline(spark, plan)
+        if name:
+            add(trips(spark, more), source, name)
+    sink.fail = "half staged"
+    add(trips(spark, at(3)), source, "d")
+    with pytest.raises(Exception, match="lost"):
+        run_pipeline(spark, plan)
+    run_pipeline(spark, plan)
+    raw = read_zone(spark, source, schema=RAW_TRIPS)
+    assert sorted(sink.rows) == rows_of(conform_serving(build_gold(build_silver(raw))))
+    assert rows_of(read_table(spark, "incremental_db.silver").drop("pickup_date")) == rows_of(build_silver(raw))
+
+
+def test_a_batch_with_quarantine_stops_at_its_limits(spark, tmp_path):
+    folders = {n: str(tmp_path / n) for n in ("bronze", "silver", "gold", "quarantine")}
+    raw_trips(spark).write.parquet(folders["bronze"])
+    with pytest.raises(QualityError, match="3 of 10"):
+        run_pipeline(spark, BatchConfig(**folders, limits=Limits(rejected=0.1)))
+    assert not os.path.exists(folders["gold"])
+    run_pipeline(spark, BatchConfig(**folders, limits=Limits(rejected=0.3)))
+    assert spark.read.parquet(folders["silver"]).count() == 7
+    assert read_quarantine(spark, folders["quarantine"]).count() == 3
+
+
+def test_settings_that_do_not_go_together(spark, tmp_path):
+    folders = {n: str(tmp_path / n) for n in ("bronze", "silver", "gold")}
+    with pytest.raises(ValueError, match="load_checkpoint needs state"):
+        run_pipeline(spark, BatchConfig(**folders, jdbc_url="u", serving_table="t", load_checkpoint="/c"))
+    with pytest.raises(ValueError, match="not with state"):
+        run_pipeline(spark, BatchConfig(**folders, quarantine="/q", state="/s"))

@@ -75,7 +75,8 @@ def run_pipeline(spark: SparkSession, config: BatchConfig) -> None:
     require_distinct(*[p for p in (*own, config.load_checkpoint) if p])
 
     if config.source is not None:
-        manifest = land_files(spark, config.source, config.bronze, only_new=config.state is not None)
+        which = {} if config.state is None else {"only_new": True}
+        manifest = land_files(spark, config.source, config.bronze, **which)
         require_match(verify_copy(spark, config.source, config.bronze, manifest=manifest))
 
     footers = None

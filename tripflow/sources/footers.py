@@ -64,7 +64,7 @@ def read_footers(spark: SparkSession, path: str, files: Listing | None = None) -
 
 
 def column_types(footers: DataFrame) -> DataFrame:
-    """``key`` (lower case), ``column``, ``types`` (those the files hold it in, sorted) and ``place``.
+    """``key`` (lower case), ``column``, ``types`` (those the files hold it in, sorted), ``place`` and ``files``.
 
     Of spellings that differ in case only, the first in order is named; of places in
     files that differ in order, the last.
@@ -74,6 +74,7 @@ def column_types(footers: DataFrame) -> DataFrame:
         F.min("column").alias("column"),
         F.sort_array(F.collect_set("type")).alias("types"),
         F.max("place").alias("place"),
+        F.count_distinct("path").alias("files"),
     )
 
 

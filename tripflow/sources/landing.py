@@ -149,7 +149,7 @@ def verify_copy(
         given = file_blocks(spark, source, block_bytes)
     else:
         given = manifest
-        block_bytes = manifest.agg(F.max("block_bytes").alias("b")).first().b or block_bytes
+        block_bytes = _block_bytes(manifest) or block_bytes
     left = given.select("file", "start", F.col("length").alias("source_length"), F.col("md5").alias("source_md5"))
     right = file_blocks(spark, landed, block_bytes).select(
         "file", "start", F.col("length").alias("landed_length"), F.col("md5").alias("landed_md5")
@@ -271,7 +271,7 @@ def repair_copy(spark: SparkSession, source: str, landed: str, manifest: DataFra
     its length only the blocks that differ are copied, into their place; others are
     copied whole. A source that changed since the manifest was made raises.
     """
-    block_bytes = manifest.agg(F.max("block_bytes").alias("b")).first().b or BLOCK_BYTES
+    block_bytes = _block_bytes(manifest) or BLOCK_BYTES
     have = file_blocks(spark, landed, block_bytes).select(
         "file", "start", F.col("length").alias("landed_length"), F.col("md5").alias("landed_md5")
     )
@@ -311,6 +311,12 @@ def _normal(root: str) -> str:
     return start + posixpath.normpath("/" + root[len(start) :].lstrip("/"))
 
 
+def _block_bytes(manifest: DataFrame) -> int | None:
+    """The size of blocks, the same in every row; None where there is no row."""
+    row = manifest.select("block_bytes").first()
+    return row and row.block_bytes
+
+
 def _names(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 

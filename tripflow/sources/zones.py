@@ -62,19 +62,14 @@ def read_contract(
 def contract_schema(footers: DataFrame, contract: T.StructType, path: str = "the dataset") -> T.StructType:
     """The types to read the columns of ``contract`` in from all files of ``footers``; see ``read_contract``."""
     wanted = {f.name.lower(): f for f in contract.fields}
-    held = F.collect_set(F.lower("column")).alias("held")
-    names = F.array(*[F.lit(key) for key in wanted])
-    lacking = (
-        footers.groupBy("file").agg(held).select("file", F.explode(F.array_except(names, "held")).alias("key"))
-    )
-    # One row per column of the contract at most.
-    missing = lacking.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file")).orderBy("key").collect()
-    if missing:
-        said = [f"{r.n} file(s) lack {wanted[r.key].name}, such as {r.file}" for r in missing]
-        raise ValueError(f"{path}: {'; '.join(said)}")
-    found = {r.key: r.types for r in column_types(footers).filter(F.col("key").isin(list(wanted))).collect()}
+    every = footers.agg(F.count_distinct("path").alias("n")).scalar()
+    # One row per column of the contract.
+    rows = column_types(footers).filter(F.col("key").isin(list(wanted))).withColumn("every", every).collect()
+    found = {r.key: r.types for r in rows if r.files == r.every}
+    if rows and len(found) < len(wanted):
+        raise ValueError(f"{path}: {_lacking(footers, {k: f.name for k, f in wanted.items()})}")
     if not found:
-        raise ValueError(f"{path} lacks {', '.join(contract.names)}: there is no file")
+        raise ValueError(f"{path} lacks {', '.join(contract.names)}")
     fields, clashes = [], []
     for key, f in wanted.items():
         stored, type_of = least_type(found[key]), f.dataType.simpleString()
@@ -89,6 +84,16 @@ def contract_schema(footers: DataFrame, contract: T.StructType, path: str = "the
     return T.StructType(fields)
 
 
+def _lacking(footers: DataFrame, names: dict[str, str]) -> str:
+    """Which columns, by their lower-case keys, how many files lack, with an example."""
+    held = F.collect_set(F.lower("column")).alias("held")
+    keys = F.array(*[F.lit(key) for key in names])
+    lacking = footers.groupBy("file").agg(held).select("file", F.explode(F.array_except(keys, "held")).alias("key"))
+    # One row per column.
+    counted = lacking.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file")).orderBy("key")
+    return "; ".join(f"{r.n} file(s) lack {names[r.key]}, such as {r.file}" for r in counted.collect())
+
+
 def write_zone(df: DataFrame, path: str) -> None:
     """Replace the dataset at ``path``.
 
