@@ -1,16 +1,21 @@
 """Main text of web pages by the distribution of their line blocks.
 
 Markup is stripped so that every block element becomes a line. A sliding window
-sums the text lengths of ``WINDOW`` lines; where it surges from nothing a body of
+sums the weights of ``WINDOW`` lines; where it surges from nothing a body of
 text begins, and where it dives to nothing again the body ends. Bodies whose
-windows reach ``SURGE`` characters are kept, with all their lines, and so are
-shorter ones that stand in the same container as a kept one, such as headlines and
-endings that a notice cuts off.
-
-Lines of menus, page headers, footers, sidebars, notices, adverts, forms and
-reader comments weigh nothing, like link texts, and both ends of such a part are
-followed by empty lines, so that the window dives there. In a page that marks its
-article, all bodies in its articles are kept, however short, and others are not.
+windows reach ``SURGE`` are kept, with all their lines.
+
+A line weighs the characters of its text that are no link. Marks weigh lines, too:
+where a page marks an article, lines in articles weigh ``MARKED`` times as much and
+all others as many times less, so that it takes little text to surge within the
+mark, and much without it, but a mark alone neither keeps nor drops a body. Lines of
+menus, page headers, footers, sidebars, notices, adverts, forms and reader comments
+weigh nothing, and both ends of such a part are followed by empty lines, so that
+the window dives there.
+
+A body that does not surge is kept where it belongs to one that does: in the same
+container or the same article, such as an ending that a notice cuts off, or, if it
+holds headlines only, right before it.
 """
 
 from __future__ import annotations
@@ -23,8 +28,12 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# Lines per window, and the characters a window must reach in a body of text.
-WINDOW, SURGE = 3, 80
+from tripflow.llm.common import by_bytes
+
+# Bytes of pages that are handled at a time, unless one is longer.
+HELD = 4_000_000
+# Lines per window, what a window must reach in a body of text, and how much marks weigh.
+WINDOW, SURGE, MARKED = 3, 80, 8
 
 # What never holds text: raw elements with all they contain, comments, declarations.
 _RAW = re.compile(
@@ -49,10 +58,13 @@ _HOLDERS = frozenset(
     "table td ul".split()
 )
 _ARTICLES = frozenset(("article", "main"))
+_HEADLINES = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 # Holders that are text of the container around them.
 _INLINE = frozenset("a li ol p span ul".split())
 # Elements, and words of class, id or role, that mark what is not the article.
 _ASIDES = frozenset("aside button dialog footer form head header menu nav select".split())
+# A word counts as a whole class; the second list also where a class begins with it, as in "comment-list",
+# and the third where it ends the class of a page part, as in "site-footer".
 _ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement alert aside banner breadcrumb breadcrumbs byline comment comments "
     "complementary consent contentinfo cookie cookies dialog disclaimer discussion disqus footer form gdpr header "
@@ -60,6 +72,13 @@ _ASIDE_WORDS = frozenset(
     "promo promoted recommended related remark replies reply respond search share sharing sidebar signup social "
     "sponsor sponsored subscribe subscription toolbar widget".split()
 )
+_BEGINNINGS = frozenset(
+    "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
+    "gdpr menu modal nav navbar navigation newsletter pagination popup promo share sharing sidebar social sponsor "
+    "sponsored subscribe toolbar widget".split()
+)
+_PAGE_PARTS = frozenset("global main page site top bottom left right".split())
+_ENDINGS = frozenset("banner footer header menu nav navbar navigation sidebar".split())
 
 
 @dataclass
@@ -69,6 +88,7 @@ class Line:
     article: int
     aside: bool
     container: int = 0
+    headline: bool = False
 
 
 def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
@@ -76,20 +96,28 @@ def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
         return False
     if name in _ASIDES and not (name == "header" and in_article):
         return True
-    for values in _NAMED.findall(attributes):
-        if any(word in _ASIDE_WORDS for word in re.split(r"[^a-z0-9]+", "".join(values).lower())):
-            return True
-    return False
+    return any(
+        _names_aside(word) for values in _NAMED.findall(attributes) for word in "".join(values).lower().split()
+    )
+
+
+def _names_aside(word: str) -> bool:
+    """Whether a class, id or role names a part that is not the article."""
+    if word in _ASIDE_WORDS:
+        return True
+    parts = re.split(r"[-_]+", word)
+    return len(parts) > 1 and (parts[0] in _BEGINNINGS or parts[0] in _PAGE_PARTS and parts[-1] in _ENDINGS)
 
 
 def lines_of(page: str) -> list[Line]:
-    """The lines of a page in order; an empty line stands where a part that is no article begins or ends."""
+    """The lines of a page in order; empty lines stand where an article, or a part that is none, begins or ends."""
     page = _CUT.sub("", _RAW.sub(" ", page))
     lines: list[Line] = []
     parts: list[str] = []
     linked = 0
     open_holders: list[tuple[str, bool, int, int]] = []  # name, aside, article, container
     article, articles, containers = 0, 0, 0
+    headline = False
 
     def in_aside() -> bool:
         return any(aside for _, aside, _, _ in open_holders)
@@ -103,7 +131,8 @@ def lines_of(page: str) -> list[Line]:
         if text:
             aside = in_aside()
             container = open_holders[-1][3] if open_holders else 0
-            lines.append(Line(text, 0 if aside else max(0, len(text) - linked), article, aside, container))
+            weight = 0 if aside else max(0, len(text) - linked)
+            lines.append(Line(text, weight, article, aside, container, headline))
         parts.clear()
         linked = 0
 
@@ -120,11 +149,12 @@ def lines_of(page: str) -> list[Line]:
         closing, name = tag[1] == "/", tag[2].lower()
         if name in _BLOCKS:
             end_line()
+            headline = not closing and name in _HEADLINES
         if name not in _HOLDERS:
             continue
         if closing:
             if any(name == own for own, _, _, _ in open_holders):
-                before = in_aside()
+                before, of = in_aside(), article
                 if before and name not in _BLOCKS:
                     end_line()
                 while True:
@@ -132,7 +162,7 @@ def lines_of(page: str) -> list[Line]:
                     article = outer
                     if own == name:
                         break
-                if before and not in_aside():
+                if before and not in_aside() or of and not article:
                     gap()
             continue
         if name in ("p", "li"):  # these need no end
@@ -153,6 +183,7 @@ def lines_of(page: str) -> list[Line]:
             container = containers
         open_holders.append((name, aside, article, container))
         if name in _ARTICLES and article == 0:
+            gap()
             articles += 1
             article = articles
     parts.append(page[start:])
@@ -160,33 +191,61 @@ def lines_of(page: str) -> list[Line]:
     return lines
 
 
-def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines between surge and dive points, and what stands beside them; if no window surges, of its highest rise."""
-    weights = [line.weight for line in lines]
-    bodies: list[tuple[int, int, int, int]] = []  # peak, article, first, last
-    first = None
-    for i in range(len(lines) + 1):
+@dataclass
+class Body:
+    """Lines from a surge to the dive after it, and the highest sum of a window among them."""
+
+    first: int
+    last: int
+    peak: int
+
+
+def weights_of(lines: list[Line], marked: int = MARKED) -> list[int]:
+    """What the lines weigh, marks included."""
+    if not any(line.article and line.weight for line in lines):
+        return [line.weight for line in lines]
+    return [line.weight * marked if line.article else line.weight // marked for line in lines]
+
+
+def bodies_of(weights: list[int], window: int) -> list[Body]:
+    bodies: list[Body] = []
+    first, peak = None, 0
+    for i in range(len(weights) + 1):
         here = sum(weights[i : i + window])
-        if first is None and here > 0 and i < len(lines) and weights[i] > 0:
+        if first is None and here > 0 and i < len(weights) and weights[i] > 0:
             first, peak = i, 0
         if first is not None:
             peak = max(peak, here)
             if here == 0:  # a dive: nothing in this window
-                last = max(k for k in range(first, i) if weights[k] > 0)
-                bodies.append((peak, lines[first].article, first, last))
+                bodies.append(Body(first, max(k for k in range(first, i) if weights[k] > 0), peak))
                 first = None
-    if any(article for _, article, _, _ in bodies):
-        kept = [b for b in bodies if b[1]]
-    else:
-        high = [b for b in bodies if b[0] >= surge] or sorted(bodies, key=lambda b: (-b[0], b[2]))[:1]
+    return bodies
+
+
+def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE, marked: int = MARKED) -> list[str]:
+    """The lines between surge and dive points, and what belongs to them; if no window surges, of its highest rise."""
+    weights = weights_of(lines, marked)
+    bodies = bodies_of(weights, window)
+    surging = [b.peak >= surge for b in bodies]
+    if not any(surging) and bodies:
+        surging[max(range(len(bodies)), key=lambda i: (bodies[i].peak, -i))] = True
 
-        def containers(body: tuple[int, int, int, int]) -> set[int]:
-            return {line.container for line in lines[body[2] : body[3] + 1] if line.weight}
+    def held(body: Body) -> list[Line]:
+        return [line for line, weight in zip(lines[body.first : body.last + 1], weights[body.first :]) if weight]
 
-        around = set().union(*map(containers, high))
-        kept = [b for b in bodies if b[0] >= surge or containers(b) & around]
+    high = [line for b, good in zip(bodies, surging) if good for line in held(b)]
+    containers, articles = {line.container for line in high}, {line.article for line in high} - {0}
+    kept: list[Body] = []
+    follows = False
+    for body, good in zip(reversed(bodies), reversed(surging)):
+        own = held(body)
+        good = good or any(line.container in containers or line.article in articles for line in own)
+        good = good or follows and all(line.headline for line in own)
+        follows = good
+        if good:
+            kept.append(body)
     return [
-        line.text for _, _, first, last in kept for line in lines[first : last + 1] if line.text and not line.aside
+        line.text for b in reversed(kept) for line in lines[b.first : b.last + 1] if line.text and not line.aside
     ]
 
 
@@ -206,9 +265,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [main_text(page) for page in batch.column("html").to_pylist()]
-            columns = [batch.column("page_id"), batch.column("url")]
+        for part in by_bytes(batches, "html", HELD):
+            texts = [main_text(page) for page in part.column("html").to_pylist()]
+            columns = [part.column("page_id"), part.column("url")]
             columns += [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
