@@ -110,8 +110,21 @@ def _text(hashes: str) -> Column:
     return F.array_join(F.transform(hashes, lambda x: F.hex(x)), " ")
 
 
+def _places(selected: str) -> Column:
+    """Every selected hash with its position, ``hash@unit``, in order of position."""
+    return F.array_join(
+        F.transform(
+            selected,
+            lambda x: F.concat(
+                F.hex(F.shiftright(x, 32)), F.lit("@"), (F.lit(_LOW) - x.bitwiseAND(F.lit(_LOW))).cast("string")
+            ),
+        ),
+        " ",
+    )
+
+
 def _next_documents(ids: DataFrame) -> DataFrame:
-    """``doc_id, key, cut, short`` of every document with ``next_id, next_key``: its next by descending id.
+    """``doc_id, key, cut, short, times`` of every document with ``next_id, next_key``: its next by descending id.
 
     Only ids move here. They are dealt out by ranges; each range looks ahead
     within itself, and its last one to the first of the next range.
@@ -121,7 +134,7 @@ def _next_documents(ids: DataFrame) -> DataFrame:
     within = Window.partitionBy("part").orderBy(*order)
     this = F.struct(F.col("doc_id").alias("id"), F.col("key").alias("k"))
     seen = ranged.select(
-        "doc_id", "key", "cut", "short", "part", F.lead(this).over(within).alias("ahead"), F.row_number().over(within).alias("place")
+        "doc_id", "key", "cut", "short", "times", "part", F.lead(this).over(within).alias("ahead"), F.row_number().over(within).alias("place")
     )
     # One row per range from here on.
     firsts = seen.filter("place = 1").select("part", this.alias("first"))
@@ -135,7 +148,7 @@ def _next_documents(ids: DataFrame) -> DataFrame:
     )
     ahead = F.coalesce("ahead", "following")
     return seen.join(following, F.col("part") == F.col("its_part")).select(
-        "doc_id", "key", "cut", "short", ahead["id"].alias("next_id"), ahead["k"].alias("next_key")
+        "doc_id", "key", "cut", "short", "times", ahead["id"].alias("next_id"), ahead["k"].alias("next_key")
     )
 
 
@@ -143,35 +156,37 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
     """Every document's fingerprint next to those of its edited text and of the next document.
 
     ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next``. The edited text has its last floor(n_chars / 3) code
+    near_edited, near_next, selected, edited_selected``. The edited text has its last floor(n_chars / 3) code
     points replaced by the first as many (or all) of the next document by
     descending ``doc_id``; after the last comes the first. The two fingerprints
-    are the distinct selected hashes in hexadecimal, in order of position. The
+    are the distinct selected hashes in hexadecimal, in order of position; ``selected``
+    and ``edited_selected`` have every selected hash with its position, counted in units. The
     likeness of two texts is that of their selected hashes or, if one of them is
     short, of all their hashes.
 
     A null text is empty; an empty text has an empty fingerprint and is like
     another empty one. A null ``doc_id`` comes last. Rows that repeat a
-    ``doc_id`` with the same text are one document and give one row; different
+    ``doc_id`` with the same text are one document, with a row for each; different
     texts of one ``doc_id`` follow each other in an order fixed by a hash. A
     single document is its own next one. An empty table gives no rows; other
     columns are neither read nor returned.
     """
     rows = documents.select("doc_id", text_of().alias("text")).withColumn("key", F.xxhash64("text"))
     cut = F.floor(F.length("text") / 3).cast("int")
-    ids = stored(rows.groupBy("doc_id", "key", cut.alias("cut"), is_short("text").alias("short")).count(), "winnow-ids")
-    if not ids.filter("count > 1").isEmpty():
+    named = rows.groupBy("doc_id", "key", cut.alias("cut"), is_short("text").alias("short"))
+    ids = stored(named.agg(F.count(F.lit(1)).alias("times")), "winnow-ids")
+    repeated = not ids.filter("times > 1").isEmpty()
+    if repeated:
         rows = rows.dropDuplicates(["doc_id", "key"])
     order = stored(_next_documents(ids), "winnow-next")
-    # Both uses of this have the same columns under the same names: only so they share one shuffle.
-    marked = with_selected(rows, "text", "selected").select(
-        "doc_id", "key", "text", hashes_of("selected").alias("hashes")
-    )
+    # Only texts move; what is selected of them is found where they arrive. Both uses of this
+    # have the same columns under the same names: only so they share one shuffle.
+    marked = rows.select("doc_id", "key", "text")
     # What each document hands to the one it follows: the piece it needs, and the
     # hashes, all of them if either is short.
-    either_short = F.col("to_short") | is_short("text")
     taker = order.select(
         *[F.col(own).alias(f"to_{to}") for own, to in (("doc_id", "id"), ("key", "key"), ("cut", "cut"), ("short", "short"))],
+        "times",
         "next_id",
         "next_key",
     )
@@ -181,31 +196,42 @@ def edited_fingerprints(documents: DataFrame) -> DataFrame:
         .select(
             "to_id",
             "to_key",
+            "times",
             F.expr("substring(text, 1, to_cut)").alias("piece"),
-            either_short.alias("next_whole"),
-            F.when(either_short, all_hashes("text")).otherwise(F.col("hashes")).alias("next_hashes"),
+            (F.col("to_short") | is_short("text")).alias("next_whole"),
+            F.col("text").alias("handing"),
         )
     )
+    handed = with_selected(handed, "handing", "handed").select(
+        "to_id",
+        "to_key",
+        "times",
+        "piece",
+        "next_whole",
+        F.when(F.col("next_whole"), all_hashes("handing")).otherwise(hashes_of("handed")).alias("next_hashes"),
+    )
     both = marked.join(handed, marked["doc_id"].eqNullSafe(F.col("to_id")) & (marked["key"] == F.col("to_key")))
-    edited = both.select(
-        "doc_id",
-        F.length("text").cast("bigint").alias("n_chars"),
-        "text",
-        "hashes",
-        F.when(F.col("next_whole"), likeness(all_hashes("text"), "next_hashes"))
-        .otherwise(likeness("hashes", "next_hashes"))
-        .alias("near_next"),
-        F.concat(F.expr("substring(text, 1, length(text) - int(floor(length(text) / 3)))"), "piece").alias("edited"),
+    edited = both.withColumn(
+        "edited", F.concat(F.expr("substring(text, 1, length(text) - int(floor(length(text) / 3)))"), "piece")
     )
-    edited = with_selected(edited, "edited", "selected").withColumn("edited_hashes", hashes_of("selected"))
-    return edited.select(
+    picked = with_selected(with_selected(edited, "text", "own"), "edited", "other")
+    picked = picked.withColumn("hashes", hashes_of("own")).withColumn("edited_hashes", hashes_of("other"))
+    result = picked.select(
         "doc_id",
-        "n_chars",
+        F.length("text").cast("bigint").alias("n_chars"),
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         _text("hashes").alias("fingerprint"),
         _text("edited_hashes").alias("edited_fingerprint"),
         F.when(is_short("text") | is_short("edited"), likeness(all_hashes("text"), all_hashes("edited")))
         .otherwise(likeness("hashes", "edited_hashes"))
         .alias("near_edited"),
-        "near_next",
+        F.when(F.col("next_whole"), likeness(all_hashes("text"), "next_hashes"))
+        .otherwise(likeness("hashes", "next_hashes"))
+        .alias("near_next"),
+        _places("own").alias("selected"),
+        _places("other").alias("edited_selected"),
+        "times",
     )
+    if repeated:
+        result = result.withColumn("times", F.explode(F.array_repeat("times", F.col("times").cast("int"))))
+    return result.drop("times")
