@@ -34,8 +34,8 @@ from tripflow.sources.scratch import scratch_path
 
 # Ids of a shard, at least (a document is never split).
 SHARD_IDS = 2_000_000
-# Rounds of replacement, pairs replaced in each, and how often a pair must occur.
-ROUNDS, PAIRS, LEAST = 4, 2048, 8
+# Pairs replaced in a round, and how often a pair must occur. Rounds go on until none does.
+PAIRS, LEAST = 2048, 8
 # The id that ends every document.
 END = 0
 
@@ -54,9 +54,7 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
     """
     symbols = ids.astype(np.uint32)
     left, right, lengths = (np.zeros(0, np.uint32) for _ in range(3))
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
         pair = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
         joins = np.ones(len(pair), bool)
         joins[starts[(starts > 0) & (starts <= len(pair))] - 1] = False
