@@ -18,6 +18,8 @@ from tripflow.llm.common import stored
 
 # What separates the tokens of a URL.
 _BETWEEN = "[^0-9a-z]+"
+# Up to so many tokens of rules are sent to every task that counts them.
+BROADCAST_TOKENS = 100_000
 
 
 @dataclass(frozen=True)
@@ -88,6 +90,11 @@ def _col(name: str | Column) -> Column:
     return F.col(name) if isinstance(name, str) else name
 
 
+def _rows(spark: SparkSession, structs: list[Column]) -> DataFrame:
+    """Literal rows as a table of Spark's own; nothing comes from Python when it runs."""
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def rule_index(spark: SparkSession, places: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """``token, rule, regex, verdict, stated`` with each rule under its rarest token.
 
@@ -95,15 +102,26 @@ def rule_index(spark: SparkSession, places: DataFrame, rules: tuple[Rule, ...])
     tokens that some rule has. A rule without tokens is filed under the empty
     one, which every URL has.
     """
-    listed = spark.createDataFrame(
-        [(r.name, r.regex, list(r.tokens) or [""], r.verdict, r.stated) for r in rules],
-        "rule string, regex string, tokens array<string>, verdict string, stated boolean",
+    columns = ("rule", "regex", "tokens", "verdict", "stated")
+    listed = _rows(
+        spark,
+        [
+            F.struct(
+                *[
+                    (F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v)).alias(c)
+                    for c, v in zip(columns, (r.name, r.regex, list(r.tokens) or [""], r.verdict, r.stated))
+                ]
+            )
+            for r in rules
+        ],
     )
-    # One row per token of the rules, which the driver holds anyway. URLs do not move for it.
-    asked = spark.createDataFrame([(t,) for t in sorted({t for r in rules for t in r.tokens} | {""})], "token string")
+    # One row per token of the rules, which the driver holds anyway. URLs do not move for
+    # it, unless the list is long.
+    tokens = sorted({t for r in rules for t in r.tokens} | {""})
+    asked = _rows(spark, [F.struct(F.lit(t).alias("token")) for t in tokens])
     counts = (
         places.select(F.explode("tokens").alias("token"))
-        .join(F.broadcast(asked), "token", "left_semi")
+        .join(F.broadcast(asked) if len(tokens) <= BROADCAST_TOKENS else asked, "token", "left_semi")
         .groupBy("token")
         .count()
     )
