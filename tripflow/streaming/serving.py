@@ -202,5 +202,6 @@ def _connection(spark: SparkSession, url: str, properties: Mapping[str, str]):
     for key, value in properties.items():
         settings.setProperty(key, value)
     if "driver" in properties:
-        spark._jvm.org.apache.spark.util.Utils.classForName(properties["driver"], True, False)
+        registry = spark._jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry
+        registry.register(properties["driver"])
     return spark._jvm.java.sql.DriverManager.getConnection(url, settings)
