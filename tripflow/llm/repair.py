@@ -252,7 +252,9 @@ def read_document(spark: SparkSession, path: str, doc_id: int) -> list[int]:
     """The ids of one document, expanding nothing but its own symbols."""
     import zstandard
 
-    row = spark.read.schema(SCHEMA).parquet(path).filter(F.array_contains("doc_ids", doc_id)).first()
+    # Shards are in order of their documents, so files that begin after it are skipped by their statistics.
+    shards = spark.read.schema(SCHEMA).parquet(path).filter(F.col("first_id").isNull() | (F.col("first_id") <= doc_id))
+    row = shards.filter(F.array_contains("doc_ids", doc_id)).first()
     i = row.doc_ids.index(doc_id)
     end = row.starts[i + 1] if i + 1 < len(row.starts) else None
     symbols = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(row.symbols)), "<u4")
