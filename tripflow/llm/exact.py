@@ -68,14 +68,7 @@ def exact_groups(documents: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     document listed twice: all count in ``group_size`` and all get the same
     ``kept``. Other columns are neither read nor returned, whatever their names.
     """
-    digests = stored(documents.select("doc_id", sha256().alias("digest")), "exact-digests")
-    winners = stored(
-        digests.join(F.broadcast(frequent_digests(digests, capacity)), "digest")
-        .groupBy("digest")
-        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .filter("group_size > 1"),
-        "exact-winners",
-    )
+    digests, winners = _winners(documents, capacity)
     marked = digests.join(
         F.broadcast(winners.withColumn("heavy", F.lit(True))),
         "digest",
@@ -98,15 +91,36 @@ def exact_groups(documents: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
+def _winners(documents: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, digest`` of every row, and ``digest, keep_id, group_size`` of frequent ones: at most ``capacity`` rows."""
+    digests = stored(documents.select("doc_id", sha256().alias("digest")), "exact-digests")
+    winners = stored(
+        digests.join(F.broadcast(frequent_digests(digests, capacity)), "digest")
+        .groupBy("digest")
+        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .filter("group_size > 1"),
+        "exact-winners",
+    )
+    return digests, winners
+
+
 def drop_exact_copies(documents: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The rows of ``documents`` that ``exact_groups`` keeps, with all their columns."""
+    """The rows of ``documents`` that ``exact_groups`` keeps, with all their columns.
+
+    Copies of frequent texts go where they are read, and their winners stay there;
+    only rows of other digests are shuffled.
+    """
     key, digest, own = (free_name(n, documents) for n in ("keep_key", "keep_digest", "own_digest"))
-    kept = (
-        exact_groups(documents, capacity)
-        .filter("kept")
-        .select(F.col("doc_id").alias(key), F.col("text_sha256").alias(digest))
-        .distinct()
+    digests, winners = _winners(documents, capacity)
+    heavy = winners.select(F.col("digest").alias(digest), F.col("keep_id").alias(key))
+    marked = documents.withColumn(own, sha256()).join(F.broadcast(heavy), F.col(own) == F.col(digest), "left")
+    stays = F.col(digest).isNotNull() & F.col("doc_id").eqNullSafe(F.col(key))
+    light = (
+        digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+        .groupBy("digest")
+        .agg(F.max("doc_id").alias(key))
+        .withColumnRenamed("digest", digest)
     )
-    rows = documents.withColumn(own, sha256())
-    same = F.col(own).eqNullSafe(F.col(digest)) & rows["doc_id"].eqNullSafe(F.col(key))
-    return rows.join(kept, same, "left_semi").drop(own)
+    others = marked.filter(F.col(digest).isNull()).drop(key, digest)
+    same = (F.col(own) == F.col(digest)) & others["doc_id"].eqNullSafe(F.col(key))
+    return marked.filter(stays).drop(key, digest, own).unionByName(others.join(light, same, "left_semi").drop(own))
