@@ -172,13 +172,22 @@ def mixture(documents: DataFrame, seed: int = 0, weights: tuple[int, ...] = WEIG
 
 
 def mix(documents: DataFrame, seed: int = 0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """``documents`` as mixed: each row as often as it is taken, all columns unchanged."""
-    size = free_name("mix_size", documents)
-    taken, names = with_copies(documents.withColumn(size, word_count()), size, seed, weights)
-    copy = free_name("copy", taken)
-    repeated = taken.filter(F.col(names["copies"]) > 0).withColumn(
-        copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(names["copies"])))
+    """``documents`` as mixed: each row as often as it is taken, all columns unchanged.
+
+    Rows are numbered and their words counted once, in a stored table. How often to
+    take each is decided on numbers, sources and sizes alone and joined to the
+    texts at the end.
+    """
+    number, size, copy = (free_name(n, documents) for n in ("mix_number", "mix_size", "mix_copy"))
+    numbered = stored(
+        documents.withColumn(number, F.monotonically_increasing_id()).withColumn(size, word_count()), "mix-documents"
+    )
+    narrow = numbered.select(F.col(number).alias("number"), "doc_id", "source", F.col(size).alias("size"))
+    taken, names = with_copies(narrow, "size", seed, weights)
+    kept = taken.filter(F.col(names["copies"]) > 0).select(
+        F.col("number").alias(copy), F.sequence(F.lit(1).cast("bigint"), names["copies"]).alias(size)
     )
+    repeated = numbered.drop(size).join(kept, F.col(number) == F.col(copy)).withColumn(copy, F.explode(size))
     return repeated.select(*(F.col(f"`{c}`") for c in documents.columns))
 
 
