@@ -70,7 +70,7 @@ def text(row) -> str:
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, sf_dir, name):
     db = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     cursor = db.execute(queries.oracle_sql()[name])
     columns = sorted(d[0] for d in cursor.description)
@@ -169,8 +169,13 @@ def test_edited_fingerprints(odd, none):
         cut, following = len(own) // 3, order[(i + 1) % len(order)][1]
         expected[doc_id] = hashlib.sha256((own[: len(own) - cut] + following[:cut]).encode()).hexdigest()
     assert {(-1 if r.doc_id is None else r.doc_id): r.edited_sha256 for r in found} == expected
-    assert len(found) == len(order)
+    assert len(found) == len(ROWS)  # a repeated row is returned each time
     by_id = {r.doc_id: r for r in found}
+    for r in found:
+        own = [part.split("@") for part in r.selected.split()]
+        assert list(dict.fromkeys(h for h, _ in own)) == r.fingerprint.split()
+        places = [int(p) for _, p in own]
+        assert places == sorted(set(places))
     assert by_id[1].fingerprint == by_id[2].fingerprint and by_id[4].fingerprint == ""
     assert by_id[4].near_next == 1.0 and by_id[2].near_next == 1.0
     assert winnow.edited_fingerprints(none).count() == 0
@@ -311,14 +316,84 @@ def test_near_duplicates_on_awkward_rows(odd, none):
     assert neardup.near_duplicates(none).count() == 0
 
 
-def test_crowded_regions_keep_every_pair(spark, monkeypatch):
-    for name in ("CROWDED", "BLOCK"):
-        monkeypatch.setattr(neardup, name, 8, raising=False)
-    # Of all values only the first three are shared, so one tree alone brings these sets together.
-    rows = [(i, 100, [7, 7, 7] + [1000 * i + j for j in range(neardup.VALUES - 3)], 5, 6, [3] * 16, i, i % 50) for i in range(60)]
-    schema = "rep bigint, n_shingles bigint, signature array<int>, s0 bigint, s1 bigint, odd array<bigint>, component bigint, reach bigint"
-    found = neardup._possible_pairs(spark.createDataFrame(rows, schema), 80).collect()
-    assert sorted((r.a, r.b) for r in found) == [(a, b) for a in range(60) for b in range(a + 1, 60)]
+@pytest.mark.parametrize("depth", [1, 2])
+def test_crowded_regions_keep_every_pair(spark, monkeypatch, depth):
+    """Sets that share the regions of the first levels only, and then those of the last one, dealt into blocks."""
+    for name in ("CROWD", "BLOCK"):
+        monkeypatch.setattr(neardup, name, 8)
+    asked = []
+
+    def signature(level: int, i: int) -> list[int]:
+        size = neardup.LEVELS[level][0] * neardup.LEVELS[level][1]
+        # Of all values only those of the first tree are shared, so it alone brings these sets together.
+        shared = neardup.LEVELS[level][0] if level < depth else 0
+        return [7] * shared + [1000 * i + j for j in range(size - shared)]
+
+    def values(onward, level):
+        asked.append(level)
+        rows = [(r.rep, signature(level, r.rep)) for r in onward.collect()]
+        return spark.createDataFrame(rows, "id bigint, signature array<int>")
+
+    rows = [(i, 100, signature(0, i), 5, 6, [3] * 16, i % 50) for i in range(60)]
+    schema = "rep bigint, n_shingles bigint, signature array<int>, s0 bigint, s1 bigint, odd array<bigint>, component bigint"
+    found = neardup._possible_pairs(spark.createDataFrame(rows, schema), 80, values).collect()
+    different = [(a, b) for a in range(60) for b in range(a + 1, 60) if a % 50 != b % 50]
+    assert asked == [1] and len(neardup.LEVELS) == 2
+    assert sorted((r.a, r.b) for r in found) == (different if depth == 2 else [])
+
+
+def test_a_large_component_is_only_met_by_what_lies_outside(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CROWD", 5)
+    size = neardup.VALUES
+    rows = [(i, 100, [7] * size, 5, 6, [3] * 16, 0 if i < 40 else i) for i in range(44)]
+    schema = "rep bigint, n_shingles bigint, signature array<int>, s0 bigint, s1 bigint, odd array<bigint>, component bigint"
+    found = neardup._possible_pairs(spark.createDataFrame(rows, schema), 80, lambda *_: 1 / 0).collect()
+    assert sorted((r.a, r.b) for r in found) == [(a, b) for a in range(44) for b in range(max(40, a + 1), 44)]
+
+
+def test_neighbours_with_the_longest_prefix_come_first(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "DRAWN", 0)
+    monkeypatch.setattr(neardup, "ALIKE", 1)
+    # All in one region of every tree; beyond it 1 and 2 go on alike, 3 and 4 do so, too.
+    base = list(range(neardup.VALUES))
+    rows = []
+    for rep, kind in ((1, 0), (2, 0), (3, 1), (4, 1)):
+        own = [v if j < neardup.DEPTH or kind == 0 else v + 10_000 for j, v in enumerate(base)]
+        rows.append((rep, own, 5, 6))
+    found = neardup._neighbour_pairs(spark.createDataFrame(rows, "rep bigint, signature array<int>, s0 bigint, s1 bigint"))
+    assert {(r.a, r.b) for r in found.collect()} == {(1, 2), (3, 4)}
+
+
+@pytest.mark.parametrize("crowd", [256, 4])
+def test_near_duplicates_of_the_given_table(spark, sf_dir, monkeypatch, crowd):
+    """Every link of brute force is found, also where nearly every region is crowded."""
+    monkeypatch.setattr(neardup, "CROWD", crowd)
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in documents.collect()]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(documents, words=2).collect()}
+    assert found == brute_components(rows, 2)
+
+
+def test_large_ids_and_documents_listed_again(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(1000)}" for _ in range(60)]
+    rows = []
+    for i in range(6):
+        own = [*base[:-2], f"x{i}", f"y{i}"]
+        rows += [(2**62 + i, " ".join(own))] * (150 if i < 2 else 1)
+    rows += [(2**63 - 1, "another text of its own"), (-(2**63), "and one more")]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=2).collect()
+    assert len(found) == len(rows)
+    assert {r.component_id for r in found if 0 < r.doc_id < 2**63 - 1} == {2**62}
+    assert {r.component_id for r in found if not 0 < r.doc_id < 2**63 - 1} == {2**63 - 1, -(2**63)}
+
+
+def test_one_document_with_two_texts_is_linked_by_either(spark):
+    rng = random.Random(9)
+    one, two = ([f"w{rng.randrange(1000)}" for _ in range(50)] for _ in range(2))
+    rows = [(5, " ".join(one)), (5, " ".join(two)), (7, " ".join(one[:-1])), (8, " ".join(two[:-1])), (None, " ".join(one))]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=2).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(5, 5), (7, 5), (8, 5), (None, 5)}
 
 
 def test_parity_never_rules_out_a_link():
@@ -337,6 +412,14 @@ def test_components(spark):
     assert {r.node: r.component for r in found.collect()} == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_components_of_large_ids(spark):
+    ids = [2**62 + 3 * i for i in range(8)]
+    links = list(zip(ids, ids[1:])) + [(-(2**63), 2**63 - 1)]
+    found = components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    expected = {i: ids[0] for i in ids} | {-(2**63): -(2**63), 2**63 - 1: -(2**63)}
+    assert {r.node: r.component for r in found} == expected
+
+
 # --- toxicity, pseudo-likelihood
 
 
@@ -348,6 +431,37 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
     assert np.mean([b > g for b in bad for g in good]) > 0.8  # 225 labels to learn from
 
 
+def test_ftrl_step_by_step():
+    """The fitted weights against the update rule written out for one coordinate at a time."""
+    texts = ["bad bad word here", "a good word", "", "bad things", "good good things here", "no words that count"] * 3
+    labels = [1, 0, 0, 1, 0, 1] * 3
+    settings = toxicity.Settings(alpha=0.5, beta=0.7, l1=0.2, l2=0.3, passes=3)
+    hashes = toxicity.WordHashes()
+    sets = [sorted(set(toxicity.features([t], hashes)[1].tolist())) for t in texts]
+    z, n, bias = {}, {}, [0.0, 0.0]
+
+    def weight(zi, ni, l1):
+        if abs(zi) <= l1:
+            return 0.0
+        return -(zi - np.sign(zi) * l1) / ((settings.beta + ni**0.5) / settings.alpha + settings.l2)
+
+    for number in range(settings.passes):
+        for i in np.random.default_rng(number).permutation(len(texts)):
+            w = {c: weight(z.get(c, 0.0), n.get(c, 0.0), settings.l1) for c in sets[i]}
+            b = weight(*bias, 0.0)
+            g = 1 / (1 + np.exp(-(sum(w.values()) + b))) - labels[i]
+            for c in sets[i]:
+                old = n.get(c, 0.0)
+                z[c] = z.get(c, 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / settings.alpha * w[c]
+                n[c] = old + g * g
+            bias[0] += g - ((bias[1] + g * g) ** 0.5 - bias[1] ** 0.5) / settings.alpha * b
+            bias[1] += g * g
+    expected = {c: w for c in z if (w := weight(z[c], n[c], settings.l1))}
+    at, w, b = toxicity.fit(texts, labels, settings)
+    assert expected and dict(zip(at.tolist(), w)) == pytest.approx(expected)
+    assert b == pytest.approx(weight(*bias, 0.0))
+
+
 def test_toxicity_on_awkward_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, None), (None, 1, 1), (10, 1, 0), (999, 0, 1)], "doc_id bigint, quality int, toxic int")
     found = toxicity.toxicity(odd, labels).collect()
@@ -440,6 +554,69 @@ def test_short_bodies_beside_long_ones_are_kept():
     assert html_text.main_text(two) == f"{long.strip()}\nShort one."
 
 
+LONG_TEXT = "A long sentence of text. " * 9
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        # a class that only contains the word of a page part marks nothing
+        (
+            f"<article><div class=article-header><h1>Title</h1></div><p>{LONG_TEXT}</article>",
+            f"Title\n{LONG_TEXT.strip()}",
+        ),
+        (
+            f"<div class='page with-sidebar'><nav>Menu</nav><div><p>{LONG_TEXT}</div></div>",
+            LONG_TEXT.strip(),
+        ),
+        (
+            f"<article><p>{LONG_TEXT}<div class=related-work><h2>Others</h2><p>Said it.</div></article>",
+            f"{LONG_TEXT.strip()}\nOthers\nSaid it.",
+        ),
+        # a headline in a container of its own, cut off by a notice
+        (
+            f"<div class=top><h1>Title</h1></div><div class=ad>Buy</div><div class=text><p>{LONG_TEXT}</div>",
+            f"Title\n{LONG_TEXT.strip()}",
+        ),
+        # parts of the page by the beginning or the end of their class
+        (
+            f"<div class=site-header>Site</div><div>{LONG_TEXT}</div><div class=comment-list><p>{LONG_TEXT}</div>",
+            LONG_TEXT.strip(),
+        ),
+        # a mark alone neither keeps nor drops: the text stands beside the article
+        (
+            f"<article><a href=x>Teaser</a></article><div><p>{LONG_TEXT * 9}</div>",
+            (LONG_TEXT * 9).strip(),
+        ),
+        (
+            f"<div><p>Some words beside it, more than enough to surge on a page without any mark at all.</div>"
+            f"<br><br><br><article><p>{LONG_TEXT}</article>",
+            LONG_TEXT.strip(),
+        ),
+    ],
+)
+def test_surge_and_dive_decide(page, expected):
+    assert html_text.main_text(page) == expected
+
+
+def test_the_window_changes_the_result():
+    """Three short lines surge together; two links between lines are a dive for a window of two only."""
+    short = "<p>" + "<p>".join(["Thirty characters of text here"] * 3)
+    lines = html_text.lines_of(f"<div>{short}</div><div><a href=x>one</a></div><div><a href=y>two</a></div><b>End.</b>")
+    wide, narrow = (html_text.main_lines(lines, window=w) for w in (3, 1))
+    assert wide[-1] == "End." and len(wide) == 6
+    assert narrow != wide
+    article = f"<article><p>{'Word ' * 4}</p><a href=x>x</a><p>{'Word ' * 400}</p></article>"
+    marked = html_text.lines_of(article + f"<hr><hr><div>{'Beside ' * 12}</div>")
+    assert html_text.main_lines(marked, window=2)[:2] == html_text.main_lines(marked, window=2, surge=10**6)[:2]
+    assert html_text.main_lines(marked, marked=1) != html_text.main_lines(marked)
+
+
+def test_an_empty_table_of_pages(spark):
+    none = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert html_text.extract(none).count() == 0
+
+
 def test_pages_on_awkward_rows(spark):
     rows = [(None, None, None, "x"), (1 << 60, "u", "<p>text", "x"), (1, "u", "<p>" + LONG, "x"), (1, "u", "<p", "x")]
     found = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string"))

@@ -52,9 +52,15 @@ def _moved(rows: DataFrame, column: str, parents: DataFrame) -> DataFrame:
 def _flat(parents: DataFrame) -> DataFrame:
     """Parents replaced by their roots, doubling the distance covered each time."""
     while True:
-        jumped = stored(_moved(parents, "parent", parents), "component-parents")
-        changed = jumped.select(F.sum("parent").alias("s")).first().s != parents.select(F.sum("parent").alias("s")).first().s
+        above = parents.select(F.col("node").alias("known"), F.col("parent").alias("known_parent"))
+        further = F.coalesce("known_parent", "parent")
+        jumped = stored(
+            parents.join(above, F.col("parent") == F.col("known"), "left").select(
+                "node", further.alias("parent"), (further != F.col("parent")).alias("moved")
+            ),
+            "component-parents",
+        )
         drop_stored(parents)
-        parents = jumped
-        if not changed:
+        parents = jumped.select("node", "parent")
+        if jumped.filter("moved").isEmpty():
             return parents
