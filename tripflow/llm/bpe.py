@@ -31,9 +31,9 @@ from tripflow.llm.common import text_of
 # Distinct pieces a task remembers with their tokens; beyond that it starts anew.
 KEPT = 300_000
 # Token positions decoded by one query.
-DECODED = 2_000_000
+DECODED = 1_000_000
 # Pieces of texts handled at a time.
-PIECES = 1_500_000
+PIECES = 500_000
 # Distinct pieces encoded by one recursive query.
 ENCODED = 20_000
 
@@ -303,6 +303,7 @@ def _per_document(documents: DataFrame, path: str, pattern: str, schema: str, re
         duck = DuckBpe(tokens.value)
         encoder = PieceEncoder(duck.encode, duck.decode)
         for batch in batches:
+            pa.default_memory_pool().release_unused()
             n_pieces = np.diff(batch.column("pieces").offsets.to_numpy())
             for start, end in slices(n_pieces, PIECES):
                 rows = batch.slice(start, end - start)

@@ -55,9 +55,11 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Itera
     """The rows of ``batches`` in parts whose values of ``column`` hold up to ``most`` bytes together, or one row.
 
     Spark cuts batches by rows. Parts share the memory of their batch, so what is made of them
-    in Python is bounded by their bytes, however long the values of a batch are.
+    in Python is bounded by their bytes, however long the values of a batch are. Memory of batches
+    that are done goes back to the system: a worker lives on for other tasks.
     """
     for batch in batches:
+        pa.default_memory_pool().release_unused()
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         reached = np.cumsum(sizes, dtype=np.int64)
         start = 0
