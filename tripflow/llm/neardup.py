@@ -350,7 +350,7 @@ def _matching(members: DataFrame, main: DataFrame, judged: DataFrame, similar: i
     placed = members.join(main, "region", "left").select(
         "region", "rep", F.col("component").eqNullSafe(F.col("main")).alias("inside")
     )
-    sketched = placed.join(judged, "rep")
+    sketched = placed.join(_shared(members), "rep").join(judged, "rep")
     once = F.col("x.inside") | (F.col("x.rep") < F.col("y.rep"))
     return _judged(sketched, sketched.filter("NOT inside"), (F.col("x.region") == F.col("y.region")) & once, similar)
 
@@ -366,13 +366,22 @@ def _in_blocks(members: DataFrame, judged: DataFrame, similar: int) -> DataFrame
     )
     met = met.select(
         "region", "rep", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    ).join(judged, "rep")
+    )
+    met = met.join(_shared(members), "rep").join(judged, "rep")
     same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("region", "low", "high")]
     # Sets of one block meet where it stands alone.
     once = (F.col("x.block") != F.col("y.block")) | (F.col("x.low") == F.col("x.high"))
     return _judged(met, met, same[0] & same[1] & same[2] & once & (F.col("x.rep") < F.col("y.rep")), similar)
 
 
+def _shared(members: DataFrame) -> DataFrame:
+    """``rep, shared``: the regions each set is compared in, one per tree at most.
+
+    A pair that shares several is told in the least of them only.
+    """
+    return members.groupBy("rep").agg(F.collect_set("region").alias("shared"))
+
+
 def _judged(left: DataFrame, right: DataFrame, together: Column, similar: int) -> DataFrame:
     """Pairs of rows that components, sizes, sketches and parity leave possible."""
     smaller, larger = (f("x.n_shingles", "y.n_shingles") for f in (F.least, F.greatest))
@@ -383,6 +392,7 @@ def _judged(left: DataFrame, right: DataFrame, together: Column, similar: int) -
         & (smaller * 100 >= larger * similar)
         & (_agreement("x", "y") >= AGREE)
         & (differ * (100 + similar) <= (smaller + larger) * (100 - similar))
+        & (F.col("x.region") == F.array_min(F.array_intersect("x.shared", "y.shared")))
     )
     return left.alias("x").join(right.alias("y"), may).select(
         F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
