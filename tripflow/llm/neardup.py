@@ -37,7 +37,7 @@ from tripflow.llm.components import components
 # Words per shingle and similarity in percent, unless told otherwise.
 WORDS, SIMILAR = 5, 80
 # Prefix length and trees of each level; a deeper one is for the sets of crowded regions.
-LEVELS = ((3, 24), (8, 95))
+LEVELS = ((3, 24), (6, 56))
 # Sets outside the largest component of a region from which on it is crowded; and the
 # sets of a block, where a region of the last level is.
 CROWD, BLOCK = 256, 4096
