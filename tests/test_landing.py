@@ -4,10 +4,23 @@ from __future__ import annotations
 
 import hashlib
 import os
+import shutil
 
+import duckdb
 import pytest
 
-from tripflow.sources import LandingError, file_blocks, hash_trees, land_files, landing, repair_copy, require_match, verify_copy
+import __spark_entry__ as registry
+from tripflow.sources import (
+    LandingError,
+    by_dataset,
+    file_blocks,
+    hash_trees,
+    land_files,
+    landing,
+    repair_copy,
+    require_match,
+    verify_copy,
+)
 
 
 @pytest.fixture
@@ -138,3 +151,41 @@ def test_hash_trees_tell_files_apart(spark, source, tmp_path):
         assert roots[name] == (len(c), len(blocks), hashlib.md5(joined.encode()).hexdigest())
     same = hash_trees(file_blocks(spark, str(tmp_path / "landed"), 1000))
     assert {r.file: r.root for r in same.collect()} == {name: v[2] for name, v in roots.items()}
+
+
+def test_a_folder_counts_as_one_dataset(spark, source, tmp_path):
+    root, contents = source
+    landed = tmp_path / "landed"
+    land_files(spark, root, str(landed))
+    top = sum(len(c) for name, c in contents.items() if name.startswith("top/"))
+    rows = {r.file: r for r in by_dataset(verify_copy(spark, root, str(landed))).collect()}
+    assert rows.keys() == {"big.bin", "exact.bin", "small.bin", "empty.bin", "top"}
+    assert {r.status for r in rows.values()} == {"match"}
+    assert (rows["top"].files, rows["top"].source_length, rows["top"].landed_length) == (15, top, top)
+    # One file of many is enough, whether it is lost, damaged or too much.
+    first = next(name for name in contents if name.startswith("top/"))
+    for change in ("lost", "damaged", "extra"):
+        again = tmp_path / change
+        shutil.copytree(landed, again)
+        if change == "lost":
+            (again / first).unlink()
+        else:
+            (again / (first if change == "damaged" else "top/new.bin")).write_bytes(b"?")
+        status = {r.file: r.status for r in by_dataset(verify_copy(spark, root, str(again))).collect()}
+        assert status.pop("top") == "mismatch" and set(status.values()) == {"match"}
+    shutil.copytree(landed, tmp_path / "gone", ignore=shutil.ignore_patterns("top"))
+    status = {r.file: r.status for r in by_dataset(verify_copy(spark, root, str(tmp_path / "gone"))).collect()}
+    assert status["top"] == "missing"
+
+
+def test_registered_verify_copy_takes_tables_that_are_folders(spark, sf_dir, tmp_path):
+    root = tmp_path / "tables"
+    shutil.copytree(sf_dir, root, copy_function=shutil.copyfile)
+    root.chmod(0o755)
+    for name in ("documents", "lineitem"):
+        (root / f"{name}.parquet").unlink()
+        given = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        given.repartition(3).write.parquet(f"{root}/{name}.parquet")
+    found = registry.trip_queries()["verify_copy"](spark, str(root))
+    expected = duckdb.execute(registry.trip_oracle_sql()["verify_copy"]).fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(expected)

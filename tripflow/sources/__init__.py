@@ -5,6 +5,7 @@ from tripflow.sources.footers import merged_schema, read_footers
 from tripflow.sources.jdbc import load_jdbc, read_jdbc, time_slices
 from tripflow.sources.landing import (
     LandingError,
+    by_dataset,
     file_blocks,
     file_checksums,
     hash_trees,
@@ -25,6 +26,7 @@ from tripflow.sources.zones import (
 
 __all__ = [
     "LandingError",
+    "by_dataset",
     "file_blocks",
     "file_checksums",
     "hash_trees",

@@ -176,6 +176,25 @@ def verify_copy(
     )
 
 
+def by_dataset(verified: DataFrame) -> DataFrame:
+    """Rows of ``verify_copy`` by what stands at the top of the root: a single file, or a folder as one dataset.
+
+    ``file`` is its name; ``status`` is that of all its files, ``mismatch`` where they differ in it.
+    """
+    return (
+        verified.groupBy(F.substring_index("file", "/", 1).alias("file"))
+        .agg(
+            F.sum("source_length").alias("source_length"),
+            F.sum("landed_length").alias("landed_length"),
+            F.count(F.lit(1)).alias("files"),
+            F.min("status").alias("status"),
+            (F.min("status") != F.max("status")).alias("mixed"),
+        )
+        .withColumn("status", F.when(F.col("mixed"), "mismatch").otherwise(F.col("status")))
+        .drop("mixed")
+    )
+
+
 def hash_trees(manifest: DataFrame) -> DataFrame:
     """``file``, ``length``, ``blocks`` and ``root``: one digest over the digests of each file's blocks.
 
