@@ -265,6 +265,49 @@ def test_grammar_round_trip():
     assert all(lengths[i] == len(repair.expand(np.array([10 + i]), left, right, 10)) for i in range(len(left)))
 
 
+def test_grammar_counts_each_pair_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [rng.integers(0, 40, rng.integers(3, 9)) for _ in range(60)]
+    ids = np.concatenate([words[i] for i in rng.zipf(1.3, 8000) % 60]).astype(np.int32)
+    starts = np.arange(0, len(ids), 700)
+    counted, rounds = [], []
+    frequent, most = repair._frequent, repair._most
+    monkeypatch.setattr(repair, "_frequent", lambda a, b: counted.append(len(a)) or frequent(a, b))
+    monkeypatch.setattr(repair, "_most", lambda keys, counts: rounds.append(1) or most(keys, counts))
+    monkeypatch.setattr(repair, "PAIRS", 4)
+    left, right, _, symbols, _ = repair.compress(ids, starts, 40)
+    # A replacement makes two new pairs at most, however many rounds there are.
+    assert len(rounds) > 20 and sum(counted) <= len(ids) + 2 * (len(ids) - len(symbols))
+    # The rules are those of counting everything anew in every round.
+    sequences = [x.tolist() for x in np.split(ids, starts[1:])]
+    rules = []
+    while True:
+        counts = Counter(p for x in sequences for p in zip(x, x[1:]))
+        often = sorted((p for p in counts if counts[p] >= repair.LEAST), key=lambda p: (-counts[p], p))[:4]
+        if not often:
+            break
+        new = {p: 40 + len(rules) + i for i, p in enumerate(sorted(often))}
+        rules += sorted(often)
+        for x in sequences:
+            i = 0
+            while i < len(x) - 1:
+                if (x[i], x[i + 1]) in new:
+                    x[i : i + 2] = [new[x[i], x[i + 1]]]
+                i += 1
+    assert rules == list(zip(left.tolist(), right.tolist()))
+    assert [i for x in sequences for i in x] == symbols.tolist()
+
+
+def test_distinct_pieces_go_to_the_library_together(reference_ids):
+    pieces = ["a" * 700, "zzzqqq", " naïve", "日本語テキスト", "\x00\x01", "<|endoftext|>", " ", "aaab" * 9, "I", "'s"] * 3
+    with open(JSON, encoding="utf-8") as file:
+        encode = repair._encode(file.read())
+    ids, sizes = encode([p.encode() for p in pieces])
+    own = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert [x for x, p in zip(own, pieces) if p[0] != "<"] == [reference_ids(p) for p in pieces if p[0] != "<"]
+    assert [x for x, p in zip(own, pieces) if p[0] == "<"] == [[50256]] * 3 and encode([])[0].size == 0
+
+
 # --- near duplicates
 
 

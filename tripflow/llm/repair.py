@@ -21,14 +21,15 @@ them appear complete or not at all, on any storage:
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.bpe import PieceEncoder, pieces_of, slices
+from tripflow.llm.bpe import PieceEncoder, pieces_of, slices, spread
 from tripflow.llm.common import text_of
 from tripflow.sources.scratch import scratch_path
 
@@ -51,48 +52,104 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
 
     ``base`` is above every id. No pair reaches from one document into the next.
     Within a round, of pairs that overlap the leftmost is replaced.
+
+    A pair of symbols never becomes more frequent once both are there: what a round makes
+    new holds one of its rules. So pairs are counted once, a round looks at the places of
+    the pairs it replaces and at their neighbours, and rarer pairs are never seen again.
     """
-    symbols = ids.astype(np.uint32)
-    left, right, lengths = (np.zeros(0, np.uint32) for _ in range(3))
-    while len(symbols) > 1:
-        pair = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        joins = np.ones(len(pair), bool)
-        joins[starts[(starts > 0) & (starts <= len(pair))] - 1] = False
-        kinds, counts = _counted(pair[joins])
-        often = np.flatnonzero(counts >= LEAST)
-        if len(often) > PAIRS:
-            often = often[np.argsort(-counts[often], kind="stable")[:PAIRS]]
+    n = len(ids)
+    small = np.int32 if n < 1 << 30 else np.int64
+    symbols = np.append(ids.astype(small), small(0))
+    # Neighbours within the document; place ``n`` stands for none.
+    after, before = np.arange(1, n + 2, dtype=small), np.arange(-1, n, dtype=small)
+    before[0] = n
+    firsts = starts[(starts > 0) & (starts < n)]
+    after[firsts - 1], before[firsts] = n, n
+    after[n] = before[n] = n
+    # Of every pair that is or was frequent: its key, how often it is there now, and the places
+    # that began with it when it was counted. ``kind``: the pair that begins at a place.
+    keys, counts, begins, sizes = (np.zeros(0, np.int64) for _ in range(4))
+    places, taken = np.zeros(2 * n, small), 0
+    kind = np.full(n + 1, -1, small)
+    left, right = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    changed = np.arange(n, dtype=small)
+    while True:
+        at = changed[after[changed] < n]
+        kind[changed] = -1
+        found, ordered, first, times = _frequent(symbols[at], symbols[after[at]])
+        at = at[ordered]
+        kind[at] = np.repeat(np.arange(len(keys), len(keys) + len(found), dtype=small), times)
+        begins, sizes = np.append(begins, taken + first), np.append(sizes, times)
+        if taken + len(at) > len(places):
+            places = np.append(places, np.zeros(len(places) + len(at), small))
+        places[taken : taken + len(at)] = at
+        taken += len(at)
+        keys, counts = np.append(keys, found), np.append(counts, times)
+        often = _most(keys, counts)
         if not len(often):
             break
-        chosen = np.sort(kinds[often])
+        often = often[np.argsort(keys[often])]
         first_rule = base + len(left)
-        left = np.append(left, (chosen >> np.uint64(32)).astype(np.uint32))
-        right = np.append(right, (chosen & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-        # Only places whose two halves occur in chosen pairs are looked up.
-        flags = np.zeros((2, first_rule), bool)
-        flags[0, left[-len(chosen) :]] = flags[1, right[-len(chosen) :]] = True
-        at = np.flatnonzero(joins & flags[0, symbols[:-1]] & flags[1, symbols[1:]])
-        rule = np.searchsorted(chosen, pair[at])
-        good = chosen[np.minimum(rule, len(chosen) - 1)] == pair[at]
-        at, rule = at[good], rule[good]
+        left, right = np.append(left, keys[often] >> 32), np.append(right, keys[often] & 0xFFFFFFFF)
+        at = places[spread(begins[often], sizes[often])]
+        rule = np.repeat(np.arange(len(often)), sizes[often])
+        there = kind[at] == often[rule]
+        at, rule = np.divmod(np.sort(at[there].astype(np.int64) * len(often) + rule[there]), len(often))
         # In a run of overlapping pairs every second one, from the leftmost on, is replaced.
-        opens = np.append(True, np.diff(at) != 1)
+        opens = np.append(True, after[at[:-1]] != at[1:])
         place = np.arange(len(at)) - np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
         at, rule = at[place % 2 == 0], rule[place % 2 == 0]
+        gone = after[at]
         symbols[at] = first_rule + rule
-        stay = np.ones(len(symbols), bool)
-        stay[at + 1] = False
-        starts = (np.cumsum(stay) - 1)[np.minimum(starts, len(symbols) - 1)]
-        symbols = symbols[stay]
-    known = np.ones(base, np.int64)
-    lengths = _expanded(left, right, known)
-    return left, right, lengths, symbols, starts
-
-
-def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    ordered = np.sort(pairs)
-    cuts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
-    return ordered[cuts], np.diff(np.append(cuts, len(ordered)))
+        after[at] = after[gone]
+        before[after[at]] = at
+        before[n] = n
+        symbols[gone] = -1
+        # Pairs that are no longer there: the replaced ones, and those that began or ended at them.
+        ahead = before[at]
+        ahead = ahead[(ahead < n) & (symbols[ahead] < first_rule)]
+        changed = np.concatenate([at, ahead])
+        was = kind[np.concatenate([changed, gone])]
+        counts -= np.bincount(was[was >= 0], minlength=len(counts))
+        kind[gone] = -1
+    stay = symbols[:n] >= 0
+    lengths = _expanded(left, right, np.ones(base, np.int64))
+    if len(left):
+        starts = (np.cumsum(stay) - 1)[np.minimum(starts, n - 1)]
+    return left.astype(np.uint32), right.astype(np.uint32), lengths, symbols[:n][stay].astype(np.uint32), starts
+
+
+def _frequent(lefts: np.ndarray, rights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that occur ``LEAST`` times; where, pair by pair; where in that each begins; and how often each occurs."""
+    symbol_bits = int(max(lefts.max(initial=0), rights.max(initial=0))).bit_length()
+    place_bits = len(lefts).bit_length()
+    lefts = lefts.astype(np.int64)
+    if 2 * symbol_bits + place_bits < 64:
+        # Pair and place in one number: sorting numbers is far quicker than sorting places by them.
+        pairs = (lefts << symbol_bits | rights) << place_bits | np.arange(len(lefts))
+        pairs.sort()
+        order = (pairs & ((1 << place_bits) - 1)).astype(np.int32 if place_bits < 31 else np.int64)
+        pairs >>= place_bits
+    else:
+        symbol_bits = 32
+        pairs = lefts << 32 | rights
+        order = np.argsort(pairs, kind="stable")
+        pairs = pairs[order]
+    cuts = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else np.zeros(0, np.int64)
+    times = np.diff(np.append(cuts, len(pairs)))
+    cuts, times = cuts[times >= LEAST], times[times >= LEAST]
+    found = (pairs[cuts] >> symbol_bits) << 32 | pairs[cuts] & ((1 << symbol_bits) - 1)
+    return found, order[spread(cuts, times)], np.cumsum(times) - times, times
+
+
+def _most(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The up to ``PAIRS`` most frequent pairs that occur ``LEAST`` times; of equally frequent ones the least keys."""
+    often = np.flatnonzero(counts >= LEAST)
+    if len(often) <= PAIRS:
+        return often
+    least = np.partition(counts[often], len(often) - PAIRS)[len(often) - PAIRS]
+    more, same = often[counts[often] > least], often[counts[often] == least]
+    return np.concatenate([more, same[np.argsort(keys[same])[: PAIRS - len(more)]]])
 
 
 def _expanded(left: np.ndarray, right: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -104,43 +161,80 @@ def _expanded(left: np.ndarray, right: np.ndarray, known: np.ndarray) -> np.ndar
     return lengths[base:]
 
 
-def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
-    """The ids a sequence stands for; any part of a shard's symbols can be given."""
-    symbols = symbols.astype(np.int64)
+def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids a sequence stands for; any part of a shard's symbols can be given.
+
+    The rules that occur are expanded once, each after those it refers to, and looked up.
+    ``lengths``: what each rule expands to, if known.
+    """
     left, right = np.asarray(left, np.int64), np.asarray(right, np.int64)
-    while True:
-        rule = symbols >= base
-        if not rule.any():
-            return symbols
-        width = 1 + rule
-        ends = np.cumsum(width)
-        out = np.empty(ends[-1], np.int64)
-        out[ends - width] = np.where(rule, left[np.where(rule, symbols - base, 0)] if len(left) else 0, symbols)
-        out[ends[rule] - 1] = right[symbols[rule] - base]
-        symbols = out
+    lengths = np.asarray(_expanded(left, right, np.ones(base, np.int64)) if lengths is None else lengths, np.int64)
+    needed = np.zeros(len(left), bool)
+    new = np.unique(symbols[symbols >= base].astype(np.int64)) - base
+    while len(new):
+        needed[new] = True
+        parts = np.concatenate([left[new], right[new]])
+        parts = np.unique(parts[parts >= base]) - base
+        new = parts[~needed[parts]]
+    # An id stands for itself, a rule for a part of ``flat`` behind the ids.
+    sizes = np.concatenate([np.ones(base, np.int64), np.where(needed, lengths, 0)])
+    begins = np.cumsum(sizes) - sizes
+    flat = np.zeros(int(sizes.sum()), np.int64)
+    flat[:base] = np.arange(base)
+    known = np.append(np.ones(base, bool), ~needed)
+    todo = np.flatnonzero(needed)
+    while len(todo):
+        ready = known[left[todo]] & known[right[todo]]
+        now, todo = todo[ready], todo[~ready]
+        for part, begin in ((left[now], begins[base + now]), (right[now], begins[base + now] + sizes[left[now]])):
+            flat[spread(begin, sizes[part])] = flat[spread(begins[part], sizes[part])]
+        known[base + now] = True
+    symbols = symbols.astype(np.int64)
+    return flat[spread(begins[symbols], sizes[symbols])]
 
 
-def _shards(tokenizer_json: str, base: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
+@cache
+def _encode(tokenizer_json: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+    """The library's ids of a list of pieces in a row, and their number per piece; made once in a worker.
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import zstandard
-        from tokenizers import Tokenizer
+    Pieces go to the library many at a time, as words cut already: it encodes each by itself and
+    gives back one sequence. A byte-level token stands for as many bytes as it has characters, so
+    the ids of a piece are those that make up its bytes.
+    """
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    held = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        held[i] = len(token)
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        held[i] = len(token.content.encode())
+
+    def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        parts = []
+        for start in range(0, len(pieces), 10_000):
+            words = [p.decode() for p in pieces[start : start + 10_000]]
+            (found,) = tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)
+            parts.append(np.array(found.ids, np.int32))
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        reached = np.cumsum(held[flat])
+        upto = np.searchsorted(reached, ends, "right")
+        if len(pieces) and not np.array_equal(np.append(0, reached)[upto], ends):
+            raise ValueError("the tokenizer's ids do not make up the bytes of the pieces")
+        return flat, np.diff(upto, prepend=0)
+
+    return encode
 
-        tokenizer = Tokenizer.from_str(tokenizer_json)
 
-        def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            flat, sizes = [], []
-            for start in range(0, len(pieces), 10_000):
-                found = tokenizer.encode_batch_fast(
-                    [p.decode() for p in pieces[start : start + 10_000]], add_special_tokens=False
-                )
-                own = [e.ids for e in found]
-                sizes += map(len, own)
-                flat += [i for ids in own for i in ids]
-            return np.array(flat, np.int32), np.array(sizes, np.int64)
+def _shards(tokenizer_json: str, base: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
 
+        encode = _encode(tokenizer_json)
         encoder = PieceEncoder(encode)
         pack = zstandard.ZstdCompressor(level=1).compress
         doc_ids: list = []
@@ -226,7 +320,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             symbols = np.frombuffer(unpack(row["symbols"]), "<u4")
-            ids = expand(symbols, row["left"], row["right"], row["base"]).astype("<u4")
+            ids = expand(symbols, row["left"], row["right"], row["base"], row["lengths"]).astype("<u4")
             sizes = np.array(row["sizes"], np.int64)
             own = np.split(ids, np.cumsum(sizes)[:-1])
             yield pa.RecordBatch.from_arrays(
@@ -258,7 +352,7 @@ def read_document(spark: SparkSession, path: str, doc_id: int) -> list[int]:
     i = row.doc_ids.index(doc_id)
     end = row.starts[i + 1] if i + 1 < len(row.starts) else None
     symbols = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(row.symbols)), "<u4")
-    return expand(symbols[row.starts[i] : end], row.left, row.right, row.base).tolist()
+    return expand(symbols[row.starts[i] : end], row.left, row.right, row.base, row.lengths).tolist()
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
