@@ -138,6 +138,24 @@ def test_mix_meets_its_targets(spark):
 # --- fingerprints
 
 
+def test_winnowing_looks_up_no_neighbours(spark):
+    df = spark.createDataFrame([("a b c",)], "text string")
+    plan = winnow.with_selected(df, "text", "selected")._jdf.queryExecution().optimizedPlan().toString()
+    # Neighbouring hashes meet as shifted arrays; looking them up one by one cost half of the query.
+    assert "zip_with(" in plan and "get(" not in plan
+
+
+def test_short_texts_are_told_by_their_beginning(spark):
+    few = winnow.SHORT + winnow.GRAM - 2
+    texts = ["", " " * 5000, " " * 5000 + "x " * few, " " * 5000 + "x " * (few + 1), "y" * few * winnow.UNIT, "y" * (few * winnow.UNIT + 1)]
+    texts += ["é " * few, "é " * (few + 1), "x" * 600, "\n\t".join("abcde" * 3 for _ in range(9)), "z " * 300 + " " * 900]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = {r.i: r.short for r in df.select("i", winnow.is_short("text").alias("short")).collect()}
+    for i, own in enumerate(texts):
+        n = sum(-(-len(w) // winnow.UNIT) for w in own.split())
+        assert found[i] == (n - winnow.GRAM + 1 < winnow.SHORT)
+
+
 def test_winnowing_equals_brute_force(spark):
     rng = random.Random(3)
     words = [rng.choice("ab abc hello winnowing längere x".split()) for _ in range(120)]

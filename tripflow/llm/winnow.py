@@ -34,12 +34,21 @@ def with_selected(rows: DataFrame, text: str, name: str) -> DataFrame:
     h, v = f"{name}_h", f"{name}_v"
     placed = rows.withColumn(h, _unit_hashes(text)).withColumn(v, _grams(F.col(h))).drop(h)
 
-    def least(first: Column, i: Column) -> Column:
-        return F.least(first, *[F.get(F.col(v), i + j) for j in range(1, SPAN)])
+    # The least of 2, then 4, then 8 neighbours; of the last ones in a text some are missing, and cut off.
+    spans, least_of = F.col(v), 1
+    while least_of < SPAN:
+        step = min(least_of, SPAN - least_of)
+        placed = placed.withColumn(f"{v}{least_of + step}", F.zip_with(spans, _from(spans, step), lambda x, y: F.least(x, y)))
+        least_of += step
+        spans = F.col(f"{v}{least_of}")
+    whole = F.slice(spans, 1, F.greatest(F.size(v) - SPAN + 1, F.lit(0)))
+    picked = F.when(F.size(v) < SHORT, F.col(v)).otherwise(F.array_distinct(whole))
+    return placed.withColumn(name, picked).select(*rows.columns, name)
 
-    spans = F.slice(v, 1, F.greatest(F.size(v) - SPAN + 1, F.lit(0)))
-    picked = F.when(F.size(v) < SHORT, F.col(v)).otherwise(F.array_distinct(F.transform(spans, least)))
-    return placed.withColumn(name, picked).drop(v)
+
+def _from(values: Column, i: int) -> Column:
+    """What stands from place ``i`` on, or nothing."""
+    return F.slice(values, i + 1, F.greatest(F.size(values) - i, F.lit(0)))
 
 
 def _unit_hashes(text: str) -> Column:
@@ -49,23 +58,35 @@ def _unit_hashes(text: str) -> Column:
 def _grams(h: Column) -> Column:
     """All hashes with their positions, from those of the units."""
 
-    def gram(first: Column, i: Column) -> Column:
-        total = first
-        for j in range(1, GRAM):
-            total = F.pmod(total * _BASE + F.get(h, i + j), F.lit(_PRIME))
-        return _placed(total, i)
+    # The polynomial of all GRAM units fits 63 bits, factors reduced, so it is reduced once.
+    factors = [pow(_BASE, GRAM - 1 - j, _PRIME) for j in range(GRAM)]
+
+    def units(j: int) -> Column:
+        return F.slice(h, j + 1, F.greatest(F.size(h) - GRAM + 1, F.lit(0)))
 
+    def added(factor: int):
+        return lambda total, x: total + x * factor
+
+    total = F.transform(units(0), lambda x: x * factors[0])
+    for j in range(1, GRAM):
+        total = F.zip_with(total, units(j), added(factors[j]))
+    grams = F.transform(total, lambda total, i: _placed(F.pmod(total, F.lit(_PRIME)), i))
     n = F.size(h)
     whole = F.when(
         n > 0,
         F.array(_placed(F.aggregate(h, n.cast("bigint"), lambda t, x: F.pmod(t * _BASE + x, F.lit(_PRIME))), F.lit(0))),
     ).otherwise(F.array().cast("array<bigint>"))
-    return F.when(n >= GRAM, F.transform(F.slice(h, 1, F.greatest(n - GRAM + 1, F.lit(0))), gram)).otherwise(whole)
+    return F.when(n >= GRAM, grams).otherwise(whole)
 
 
 def is_short(text: str) -> Column:
     """Whether a text has fewer than ``SHORT`` hashes, so that it keeps them all."""
-    return F.regexp_count(F.col(text), F.lit(_UNITS)) - GRAM + 1 < SHORT
+    # The beginning of a text has no more units than the text, and mostly enough to tell.
+    def few(part: Column) -> Column:
+        return F.regexp_count(part, F.lit(_UNITS)) - GRAM + 1 < SHORT
+
+    beginning = F.substring(F.col(text), 1, 4 * UNIT * SHORT)
+    return F.when(few(beginning), few(F.col(text))).otherwise(F.lit(False))
 
 
 def all_hashes(text: str) -> Column:
