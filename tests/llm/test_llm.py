@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -326,6 +327,22 @@ def test_distinct_pieces_go_to_the_library_together(reference_ids):
     assert [x for x, p in zip(own, pieces) if p[0] == "<"] == [[50256]] * 3 and encode([])[0].size == 0
 
 
+def test_pieces_stay_known_from_task_to_task(reference_ids):
+    pa = pytest.importorskip("pyarrow")
+    with open(JSON, encoding="utf-8") as file:
+        tokenizer_json = file.read()
+    texts = ["one two three", "four two one"]
+    rows = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([re.findall(r" ?\w+", own)])], ["doc_id", "pieces"]) for i, own in enumerate(texts)]
+    repair._encoder.cache_clear()
+    shards, known = [], []
+    for batch in rows:  # a task each
+        shards += repair._shards(tokenizer_json, 60_000)(iter([batch]))
+        known.append(set(repair._encoder(tokenizer_json).numbers))
+    assert known == [{"one", " two", " three"}, {"one", " two", " three", "four", " one"}]
+    found = [x for shard in repair._read(iter(shards)) for x in shard.column("ids").to_pylist()]
+    assert found == [reference_ids(own) + [repair.END] for own in texts]
+
+
 # --- near duplicates
 
 

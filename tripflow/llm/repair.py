@@ -37,6 +37,8 @@ from tripflow.sources.scratch import scratch_path
 SHARD_IDS = 2_000_000
 # Pairs replaced in a round, and how often a pair must occur. Rounds go on until none does.
 PAIRS, LEAST = 2048, 8
+# Distinct pieces a worker remembers with their ids, over all its tasks; beyond that it starts anew.
+KEPT = 600_000
 # The id that ends every document.
 END = 0
 
@@ -230,12 +232,17 @@ def _encode(tokenizer_json: str) -> Callable[[list[bytes]], tuple[np.ndarray, np
     return encode
 
 
+@cache
+def _encoder(tokenizer_json: str) -> PieceEncoder:
+    """Lives as long as the worker: the pieces of one task are mostly those of the next."""
+    return PieceEncoder(_encode(tokenizer_json), kept=KEPT)
+
+
 def _shards(tokenizer_json: str, base: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encode = _encode(tokenizer_json)
-        encoder = PieceEncoder(encode)
+        encoder = _encoder(tokenizer_json)
         pack = zstandard.ZstdCompressor(level=1).compress
         doc_ids: list = []
         parts: list[np.ndarray] = []
@@ -288,7 +295,7 @@ def write_shards(documents: DataFrame, path: str, tokenizer_path: str, pattern:
 
     Documents are dealt out by ranges of ``doc_id`` and sorted within each; nulls
     come first, and rows of the same ``doc_id`` go by text. The tokenizer encodes
-    every distinct piece of its pre-tokenizer ``pattern`` once per task: pieces
+    every distinct piece of its pre-tokenizer ``pattern`` once per worker, up to ``KEPT``: pieces
     are encoded independently of each other, so the ids are those of the text. The
     tokenizer's added tokens are cut out first, as the library does it: where a text
     holds one literally, it is that token's id.
