@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tripflow.llm import (
     bpe,
+    common,
     components,
     exact,
     html_text,
@@ -599,6 +600,77 @@ def test_words_that_share_a_place_have_their_own_probability(spark):
     assert shares == {one: pytest.approx(np.log(4 / 6)), other: pytest.approx(np.log(2 / 6))}
 
 
+def test_words_known_to_the_workers_or_joined_give_the_same_scores(spark, odd, monkeypatch):
+    many = " ".join(f"f{i}" for i in range(lm.VOCABULARY - lm.RARE)) + " "
+    rows = [(100 + i, many * 3 + " ".join(f"w{j}" for j in range(i, 40, i)) + " \x0b w39\x0cw39\x85\x1cw38 ") for i in range(1, 9)]
+    df = odd.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    shares = lm.log_shares(lm.word_counts(df), lm.frequent_words(df))
+    found = {}
+    for most in (0, 20, 1_000):
+        monkeypatch.setattr(lm, "KNOWN", most)
+        known, others = lm.known_shares(shares)
+        assert len(known) <= most and len(known) + others.count() == shares.count()
+        numbered = lm.numbered_documents(df, lm.frequent_words(df), known).collect()
+        assert {w for r in numbered for w in r.words} == {r.word for r in others.collect()}
+        found[most] = sorted(lm.pseudo_likelihood(df).collect(), key=str)
+    assert 0 < others.count() + len(known) <= 1_000 and not others.count()
+    sizes = {r.doc_id: len(re.findall(common.WORD, r.text or "")) for r in df.collect()}
+    assert all(r.n_tokens == sizes[r.doc_id] for r in found[0])
+    for most in (20, 1_000):
+        assert [r.doc_id for r in found[most]] == [r.doc_id for r in found[0]]
+        ours, theirs = ([r.log_likelihood for r in found[k]] for k in (most, 0))
+        assert ours == pytest.approx(theirs, rel=1e-4)
+
+
+@pytest.mark.parametrize("stride", [1, 2, 3, 16])
+def test_a_training_step_is_that_of_every_case_by_itself(stride):
+    rng = np.random.default_rng(stride)
+    documents = [rng.integers(0, lm.VOCABULARY, n) % rng.integers(1, lm.VOCABULARY) for n in (0, 1, 2, 3, 40, 0, 17, 33, 0)]
+    network = lm.Network.of(rng.normal(0, 0.3, len(lm.Network.start().flat())))
+    weights = [a.astype(float) for a in vars(network).values()]
+    gradients = [np.zeros_like(a) for a in weights]
+    embedding, places, bias, classes, words = weights
+    contexts, targets, _ = lm.cases(documents, stride - 1, stride)
+    for around, target in zip(contexts, targets):
+        own, within = divmod(target, lm.PER_CLASS)
+        h = np.append(np.tanh(sum(embedding[t] @ p for t, p in zip(around, places)) + bias), 1)
+        d_h = np.zeros(len(h))
+        for matrix, gradient, at in ((classes, gradients[3], own), (words[own], gradients[4][own], within)):
+            d = np.exp(h @ matrix) / np.exp(h @ matrix).sum()
+            d[at] -= 1
+            gradient += np.outer(h, d)
+            d_h += matrix @ d
+        d_in = (d_h * (1 - h**2))[:-1]
+        gradients[2] += d_in
+        for i, (t, p) in enumerate(zip(around, places)):
+            gradients[0][t] += p @ d_in
+            gradients[1][i] += np.outer(embedding[t], d_in)
+    gradients = [g / len(targets) for g in gradients]
+    flat, at, _ = lm.laid_out(documents, stride - 1, stride)
+    assert np.array_equal(flat[at], targets)
+    network.learn(flat, at, stride, [np.ones_like(a) for a in vars(network).values()])
+    for before, gradient, after in zip(weights, gradients, vars(network).values()):
+        assert np.allclose(after, before - lm.RATE * gradient / np.sqrt(1 + gradient**2), rtol=1e-5, atol=1e-6)
+
+
+def test_large_weights_do_not_overflow():
+    rng = np.random.default_rng(5)
+    network = lm.Network.of(rng.normal(0, 0.3, len(lm.Network.start().flat())))
+    network.classes *= 200
+    network.words *= 200
+    document = rng.integers(0, lm.VOCABULARY, 50)
+    total = 0.0
+    for around, target in zip(*lm.cases([document])[:2]):
+        own, within = divmod(target, lm.PER_CLASS)
+        h = np.append(np.tanh(sum(network.embedding[t] @ p for t, p in zip(around, network.places)) + network.bias), 1)
+        for x, i in ((h @ network.classes, own), (h @ network.words[own], within)):
+            total += x[i] - x.max() - np.log(np.exp(x - x.max()).sum())
+    assert lm.score_documents(network, [document])[0] == pytest.approx(total, rel=1e-4)
+    flat, at, _ = lm.laid_out([document])
+    network.learn(flat, at, 1, [np.ones_like(a) for a in vars(network).values()])
+    assert np.isfinite(network.flat()).all()
+
+
 # --- pages and URLs
 
 ARTICLE = "<article><h1>Title &amp; more</h1><p>{}<p>Short.</p></article>".format("A long   sentence\nof text. " * 9)
