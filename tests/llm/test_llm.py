@@ -344,6 +344,39 @@ def test_pieces_stay_known_from_task_to_task(reference_ids):
     assert found == [reference_ids(own) + [repair.END] for own in texts]
 
 
+def test_a_full_encoder_keeps_the_pieces_it_met_most_often():
+    pa = pytest.importorskip("pyarrow")
+    asked = []
+
+    def encode(pieces):
+        asked.append([p.decode() for p in pieces])
+        return np.array([b for p in pieces for b in p], np.int32), np.array([len(p) for p in pieces])
+
+    def decode(ids, sizes):
+        return [bytes(x.tolist()) for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+    calls = [["a", "bb", "a"], ["bb", "ccc"], ["a", "bb", "dddd"], ["bb", "e", "a"], ["ccc", "bb"], ["f", "g", "h", "bb"], ["bb", "a", "é"]]
+    encoder = bpe.PieceEncoder(encode, decode, kept=3)
+    for own in calls:
+        ids, sizes, texts = encoder(pa.array([own[:1], [], own[1:]]))
+        whole = "".join(own).encode()
+        assert bytes(ids.tolist()) == whole and sizes.tolist() == [len(own[0].encode()), 0, len(whole) - len(own[0].encode())]
+        assert texts.to_pylist() == [own[0].encode(), b"", "".join(own[1:]).encode()]
+        assert len(encoder.numbers) == len(encoder.sizes) == len(encoder.decoded) == len(encoder.met) <= 3 + len(own)
+    # With "a", "bb", "ccc" and "dddd" it was full; "bb" alone is half of what it keeps.
+    assert asked == [["a", "bb"], ["ccc"], ["dddd"], ["e", "a"], ["ccc"], ["f", "g", "h"], ["a", "é"]]
+
+
+def test_sums_of_documents_are_read_without_their_ids(spark, odd, tmp_path):
+    path = str(tmp_path / "shards")
+    repair.write_shards(odd, path, JSON, public_tokenizers.PATTERN)
+    whole, sums = repair.read_shards(spark, path), repair.read_sums(spark, path)
+    assert "ids" not in sums.columns and sorted(sums.collect()) == sorted(whole.drop("ids").collect())
+    for row in whole.collect():
+        assert row.n_tokens == len(row.ids) and row.ids_crc32 == zlib.crc32(np.array(row.ids, "<u4").tobytes())
+    assert whole.count() == len(ROWS)
+
+
 # --- near duplicates
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.common import text_of
 
-# Distinct pieces a task remembers with their tokens; beyond that it starts anew.
+# Distinct pieces a task remembers with their tokens; beyond that it keeps those it met most often.
 KEPT = 300_000
 # Token positions decoded by one query.
 DECODED = 1_000_000
@@ -220,19 +220,30 @@ class PieceEncoder:
         kept: int = KEPT,
     ):
         self.encode, self.decode, self.kept = encode, decode, kept
-        self._empty()
-
-    def _empty(self) -> None:
         self.numbers: dict[str, int] = {}
+        # In how many calls each piece occurred; those before pieces were forgotten count half.
+        self.met = np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.int32)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.decoded = pa.array([], pa.binary())
 
+    def _forget(self) -> None:
+        """Leaves up to half of ``kept``: the pieces that occurred in most calls, at least two."""
+        own = np.flatnonzero(self.met > 1)
+        own = np.sort(own[np.argsort(-self.met[own], kind="stable")[: self.kept // 2]])
+        names, sizes = list(self.numbers), self.sizes[own]
+        self.numbers = {names[i]: number for number, i in enumerate(own.tolist())}
+        self.flat = self.flat[spread(self.starts[own], sizes)]
+        self.starts, self.sizes, self.met = np.cumsum(sizes) - sizes, sizes, self.met[own] // 2
+        if self.decode is not None:
+            self.decoded = self.decoded.take(pa.array(own))
+
     def _learn(self, new: list[str]) -> None:
         flat, sizes = self.encode([p.encode("utf-8") for p in new])
         self.numbers.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
         self.flat = np.concatenate([self.flat, flat])
         if self.decode is not None:
             bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -246,12 +257,15 @@ class PieceEncoder:
         bounds = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         named = pieces.flatten().dictionary_encode()
         if len(self.numbers) > self.kept:
-            self._empty()
-        distinct = named.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self.numbers]
-        if new:
-            self._learn(new)
-        number = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
+            self._forget()
+        # Far quicker than ``to_pylist``.
+        distinct = named.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter((self.numbers.get(p, -1) for p in distinct), np.int64, len(distinct))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))
+            self._learn([distinct[i] for i in new.tolist()])
+        self.met[number] += 1
         at = number[named.indices.to_numpy()]
         sizes = self.sizes[at]
         reached = np.concatenate([[0], np.cumsum(sizes)])

@@ -20,9 +20,10 @@ them appear complete or not at all, on any storage:
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from tripflow.sources.scratch import scratch_path
 SHARD_IDS = 2_000_000
 # Pairs replaced in a round, and how often a pair must occur. Rounds go on until none does.
 PAIRS, LEAST = 2048, 8
-# Distinct pieces a worker remembers with their ids, over all its tasks; beyond that it starts anew.
+# Distinct pieces a worker remembers with their ids, over all its tasks; beyond that it keeps those it met most often.
 KEPT = 600_000
 # The id that ends every document.
 END = 0
@@ -96,11 +97,15 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
         at = places[spread(begins[often], sizes[often])]
         rule = np.repeat(np.arange(len(often)), sizes[often])
         there = kind[at] == often[rule]
-        at, rule = np.divmod(np.sort(at[there].astype(np.int64) * len(often) + rule[there]), len(often))
+        bits = len(often).bit_length()
+        both = at[there].astype(np.int64) << bits | rule[there]
+        both.sort()
+        at, rule = (both >> bits).astype(small), (both & ((1 << bits) - 1)).astype(small)
         # In a run of overlapping pairs every second one, from the leftmost on, is replaced.
         opens = np.append(True, after[at[:-1]] != at[1:])
         place = np.arange(len(at)) - np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
-        at, rule = at[place % 2 == 0], rule[place % 2 == 0]
+        leads = np.flatnonzero((place & 1) == 0)
+        at, rule = at[leads], rule[leads]
         gone = after[at]
         symbols[at] = first_rule + rule
         after[at] = after[gone]
@@ -128,20 +133,25 @@ def _frequent(lefts: np.ndarray, rights: np.ndarray) -> tuple[np.ndarray, np.nda
     lefts = lefts.astype(np.int64)
     if 2 * symbol_bits + place_bits < 64:
         # Pair and place in one number: sorting numbers is far quicker than sorting places by them.
-        pairs = (lefts << symbol_bits | rights) << place_bits | np.arange(len(lefts))
-        pairs.sort()
-        order = (pairs & ((1 << place_bits) - 1)).astype(np.int32 if place_bits < 31 else np.int64)
-        pairs >>= place_bits
+        lefts <<= symbol_bits
+        lefts |= rights
+        lefts <<= place_bits
+        lefts |= np.arange(len(lefts))
+        lefts.sort()
+        order, pairs = lefts, lefts >> place_bits
     else:
-        symbol_bits = 32
+        symbol_bits, place_bits = 32, 63
         pairs = lefts << 32 | rights
         order = np.argsort(pairs, kind="stable")
         pairs = pairs[order]
     cuts = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else np.zeros(0, np.int64)
     times = np.diff(np.append(cuts, len(pairs)))
-    cuts, times = cuts[times >= LEAST], times[times >= LEAST]
+    often = times >= LEAST
+    cuts, times = cuts[often], times[often]
     found = (pairs[cuts] >> symbol_bits) << 32 | pairs[cuts] & ((1 << symbol_bits) - 1)
-    return found, order[spread(cuts, times)], np.cumsum(times) - times, times
+    places = order[spread(cuts, times)]
+    places &= (1 << place_bits) - 1
+    return found, places, np.cumsum(times) - times, times
 
 
 def _most(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -208,7 +218,11 @@ def _encode(tokenizer_json: str) -> Callable[[list[bytes]], tuple[np.ndarray, np
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(tokenizer_json)
+    tokenizer, plain = Tokenizer.from_str(tokenizer_json), Tokenizer.from_str(tokenizer_json)
+    cut = json.loads(tokenizer_json)["pre_tokenizer"]
+    if cut is not None and cut["type"] == "ByteLevel":
+        # What Spark's pattern makes one piece, the library's does, too; only beyond ASCII their classes might differ.
+        plain = Tokenizer.from_str(json.dumps(json.loads(tokenizer_json) | {"pre_tokenizer": cut | {"use_regex": False}}))
     held = np.zeros(tokenizer.get_vocab_size(), np.int64)
     for token, i in tokenizer.get_vocab().items():
         held[i] = len(token)
@@ -216,18 +230,28 @@ def _encode(tokenizer_json: str) -> Callable[[list[bytes]], tuple[np.ndarray, np
         held[i] = len(token.content.encode())
 
     def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        parts = []
-        for start in range(0, len(pieces), 10_000):
-            words = [p.decode() for p in pieces[start : start + 10_000]]
-            (found,) = tokenizer.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)
-            parts.append(np.array(found.ids, np.int32))
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        reached = np.cumsum(held[flat])
-        upto = np.searchsorted(reached, ends, "right")
-        if len(pieces) and not np.array_equal(np.append(0, reached)[upto], ends):
-            raise ValueError("the tokenizer's ids do not make up the bytes of the pieces")
-        return flat, np.diff(upto, prepend=0)
+        ascii = np.fromiter(map(bytes.isascii, pieces), bool, len(pieces))
+        parts, done, sizes = [np.zeros(0, np.int32)], [], np.zeros(len(pieces), np.int64)
+        for which, own in ((plain, np.flatnonzero(ascii)), (tokenizer, np.flatnonzero(~ascii))):
+            for start in range(0, len(own), 10_000):
+                some = own[start : start + 10_000]
+                words = [pieces[i] for i in some.tolist()]
+                (found,) = which.encode_batch_fast([[w.decode() for w in words]], is_pretokenized=True, add_special_tokens=False)
+                ids = np.array(found.ids, np.int32)
+                ends, reached = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))), np.cumsum(held[ids])
+                upto = np.searchsorted(reached, ends, "right")
+                if not np.array_equal(np.append(0, reached)[upto], ends):
+                    raise ValueError("the tokenizer's ids do not make up the bytes of the pieces")
+                sizes[some] = np.diff(upto, prepend=0)
+                parts.append(ids)
+                done.append(some)
+        if not done:
+            return parts[0], sizes
+        # From the order of work to the order of ``pieces``.
+        order, flat = np.concatenate(done), np.concatenate(parts)
+        starts = np.zeros(len(pieces), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return flat[spread(starts, sizes)], sizes
 
     return encode
 
@@ -320,33 +344,45 @@ def write_shards(documents: DataFrame, path: str, tokenizer_path: str, pattern:
     pieces.mapInArrow(run, SCHEMA).write.parquet(path)
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], with_ids: bool = True) -> Iterator[pa.RecordBatch]:
     import zstandard
 
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for row in batch.to_pylist():
-            symbols = np.frombuffer(unpack(row["symbols"]), "<u4")
-            ids = expand(symbols, row["left"], row["right"], row["base"], row["lengths"]).astype("<u4")
-            sizes = np.array(row["sizes"], np.int64)
-            own = np.split(ids, np.cumsum(sizes)[:-1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["first_id"]] * len(own), pa.int64()),
-                    pa.array([row["number"]] * len(own), pa.int32()),
-                    pa.array(np.arange(len(own), dtype=np.int32)),
-                    pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(own, pa.list_(pa.uint32())).cast(pa.list_(pa.int32())),
-                    pa.array([zlib.crc32(x.tobytes()) for x in own], pa.int64()),
-                ],
-                ["first_id", "number", "place", "doc_id", "ids", "ids_crc32"],
-            )
+        for i in range(batch.num_rows):
+            row = {name: batch.column(name)[i] for name in batch.schema.names}
+            symbols = np.frombuffer(unpack(row["symbols"].as_py()), "<u4")
+            left, right, lengths = (row[name].values.to_numpy() for name in ("left", "right", "lengths"))
+            ids = expand(symbols, left, right, row["base"].as_py(), lengths).astype("<u4")
+            sizes = row["sizes"].values.to_numpy()
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+            if len(ids) != bounds[-1]:
+                raise ValueError("a shard's symbols do not make up its documents")
+            raw, n = memoryview(ids.tobytes()), len(sizes)
+            columns = {
+                "first_id": pa.array([row["first_id"].as_py()] * n, pa.int64()),
+                "number": pa.array([row["number"].as_py()] * n, pa.int32()),
+                "place": pa.array(np.arange(n, dtype=np.int32)),
+                "doc_id": row["doc_ids"].values,
+                "n_tokens": pa.array(sizes, pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.int64()),
+            }
+            if with_ids:
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+_READ = "first_id bigint, number int, place int, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """``first_id, number, place, doc_id, ids, ids_crc32`` of every document in the files."""
-    schema = "first_id bigint, number int, place int, doc_id bigint, ids array<int>, ids_crc32 bigint"
-    return spark.read.schema(SCHEMA).parquet(path).mapInArrow(_read, schema)
+    """``first_id, number, place, doc_id, n_tokens, ids_crc32, ids`` of every document in the files."""
+    return spark.read.schema(SCHEMA).parquet(path).mapInArrow(_read, f"{_READ}, ids array<int>")
+
+
+def read_sums(spark: SparkSession, path: str) -> DataFrame:
+    """``read_shards`` without the ids themselves, which stay in the tasks that read them."""
+    return spark.read.schema(SCHEMA).parquet(path).mapInArrow(partial(_read, with_ids=False), _READ)
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[int]:
@@ -377,11 +413,9 @@ def index(spark: SparkSession, path: str) -> DataFrame:
         F.col("first_id").alias("its_first"), F.col("number").alias("its_number"), F.coalesce(F.sum("total").over(in_order), F.lit(0)).alias("begin")
     )
     within = Window.partitionBy("first_id", "number").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    own = read_shards(spark, path).select(
-        "first_id", "number", "place", "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_crc32"
-    )
     return (
-        own.withColumn("before", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
+        read_sums(spark, path)
+        .withColumn("before", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
         .join(begins, F.col("first_id").eqNullSafe(F.col("its_first")) & (F.col("number") == F.col("its_number")))
         .select("doc_id", (F.col("begin") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
     )
