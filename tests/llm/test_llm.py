@@ -344,6 +344,28 @@ def test_pieces_stay_known_from_task_to_task(reference_ids):
     assert found == [reference_ids(own) + [repair.END] for own in texts]
 
 
+def test_the_quicker_pattern_cuts_alike(spark):
+    pattern = public_tokenizers.PATTERN
+    assert bpe.pattern_for_spark(pattern) != "(?U)" + pattern
+    rng = random.Random(8)
+    marks = ["'", "s", "t", "re", "ve", "ll", "d", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u3000", "\u200b"]
+    marks += ["1", "٣", "½", "Ⅷ", "é", "e\u0301", "日", "🎉", "_", "-", "!", "\x00", "ſ", "ª"]
+    texts = ["".join(rng.choices(marks, k=rng.randrange(1, 14))) for _ in range(5_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    slow = F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0))
+    assert df.filter(~slow.eqNullSafe(bpe.pieces_of(pattern))).collect() == []
+
+
+def test_every_ascii_piece_is_encoded_as_the_library_does(reference_ids):
+    rng = random.Random(9)
+    pieces = [chr(i) * k for i in range(128) for k in (1, 2, 7)]
+    pieces += [" " + "".join(rng.choices("abcdefghinorstuTHE", k=rng.randrange(1, 12))) for _ in range(500)] + [" ¿", "ÿ", "<|endoftext|>"]
+    with open(JSON, encoding="utf-8") as file:
+        ids, sizes = repair._encode(file.read())([p.encode() for p in pieces])
+    own = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert own[:-1] == [reference_ids(p) for p in pieces[:-1]] and own[-1] == [50256]
+
+
 def test_a_full_encoder_keeps_the_pieces_it_met_most_often():
     pa = pytest.importorskip("pyarrow")
     asked = []

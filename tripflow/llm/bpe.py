@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,18 @@ ENCODED = 20_000
 _NONE = (1 << 32) - 1
 
 
+# A pre-tokenizer's pattern and one of the same matches that Java finds in less time: what most
+# pieces are comes first, what begins alike is tried once, and no run is given back.
+_QUICKER = {
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+": (
+        r" ?+\p{L}++|'(?:s|t|re|ve|m|ll|d)| ?+(?:\p{N}++|[^\s\p{L}\p{N}]++)|\s+(?!\S)|\s+"
+    )
+}
+
+
 def pattern_for_spark(pattern: str) -> str:
     """The pattern with classes such as ``\\s`` taken from Unicode, as in the tokenizer."""
-    return "(?U)" + pattern
+    return "(?U)" + _QUICKER.get(pattern, pattern)
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -260,7 +270,7 @@ class PieceEncoder:
             self._forget()
         # Far quicker than ``to_pylist``.
         distinct = named.dictionary.to_numpy(zero_copy_only=False).tolist()
-        number = np.fromiter((self.numbers.get(p, -1) for p in distinct), np.int64, len(distinct))
+        number = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
         new = np.flatnonzero(number < 0)
         if len(new):
             number[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))

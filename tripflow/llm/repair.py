@@ -75,10 +75,8 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
     places, taken = np.zeros(2 * n, small), 0
     kind = np.full(n + 1, -1, small)
     left, right = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    changed = np.arange(n, dtype=small)
+    at = np.flatnonzero(after[:n] < n).astype(small)
     while True:
-        at = changed[after[changed] < n]
-        kind[changed] = -1
         found, ordered, first, times = _frequent(symbols[at], symbols[after[at]])
         at = at[ordered]
         kind[at] = np.repeat(np.arange(len(keys), len(keys) + len(found), dtype=small), times)
@@ -118,7 +116,8 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int) -> tuple[np.ndarray
         changed = np.concatenate([at, ahead])
         was = kind[np.concatenate([changed, gone])]
         counts -= np.bincount(was[was >= 0], minlength=len(counts))
-        kind[gone] = -1
+        kind[gone] = kind[changed] = -1
+        at = changed[after[changed] < n]
     stay = symbols[:n] >= 0
     lengths = _expanded(left, right, np.ones(base, np.int64))
     if len(left):
@@ -205,46 +204,66 @@ def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int,
     return flat[spread(begins[symbols], sizes[symbols])]
 
 
+def _letters(tokenizer_json: str) -> dict[int, str] | None:
+    """The characters that stand for the bytes of ASCII, if all that comes before the model is to put them there."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    whole = json.loads(tokenizer_json)
+    first = whole.get("pre_tokenizer") or {}
+    if whole.get("normalizer") or whole.get("post_processor") or first.get("type") != "ByteLevel" or first.get("add_prefix_space"):
+        return None
+    level = ByteLevel(add_prefix_space=False, use_regex=False)
+    return {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(128)}
+
+
 @cache
 def _encode(tokenizer_json: str) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
     """The library's ids of a list of pieces in a row, and their number per piece; made once in a worker.
 
     Pieces go to the library many at a time, as words cut already: it encodes each by itself and
     gives back one sequence. A byte-level token stands for as many bytes as it has characters, so
-    the ids of a piece are those that make up its bytes.
+    the ids of a piece are those that make up its bytes. Pieces of ASCII alone go to the library's
+    BPE model straight away, as they are cut already: beyond ASCII the library's classes might cut
+    what Spark's do not.
     """
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer, plain = Tokenizer.from_str(tokenizer_json), Tokenizer.from_str(tokenizer_json)
-    cut = json.loads(tokenizer_json)["pre_tokenizer"]
-    if cut is not None and cut["type"] == "ByteLevel":
-        # What Spark's pattern makes one piece, the library's does, too; only beyond ASCII their classes might differ.
-        plain = Tokenizer.from_str(json.dumps(json.loads(tokenizer_json) | {"pre_tokenizer": cut | {"use_regex": False}}))
+    tokenizer = Tokenizer.from_str(tokenizer_json)
     held = np.zeros(tokenizer.get_vocab_size(), np.int64)
     for token, i in tokenizer.get_vocab().items():
         held[i] = len(token)
     for i, token in tokenizer.get_added_tokens_decoder().items():
         held[i] = len(token.content.encode())
 
+    alone = _letters(tokenizer_json)
+    added = {token.content.encode() for token in tokenizer.get_added_tokens_decoder().values()}
+
     def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ascii = np.fromiter(map(bytes.isascii, pieces), bool, len(pieces))
+        plain = np.fromiter((alone is not None and p.isascii() and p not in added for p in pieces), bool, len(pieces))
         parts, done, sizes = [np.zeros(0, np.int32)], [], np.zeros(len(pieces), np.int64)
-        for which, own in ((plain, np.flatnonzero(ascii)), (tokenizer, np.flatnonzero(~ascii))):
-            for start in range(0, len(own), 10_000):
-                some = own[start : start + 10_000]
-                words = [pieces[i] for i in some.tolist()]
-                (found,) = which.encode_batch_fast([[w.decode() for w in words]], is_pretokenized=True, add_special_tokens=False)
-                ids = np.array(found.ids, np.int32)
-                ends, reached = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))), np.cumsum(held[ids])
-                upto = np.searchsorted(reached, ends, "right")
-                if not np.array_equal(np.append(0, reached)[upto], ends):
-                    raise ValueError("the tokenizer's ids do not make up the bytes of the pieces")
-                sizes[some] = np.diff(upto, prepend=0)
-                parts.append(ids)
-                done.append(some)
+        own = np.flatnonzero(plain)
+        if len(own):
+            tokenize = tokenizer.model.tokenize
+            found = [tokenize(pieces[i].decode().translate(alone)) for i in own.tolist()]
+            sizes[own] = np.fromiter(map(len, found), np.int64, len(own))
+            parts.append(np.fromiter((token.id for tokens in found for token in tokens), np.int32))
+            done.append(own)
+        own = np.flatnonzero(~plain)
+        for start in range(0, len(own), 10_000):
+            some = own[start : start + 10_000]
+            words = [pieces[i] for i in some.tolist()]
+            (found,) = tokenizer.encode_batch_fast([[w.decode() for w in words]], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, np.int32)
+            ends, reached = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))), np.cumsum(held[ids])
+            upto = np.searchsorted(reached, ends, "right")
+            if not np.array_equal(np.append(0, reached)[upto], ends):
+                raise ValueError("the tokenizer's ids do not make up the bytes of the pieces")
+            sizes[some] = np.diff(upto, prepend=0)
+            parts.append(ids)
+            done.append(some)
         if not done:
             return parts[0], sizes
         # From the order of work to the order of ``pieces``.
